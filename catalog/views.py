@@ -27,19 +27,19 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    @cached_property
-    def terminal_info(self) -> DataFrame:
+    def _boxes(self) -> DataFrame:
+        """One row per box, with the numeric key its id is made of."""
         key, nation = F.col("c_custkey"), F.col("c_nationkey")
         return self.table("customer").select(
-            F.concat(F.lit("p"), _text(key)).alias("probe_id"), F.concat(F.lit("d"), _text(key)).alias("device_id"),
-            _text(nation).alias("province_id"), _text(nation * 10 + key % 10).alias("city_id"),
-            F.col("c_mktsegment").alias("platform"), F.concat(F.lit("dev"), _text(key % 7)).alias("device_provider"),
+            key.alias("_key"), F.concat(F.lit("p"), _text(key)).alias("probe_id"),
+            F.concat(F.lit("d"), _text(key)).alias("device_id"), _text(nation).alias("province_id"),
+            _text(nation * 10 + key % 10).alias("city_id"), F.col("c_mktsegment").alias("platform"),
+            F.concat(F.lit("dev"), _text(key % 7)).alias("device_provider"),
             F.concat(F.lit("fw"), _text(key % 3)).alias("fw_version"))
 
-    def _boxes(self) -> DataFrame:
-        """Terminal info joined by the numeric key, which the probe id is made of."""
-        key = F.substring("probe_id", 2, 20).cast("bigint")
-        return self.terminal_info.withColumn("_key", key)
+    @cached_property
+    def terminal_info(self) -> DataFrame:
+        return self._boxes().drop("_key")
 
     def _of_orders(self, *columns: str) -> DataFrame:
         orders = self.table("orders").select("o_orderkey", "o_custkey", *columns)
@@ -165,8 +165,7 @@ class Views:
     def records(self, log: str) -> DataFrame:
         """Typed rows of a log with a running number ``seq``."""
         if log == "terminal_info":
-            seq = F.substring("probe_id", 2, 20).cast("bigint")
-            return self.terminal_info.withColumn("seq", seq)
+            return self._boxes().withColumnRenamed("_key", "seq")
         return getattr(self, log)
 
     def raw_lines(self, log: str) -> DataFrame:

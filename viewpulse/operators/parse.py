@@ -53,7 +53,8 @@ def parse_log(lines: DataFrame, log: str, mode: str = "realtime", column: str =
     kept = [F.col(c) for c in lines.columns]
     typed = [_cast(fields, position, layout.kind(name, mode)).alias(name)
              for name, (position, _) in layout.fields.items()]
-    parsed = (lines.select(*kept, X.split_fields(F.col(column)).alias("_fields"))
+    # a generator is a fence for the optimizer: without it the split would be copied into every check and cast
+    parsed = (lines.select(*kept, F.explode(F.array(X.split_fields(F.col(column)))).alias("_fields"))
               .select(*kept, *typed, reject_reason(fields, layout, mode).alias(REASON)))
     if log == "play_request":
         parsed = parsed.withColumn("has_id", X.session_id(F.col("probe_id"), F.col("session_part")))
