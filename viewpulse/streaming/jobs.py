@@ -71,6 +71,30 @@ def publish_rows(rows: DataFrame, root: str, name: str, publish: Publish, trigge
             .option("checkpointLocation", f"{root}/_checkpoints/{name}").trigger(**trigger.options()).start())
 
 
+def late_query(spark: SparkSession, rows: DataFrame, root: str, delay: str, trigger: Trigger,
+               name: str = "late") -> StreamingQuery:
+    """Keep the rows that come in more than ``delay`` behind the newest time of earlier micro-batches.
+
+    Windows drop such rows silently; here they are stored per micro-batch.  The newest time of each micro-batch is
+    stored as one row, and a replay only looks at earlier ones, so it repeats its result.
+    """
+    newest = KeyedTable(spark, f"{root}/{name}_newest", ["origin"])
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.persist()
+        try:
+            (batch.agg(F.max("event_time").alias("event_time")).withColumn("origin", F.lit(number))
+             .coalesce(1).write.mode("overwrite").parquet(f"{root}/{name}_newest/level=delta/batch={number}"))
+            before = newest.read().where(F.col("origin") < number).agg(F.max("event_time")).first()[0]
+            limit = F.lit(before).cast("timestamp") - F.expr(f"interval {delay}")
+            (W.late_rows(batch, limit).write.mode("overwrite").parquet(f"{root}/{name}/level=delta/batch={number}"))
+        finally:
+            batch.unpersist()
+
+    return (rows.writeStream.queryName(name).foreachBatch(write)
+            .option("checkpointLocation", f"{root}/_checkpoints/{name}").trigger(**trigger.options()).start())
+
+
 def realtime_table(spark: SparkSession, root: str, table: str, keys: Iterable[str]) -> DataFrame:
     """Current rows of a published table."""
     return KeyedTable(spark, f"{root}/realtime_{table}", list(keys)).read()

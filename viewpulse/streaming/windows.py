@@ -36,9 +36,14 @@ def window_sums(rows: DataFrame, minutes: int, dims: Sequence[str], measures: Me
     return window_cells(no_null_dims(rows, dims), minutes, (*fixed, *dims), sums)
 
 
-def window_distinct_rows(rows: DataFrame, minutes: int, columns: Sequence[str]) -> DataFrame:
+def window_distinct_rows(rows: DataFrame, minutes: int, columns: Sequence[str],
+                         time: str = "event_time") -> DataFrame:
     """Distinct rows per window, for measures that need the rows themselves once the window closed."""
-    return window_cells(rows, minutes, columns, [F.count(F.lit(1)).alias("_copies")]).drop("_copies")
+    # a stream may carry one event-time column only, so the row's own time goes on as a plain value
+    plain = rows.withColumn("_time", F.timestamp_micros(F.unix_micros(time)))
+    keys = ["_time" if c == time else c for c in columns]
+    cells = window_cells(plain, minutes, keys, [F.count(F.lit(1)).alias("_copies")], time)
+    return cells.drop("_copies").withColumnRenamed("_time", time)
 
 
 def windowed_cube(rows: DataFrame, minutes: int, dims: Sequence[str], measures: Measures,
