@@ -42,25 +42,48 @@ def grouped_cube(df: DataFrame, dims: Sequence[str], fixed: Sequence[str], aggre
     return out.select(*fixed, *named, *measures)
 
 
+def all_levels(rows: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """Each row once per subset of the dimensions, ``'ALL'`` for the others.
+
+    Unlike ``CUBE`` this keeps the partitioning of the rows, and it may run inside a stream: a stream cannot count
+    distinct ids, but it can drop repeated (window, level, id) rows from this form and count.
+    """
+    levels = [F.struct(*[(F.col(d) if d in kept else F.lit(ALL)).alias(d) for d in dims]) for kept in subsets(dims)]
+    others = [c for c in rows.columns if c not in dims]
+    return rows.select(*others, F.inline(F.array(*levels)))
+
+
 def _finest(df: DataFrame, keys: Sequence[str], measures: Measures) -> DataFrame:
     values = [_MERGE[how](value).alias(name) for name, (how, value) in measures.items()]
     return df.groupBy(*keys).agg(*values)
 
 
+def time_keys(fixed: Sequence[str]) -> tuple[str, ...]:
+    """Minute labels among the fixed keys: many values, each with a bounded number of cells."""
+    return tuple(c for c in fixed if c == "minute")
+
+
 def cube_all(df: DataFrame, dims: Sequence[str], measures: Measures, fixed: Sequence[str] = (),
-             pre_aggregate: bool = True) -> DataFrame:
+             pre_aggregate: bool = True, colocate: Sequence[str] | None = None) -> DataFrame:
     """Cube of mergeable measures (``sum``, ``max``, ``min``) with ``fixed`` keys always grouped.
 
-    An empty input gives an empty result, also for the grand total.
+    ``colocate`` names fixed keys with many values, such as minutes (the default).  The finest cells are then brought
+    together by those keys *before* they are expanded, and no expanded row is shuffled.  The group behind one value is
+    bounded by the number of cells, since pre-aggregation comes first.  Without such keys the expanded rows are combined
+    map-side and shuffled.  An empty input gives an empty result, also for the grand total.
     """
     df = no_null_dims(df, dims)
     keys = (*fixed, *dims)
-    if pre_aggregate:
+    together = time_keys(fixed) if colocate is None else tuple(colocate)
+    if not pre_aggregate:
+        merged, cells = measures, df
+    else:
         cells = _finest(df, keys, measures)
         merged = {name: (how, name) for name, (how, _) in measures.items()}
-    else:
-        cells, merged = df, measures
     aggregates = [_MERGE[how](value).alias(name) for name, (how, value) in merged.items()]
+    if pre_aggregate and together:
+        spread = all_levels(cells.repartition(*together), dims)
+        return spread.groupBy(*keys).agg(*aggregates)
     rows = F.count(F.lit(1)).alias("_rows")
     return grouped_cube(cells, dims, fixed, [*aggregates, rows]).where("_rows > 0").drop("_rows")
 
@@ -106,10 +129,9 @@ def exact_distinct_cube(df: DataFrame, dims: Sequence[str], name: str, column: s
         # four levels: the plain form is cheaper than telling the ids apart
         return cube_of_distinct(pairs, dims, name, fixed)
     cells = pairs.withColumn("_cells", F.count(F.lit(1)).over(Window.partitionBy(*fixed, "_id")))
-    summed = {m: ("sum", m) for m in measures}
-    lone = F.when(F.col("_cells") == 1, 1).otherwise(0).cast("bigint")
+    lone = F.sum(F.when(F.col("_cells") == 1, 1).otherwise(0).cast("bigint")).alias(name)
     once = cells if measures else cells.where("_cells = 1")
-    single = cube_all(once, dims, {name: ("sum", lone)} | summed, fixed)
+    single = all_levels(once.groupBy(*keys).agg(lone, *[F.sum(m).alias(m) for m in measures]), dims)
     zeros = [F.lit(0).cast("bigint").alias(m) for m in measures]
     several = cube_of_distinct(cells.where("_cells > 1"), dims, name, fixed).select("*", *zeros)
     return (single.unionByName(several).groupBy(*fixed, *dims)

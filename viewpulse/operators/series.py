@@ -70,7 +70,8 @@ def multi_resolution(df: DataFrame, dims: Sequence[str], measures: Measures, fix
                         for r in resolutions])
     spread = cells.select(*fixed, *dims, *measures, F.inline(buckets))
     merged = {name: ("sum", name) for name in measures}
-    return cube_all(spread, dims, merged, ("resolution", "bucket", *fixed))
+    keys = ("resolution", "bucket", *fixed)
+    return cube_all(spread, dims, merged, keys, colocate=("resolution", "bucket"))
 
 
 def _sum(how: str, value: Column | str) -> Column:

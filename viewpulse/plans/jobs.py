@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +20,11 @@ from viewpulse.sources.logs import read_log_table
 
 @dataclass
 class Inputs:
-    """What the metrics of one run may read."""
+    """What the metrics of one run may read.
+
+    Frames that several metrics of a run need (latest records, increments: one row per session instead of one per log
+    line) are persisted while the run lasts; a lost executor only means that its share is computed again.
+    """
 
     rows: Callable[[], DataFrame]
     history: Callable[[], DataFrame]
@@ -28,25 +33,37 @@ class Inputs:
     period: str
     start: datetime
     dims: tuple[str, ...] = D5
+    share: bool = False
+    held: dict[str, DataFrame] = field(default_factory=dict)
 
-    def grown(self) -> DataFrame:
-        """Increments of this period; earlier periods are only read for the value before."""
-        rows = play.increments(self.history(), self.period, self.dims)
-        return rows.where(F.col("period_start").cast("timestamp_ntz") == F.lit(self.start).cast("timestamp_ntz"))
+    def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self.held:
+            frame = build()
+            self.held[name] = frame.persist(StorageLevel.MEMORY_AND_DISK) if self.share else frame
+        return self.held[name]
 
+    def latest(self) -> DataFrame:
+        return self._once("latest", lambda: latest_per_session(self.rows(), distinct=False))
 
-Metric = Callable[[Inputs], DataFrame]
+    def grown(self) -> DataFrame:
+        """Increments of this period; earlier periods are only read for the value before."""
+        start = F.lit(self.start).cast("timestamp_ntz")
+        return self._once("grown", lambda: play.increments(self.history(), self.period, self.dims).where(
+            F.col("period_start").cast("timestamp_ntz") == start))
 
+    def release(self) -> None:
+        if self.share:
+            for frame in self.held.values():
+                frame.unpersist()
 
-def _latest(i: Inputs) -> DataFrame:
-    return latest_per_session(i.rows(), distinct=False)
 
+Metric = Callable[[Inputs], DataFrame]
 
 METRICS: dict[str, Metric] = {
-    "T_STREAMUSER": lambda i: play.play_totals(_latest(i)).drop("plays"),
-    "T_FIRST_FRAME_INDEX": lambda i: play.first_frame_mean(_latest(i)),
-    "T_USER_LAG_DISTRIBUTION": lambda i: play.stall_distribution(_latest(i), D5).drop("users"),
-    "T_USER_LAG": lambda i: play.stall_user_rate(play.stall_distribution(_latest(i), D5)),
+    "T_STREAMUSER": lambda i: play.play_totals(i.latest()).drop("plays"),
+    "T_FIRST_FRAME_INDEX": lambda i: play.first_frame_mean(i.latest()),
+    "T_USER_LAG_DISTRIBUTION": lambda i: play.stall_distribution(i.latest(), D5).drop("users"),
+    "T_USER_LAG": lambda i: play.stall_user_rate(play.stall_distribution(i.latest(), D5)),
     "T_DOWN_BYTES_INDEX": lambda i: play.traffic(i.grown()),
     "T_BUSINESS_ONLINE_DATA": lambda i: play.service_online_time(i.grown()),
     "T_BUSINESS_QUALITY": lambda i: play.business_quality(i.grown()),
@@ -94,15 +111,10 @@ def tables_of(job: str, task: str | None = None) -> tuple[str, ...]:
     return tasks[number]
 
 
-def plan_batch(spark: SparkSession, job: str, period: str, at: datetime, log_root: str, terminals: DataFrame,
-               task: str | None = None, num_partitions: int | None = None) -> dict[str, DataFrame]:
-    """Result frames of one job for the period holding ``at``, in contract columns; nothing runs yet.
-
-    ``log_root`` holds one log table per log name.  ``num_partitions`` overrides the partition count of the input;
-    by default the scan and adaptive execution decide.
-    """
+def inputs_of(spark: SparkSession, job: str, period: str, at: datetime, log_root: str, terminals: DataFrame,
+              share: bool = False, num_partitions: int | None = None) -> Inputs:
+    """Readers of one run over the log tables below ``log_root`` (one per log name), areas repaired."""
     name = periods.check_period(period)
-    start, _ = periods.period_bounds(name, at)
 
     def table(log: str, since: datetime | None = None) -> DataFrame:
         rows = read_log_table(spark, f"{log_root}/{log}", name, at, since)
@@ -110,10 +122,15 @@ def plan_batch(spark: SparkSession, job: str, period: str, at: datetime, log_roo
             rows = rows.repartition(num_partitions)
         return repair_area(rows, terminals) if "province_id" in rows.columns else rows
 
-    inputs = Inputs(rows=lambda: table(job), history=lambda: table(job, periods.lookback(name, at)),
-                    plays=lambda: table("play_request"), terminals=terminals, period=name, start=start)
-    label = periods.label(name, at)
-    return {t: to_contract(METRICS[t](inputs), t, name, label) for t in tables_of(job, task)}
+    return Inputs(rows=lambda: table(job), history=lambda: table(job, periods.lookback(name, at)),
+                  plays=lambda: table("play_request"), terminals=terminals, period=name,
+                  start=periods.period_bounds(name, at)[0], share=share)
+
+
+def plan_batch(inputs: Inputs, tables: Iterable[str], at: datetime) -> dict[str, DataFrame]:
+    """Result frames in contract columns; nothing runs yet."""
+    label = periods.label(inputs.period, at)
+    return {t: to_contract(METRICS[t](inputs), t, inputs.period, label) for t in tables}
 
 
 def run_batch(spark: SparkSession, job: str, period: str, at: datetime | str | None, log_root: str,
@@ -121,13 +138,18 @@ def run_batch(spark: SparkSession, job: str, period: str, at: datetime | str | N
               num_partitions: int | None = None) -> Iterable[str]:
     """Write the result tables of one run and return their names.
 
-    ``at`` may be text (``yyyy[MM[dd[HH]]]``); without it the period before now is reported.
+    ``at`` may be text (``yyyy[MM[dd[HH]]]``); without it the period before now is reported.  ``num_partitions``
+    overrides the partition count of the input; by default the scan and adaptive execution decide.
     """
     when = periods.appointed(at) if isinstance(at, str) else at or periods.previous_time(period, datetime.now())
-    results = plan_batch(spark, job, period, when, log_root, terminals, task, num_partitions)
-    for table, result in results.items():
-        write_table(result, out_root, table)
-    return tuple(results)
+    tables = tables_of(job, task)
+    inputs = inputs_of(spark, job, period, when, log_root, terminals, len(tables) > 1, num_partitions)
+    try:
+        for table, result in plan_batch(inputs, tables, when).items():
+            write_table(result, out_root, table)
+    finally:
+        inputs.release()
+    return tables
 
 
 def terminal_table(reports: DataFrame, period: str, at: datetime) -> DataFrame:

@@ -57,9 +57,10 @@ def write_log_table(rows: DataFrame, path: str, time: str = "event_time", mode:
 def read_log_table(spark: SparkSession, path: str, period: str | None = None, at: datetime | None = None,
                    since: datetime | None = None, time: str = "event_time") -> DataFrame:
     """Rows of the period holding ``at`` (all rows without one); ``since`` moves the lower end back."""
-    schema = "dt string, hr string"
-    table = spark.read.option("basePath", path).parquet(path)
-    table = table.withColumns({c.split()[0]: F.col(c.split()[0]).cast("string") for c in schema.split(", ")})
+    found = spark.read.parquet(path).schema
+    # partition values look like numbers but are text with leading zeros
+    text = T.StructType([T.StructField(f.name, T.StringType()) if f.name in ("dt", "hr") else f for f in found])
+    table = spark.read.schema(text).parquet(path)
     if period is None or at is None:
         return table.drop("dt", "hr")
     start, end = period_bounds(period, at)

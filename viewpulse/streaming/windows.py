@@ -11,8 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewpulse.operators.cube import Measures, no_null_dims, subsets
-from viewpulse.model import ALL
+from viewpulse.operators.cube import Measures, all_levels, no_null_dims
 
 WATERMARK = "1 hour"
 
@@ -53,16 +52,6 @@ def windowed_cube(rows: DataFrame, minutes: int, dims: Sequence[str], measures:
     return window_cells(all_levels(no_null_dims(rows, dims), dims), minutes, (*fixed, *dims), sums)
 
 
-def all_levels(rows: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """Each row once per subset of the dimensions, ``'ALL'`` for the others.
-
-    A stream cannot count distinct ids; it can drop repeated (window, level, id) rows from this form and count.
-    """
-    levels = [F.struct(*[(F.col(d) if d in kept else F.lit(ALL)).alias(d) for d in dims]) for kept in subsets(dims)]
-    others = [c for c in rows.columns if c not in dims]
-    return rows.select(*others, F.inline(F.array(*levels)))
-
-
 def windowed_distinct_cube(rows: DataFrame, minutes: int, dims: Sequence[str], name: str, column: str) -> DataFrame:
     """Exact distinct ids per window and subset as two chained aggregates (append mode)."""
     spread = all_levels(no_null_dims(rows, dims), dims).where(F.col(column).isNotNull())
