@@ -58,16 +58,20 @@ def _finest(df: DataFrame, keys: Sequence[str], measures: Measures) -> DataFrame
     return df.groupBy(*keys).agg(*values)
 
 
+#: fixed keys that take many values, each with a bounded number of cells
+LABELS = ("minute", "event_second", "parse_time")
+
+
 def time_keys(fixed: Sequence[str]) -> tuple[str, ...]:
-    """Minute labels among the fixed keys: many values, each with a bounded number of cells."""
-    return tuple(c for c in fixed if c == "minute")
+    """All fixed keys when a time label is among them, else none."""
+    return tuple(fixed) if any(c in LABELS for c in fixed) else ()
 
 
 def cube_all(df: DataFrame, dims: Sequence[str], measures: Measures, fixed: Sequence[str] = (),
              pre_aggregate: bool = True, colocate: Sequence[str] | None = None) -> DataFrame:
     """Cube of mergeable measures (``sum``, ``max``, ``min``) with ``fixed`` keys always grouped.
 
-    ``colocate`` names fixed keys with many values, such as minutes (the default).  The finest cells are then brought
+    ``colocate`` names fixed keys with many values; by default all of them when a time label is one.  The finest cells are then brought
     together by those keys *before* they are expanded, and no expanded row is shuffled.  The group behind one value is
     bounded by the number of cells, since pre-aggregation comes first.  Without such keys the expanded rows are combined
     map-side and shuffled.  An empty input gives an empty result, also for the grand total.
@@ -129,18 +133,18 @@ def exact_distinct_cube(df: DataFrame, dims: Sequence[str], name: str, column: s
         # four levels: the plain form is cheaper than telling the ids apart
         return cube_of_distinct(pairs, dims, name, fixed)
     cells = pairs.withColumn("_cells", F.count(F.lit(1)).over(Window.partitionBy(*fixed, "_id")))
-    lone = F.sum(F.when(F.col("_cells") == 1, 1).otherwise(0).cast("bigint")).alias(name)
-    once = cells if measures else cells.where("_cells = 1")
-    single = all_levels(once.groupBy(*keys).agg(lone, *[F.sum(m).alias(m) for m in measures]), dims)
-    zeros = [F.lit(0).cast("bigint").alias(m) for m in measures]
-    several = cube_of_distinct(cells.where("_cells > 1"), dims, name, fixed).select("*", *zeros)
-    return (single.unionByName(several).groupBy(*fixed, *dims)
+    sums = [F.sum(m).alias(m) for m in measures]
+    # the same columns in both parts, so that both read one shuffle
+    lone = cells.where("_cells = 1").groupBy(*keys).agg(F.count(F.lit(1)).alias(name), *sums)
+    several = cube_of_distinct(cells.where("_cells > 1"), dims, name, fixed, sums)
+    return (all_levels(lone, dims).unionByName(several).groupBy(*fixed, *dims)
             .agg(*[F.sum(c).alias(c) for c in (name, *measures)]))
 
 
-def cube_of_distinct(pairs: DataFrame, dims: Sequence[str], name: str, fixed: Sequence[str]) -> DataFrame:
+def cube_of_distinct(pairs: DataFrame, dims: Sequence[str], name: str, fixed: Sequence[str],
+                     sums: Sequence[Column] = ()) -> DataFrame:
     distinct = F.count_distinct("_id").alias(name)
-    return grouped_cube(pairs, dims, fixed, [distinct]).where(F.col(name) > 0)
+    return grouped_cube(pairs, dims, fixed, [distinct, *sums]).where(F.col(name) > 0)
 
 
 def sketch_distinct_cube(df: DataFrame, dims: Sequence[str], name: str, column: str, fixed: Sequence[str] = (),

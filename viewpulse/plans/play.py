@@ -29,8 +29,7 @@ def accepted_types(df: DataFrame, accepted: Sequence[str] = HAS_TYPES) -> DataFr
 
 def users_and_plays(latest: DataFrame, dims: Sequence[str] = D2, fixed: Sequence[str] = ()) -> DataFrame:
     """Distinct boxes and sessions, exact at every level; input is the latest record per session."""
-    pairs = no_null_dims(latest, dims).select(*fixed, *dims, "probe_id", "has_id").distinct()
-    return grouped_cube(pairs, dims, fixed, [
+    return grouped_cube(no_null_dims(latest, dims), dims, fixed, [
         F.count_distinct("probe_id").alias("play_users"), F.count_distinct("has_id").alias("plays"),
     ]).where("plays > 0")
 
