@@ -33,6 +33,11 @@ class KeyedTable:
         """Rows of one micro-batch, at most one per key."""
         rows.write.mode("overwrite").parquet(self._folder("delta", batch))
 
+    def before(self, batch: int) -> DataFrame | None:
+        """Rows the last complete batch before ``batch`` wrote, None if there is none."""
+        earlier = [b for b in self._complete("delta") if b < batch]
+        return self.spark.read.parquet(self._folder("delta", earlier[-1])) if earlier else None
+
     def exists(self) -> bool:
         return bool(self._complete("base") or self._complete("delta"))
 

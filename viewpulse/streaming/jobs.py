@@ -75,19 +75,21 @@ def late_query(spark: SparkSession, rows: DataFrame, root: str, delay: str, trig
                name: str = "late") -> StreamingQuery:
     """Keep the rows that come in more than ``delay`` behind the newest time of earlier micro-batches.
 
-    Windows drop such rows silently; here they are stored per micro-batch.  The newest time of each micro-batch is
-    stored as one row, and a replay only looks at earlier ones, so it repeats its result.
+    Windows drop such rows silently; here they are stored per micro-batch.  The newest time so far is stored as one row
+    per micro-batch, and a replay looks at the batch before it, so it repeats its result.
     """
-    newest = KeyedTable(spark, f"{root}/{name}_newest", ["origin"])
+    newest = KeyedTable(spark, f"{root}/{name}_newest", ["event_time"])
 
     def write(batch: DataFrame, number: int) -> None:
         batch.persist()
         try:
-            (batch.agg(F.max("event_time").alias("event_time")).withColumn("origin", F.lit(number))
-             .coalesce(1).write.mode("overwrite").parquet(f"{root}/{name}_newest/level=delta/batch={number}"))
-            before = newest.read().where(F.col("origin") < number).agg(F.max("event_time")).first()[0]
-            limit = F.lit(before).cast("timestamp") - F.expr(f"interval {delay}")
-            (W.late_rows(batch, limit).write.mode("overwrite").parquet(f"{root}/{name}/level=delta/batch={number}"))
+            earlier = newest.before(number)
+            before = earlier.first()[0] if earlier is not None else None
+            known = F.lit(before).cast("timestamp")
+            running = F.greatest(F.max("event_time").cast("timestamp"), known)
+            newest.write_batch(batch.agg(running.alias("event_time")).coalesce(1), number)
+            late = W.late_rows(batch, known - F.expr(f"interval {delay}"))
+            late.write.mode("overwrite").parquet(f"{root}/{name}/level=delta/batch={number}")
         finally:
             batch.unpersist()
 
