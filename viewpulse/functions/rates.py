@@ -39,11 +39,6 @@ def micros_to_seconds(micros: Column) -> Column:
     return F.when(micros >= 0, F.floor(seconds)).otherwise(F.ceil(seconds)).cast("bigint")
 
 
-def count_if(condition: Column) -> Column:
-    """Sum of 0/1; unlike ``count_if`` it stays mergeable by ``sum``."""
-    return F.sum(F.when(condition, 1).otherwise(0)).cast("bigint")
-
-
 def in_range(value: Column, cap: int = FIRST_FRAME_CAP_US) -> Column:
     """``0 < value <= cap``."""
     return (value > 0) & (value <= cap)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -31,6 +30,12 @@ def build_session(app: str = "viewpulse", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def use_keyed_state(spark: SparkSession) -> None:
+    """Keyed state needs the RocksDB state store; a session made elsewhere may not have it set."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(name, DEFAULTS[name])
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
@@ -49,7 +54,3 @@ def shared_root(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below :func:`shared_root`."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def cpu_count() -> int:
-    return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 1))

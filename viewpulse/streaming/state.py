@@ -5,19 +5,25 @@ Both processors sit behind a windowed aggregate, so a key hands over one small r
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from viewpulse.model import D2, PERIOD_TTL_S
 from viewpulse.operators.cube import no_null_dims
+from viewpulse.session import use_keyed_state
 from viewpulse.streaming.windows import window_cells
 
 COUNTERS = ("down_bytes", "play_seconds")
 
+# the processors travel with the query, so executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _batch(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     """The few rows of one key in one micro-batch, oldest window first."""
@@ -60,6 +66,7 @@ class PreviousValue(StatefulProcessor):
 def increments_stream(plays: DataFrame, minutes: int = 5, dims: Sequence[str] = D2,
                       ttl_s: int = PERIOD_TTL_S["RT"]) -> DataFrame:
     """Growth of the cumulative counters per window, session and type (append mode)."""
+    use_keyed_state(plays.sparkSession)
     maxima = [F.max(c).alias(c) for c in COUNTERS]
     cells = window_cells(no_null_dims(plays, dims), minutes, (*dims, "has_id", "has_type"), maxima)
     text = ", ".join(f"{d} string" for d in dims)
@@ -97,6 +104,7 @@ class OnlineBox(StatefulProcessor):
 
 def online_changes_stream(states: DataFrame, minutes: int = 5, order: Sequence[str] = ("event_time",)) -> DataFrame:
     """Per window and box: seen on anew (0/1) and change of the state kept (-1/0/1); unchanged boxes stay silent."""
+    use_keyed_state(states.sparkSession)
     cells = window_cells(states, minutes, ("probe_id",), [
         F.max(F.when(F.col("state") != "0", 1).otherwise(0)).alias("seen_on"),
         F.max_by("state", F.struct(*order)).alias("last_state")])
