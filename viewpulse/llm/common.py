@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
+from tempfile import TemporaryDirectory
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -42,6 +45,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: dict[str, TemporaryDirectory] = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Spark hand this package to its Python workers, once per application; they may not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    _SHIPPED[context.applicationId] = folder = TemporaryDirectory()  # the driver serves the file from here
+    package = Path(__file__).resolve().parents[1]
+    with zipfile.ZipFile(target := Path(folder.name) / f"{package.name}.zip", "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(target))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once per row, also when ``body`` uses it inside lambdas."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewpulse.llm import line_dedup, mixing, quality
+from viewpulse.llm import line_dedup, mixing, packing, quality, simhash, toxicity
+
+#: Tokenizer file of the packing query.
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,15 +28,34 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_classes(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), simhash.fingerprint_text(F.col("fp")).alias("fingerprint"),
+        F.col("class_id").alias("component_id"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedupe_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(*mixing.mix(table(spark, sf_dir, "documents"))).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "toxic")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op4_line_dedup, op7_mixing)}
+    f.__name__: f for f in (
+        op1_quality_rules, op2_simhash, op4_line_dedup, op5_packing, op7_mixing, op9_toxicity)}
