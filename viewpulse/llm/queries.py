@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewpulse.llm import line_dedup, mixing, packing, quality, simhash, toxicity
+from viewpulse.llm import line_dedup, mixing, packing, quality, simhash, topk, toxicity
 
 #: Tokenizer file of the packing query.
 TOKENIZER = "word_bpe_49k.json"
@@ -56,6 +56,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "toxic")
 
 
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_quality_rules, op2_simhash, op4_line_dedup, op5_packing, op7_mixing, op9_toxicity)}
+        op1_quality_rules, op2_simhash, op4_line_dedup, op5_packing, op7_mixing, op9_toxicity,
+        op10_exact_top_k)}

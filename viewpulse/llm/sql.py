@@ -56,4 +56,11 @@ select doc_id, size, n as source_size, target,
   cast(case when n = 0 then 0
     else take // n * size + greatest(0, least(start + size, take % n) - start) end as bigint) as taken from p"""
 
-ORACLES = {"op1_quality_rules": OP1, "op4_line_dedup": OP4, "op7_mixing": OP7}
+OP10 = """with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+p as (select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v, c.v) as bigint) as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from p)
+select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5"""
+
+ORACLES = {"op1_quality_rules": OP1, "op4_line_dedup": OP4, "op7_mixing": OP7, "op10_exact_top_k": OP10}
