@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewpulse.llm import line_dedup, mixing, packing, quality, simhash, topk, toxicity
+from viewpulse.llm import line_dedup, mixing, packing, quality, simhash, topk, toxicity, warc
 
 #: Tokenizer file of the packing query.
 TOKENIZER = "word_bpe_49k.json"
@@ -34,6 +34,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("class_id").alias("component_id"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedupe_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
@@ -62,5 +67,5 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_quality_rules, op2_simhash, op4_line_dedup, op5_packing, op7_mixing, op9_toxicity,
+        op1_quality_rules, op2_simhash, op3_warc, op4_line_dedup, op5_packing, op7_mixing, op9_toxicity,
         op10_exact_top_k)}

@@ -32,6 +32,15 @@ c as (select b.*, n_words - coalesce(lost.n, 0) as n_left, n_words < 50 or 100 *
 select doc_id, n_words, coalesce(word_chars, 0) as word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   not base_failed and n_left >= 50 and n_left >= n_words * 0.3 as kept from c"""
 
+_BASE32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((cast('0x' || substr(h, {5 * j + 1}, 5) as bigint) >> {s}) & 31), 1)"
+                     for j in range(8) for s in (15, 10, 5, 0))
+
+OP3 = f"""with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h,
+  max(page_id) over (partition by coalesce(html, '')) as last from pages)
+select page_id, cast(strlen(html) as bigint) as payload_bytes, {_BASE32} as payload_digest,
+  case when page_id = last then 'response' else 'revisit' end as record_type,
+  case when page_id <> last then last end as refers_to from p"""
+
 OP4 = f"""with {_LINES},
 k as (select key, min(doc_id) as first from l where length(key) >= 10 group by key having count(distinct doc_id) >= 2)
 select l.doc_id, cast(count(*) as bigint) as n_lines,
@@ -63,4 +72,4 @@ p as (select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v, c.v) as
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from p)
 select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5"""
 
-ORACLES = {"op1_quality_rules": OP1, "op4_line_dedup": OP4, "op7_mixing": OP7, "op10_exact_top_k": OP10}
+ORACLES = {"op1_quality_rules": OP1, "op3_warc": OP3, "op4_line_dedup": OP4, "op7_mixing": OP7, "op10_exact_top_k": OP10}
