@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewpulse.llm import line_dedup, mixing, packing, quality, simhash, topk, toxicity, warc
+from viewpulse.llm import line_dedup, mixing, packing, quality, simhash, substring, topk, toxicity, warc
+from viewpulse.llm.common import WORD
 
 #: Tokenizer file of the packing query.
 TOKENIZER = "word_bpe_49k.json"
@@ -53,6 +54,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = F.array_join(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0)), " ")
+    return substring.dedupe_passages(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -67,5 +74,5 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_quality_rules, op2_simhash, op3_warc, op4_line_dedup, op5_packing, op7_mixing, op9_toxicity,
-        op10_exact_top_k)}
+        op1_quality_rules, op2_simhash, op3_warc, op4_line_dedup, op5_packing, op7_mixing,
+        op8_substring_dedup, op9_toxicity, op10_exact_top_k)}
