@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewpulse.llm import line_dedup, mixing, packing, quality, simhash, substring, topk, toxicity, warc
+from viewpulse.llm import line_dedup, mixing, packing, pii, quality, simhash, substring, topk, toxicity, warc
 from viewpulse.llm.common import WORD
 
 #: Tokenizer file of the packing query.
 TOKENIZER = "word_bpe_49k.json"
 
+#: Key of the surrogates of the query; jobs on real data pass their own.
+SURROGATE_KEY = "sample tables"
+
 
 def tokenizer_path() -> str:
     import public_tokenizers
@@ -49,6 +52,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_pii(table(spark, sf_dir, "documents"), SURROGATE_KEY).select("doc_id", "text", "n_found", "kinds")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(*mixing.mix(table(spark, sf_dir, "documents"))).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -74,5 +81,5 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_quality_rules, op2_simhash, op3_warc, op4_line_dedup, op5_packing, op7_mixing,
+        op1_quality_rules, op2_simhash, op3_warc, op4_line_dedup, op5_packing, op6_pii_surrogates, op7_mixing,
         op8_substring_dedup, op9_toxicity, op10_exact_top_k)}
