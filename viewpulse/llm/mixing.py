@@ -136,9 +136,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     items, pieces = mix(docs, id_col, text_col, **settings)
     each = taken(items, pieces).where("size > 0")
     times = F.round(F.sum("taken") / F.sum("size")).cast("int")
-    copies = each.groupBy(F.col("id").alias("_id"), F.col("th").alias("_th")).agg(times.alias("_times")).where("_times > 0")
-    (key,) = fresh(docs, "_text_hash")
+    key, id_, th, n = fresh(docs, "_text_hash", "_of", "_th", "_times")
+    copies = each.groupBy(F.col("id").alias(id_), F.col("th").alias(th)).agg(times.alias(n)).where(F.col(n) > 0)
     known = docs.withColumn(key, F.xxhash64(text_col))
-    found = known.join(copies, same(known, copies, (id_col, "_id"), (key, "_th")))
-    return found.withColumn(key, F.explode(F.sequence(F.lit(1), F.col("_times")))).select(
-        *[F.col(c) for c in docs.columns])
+    found = known.join(copies, same(known, copies, (id_col, id_), (key, th)))
+    return found.withColumn(key, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*[F.col(c) for c in docs.columns])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from unicodedata import is_normalized
+from unicodedata import is_normalized, normalize
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +44,7 @@ class WordIds(dict):
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode()
         body = text.rstrip(_TAIL)
-        if body and len(body) < len(text) and body[-1].isalpha():
+        if body and len(body) < len(text) and normalize("NFC", body[-1]).lower().isalpha():
             found = self[body.encode()] + self[text[len(body):].encode()]
         elif text.isalpha() and text == text.lower() and max(text) < _PLAIN and is_normalized("NFC", text):
             # one token run that the normalizer leaves alone goes straight to the merges, in the byte alphabet
