@@ -366,9 +366,17 @@ def distinct_exact(v: Views) -> DataFrame:
     return C.exact_distinct_cube(v.play_request, D5, "boxes", "probe_id")
 
 
-@register("distinct_hll")
+#: five standard errors of a sketch of 2^12 registers, and one box for the smallest cells
+_HLL_ERROR = 5 * 1.04 / 2**6
+
+
+@register("distinct_hll", Q.with_views(Q.levels(
+    "fx_play_request", D5, "count(distinct probe_id) as boxes, true as near")))
 def distinct_hll(v: Views) -> DataFrame:
-    return C.sketch_distinct_cube(v.play_request, D5, "boxes", "probe_id")
+    exact = C.exact_distinct_cube(v.play_request, D5, "boxes", "probe_id")
+    estimate = C.sketch_distinct_cube(v.play_request, D5, "estimate", "probe_id", lg_config_k=12)
+    near = F.abs(F.col("estimate") - F.col("boxes")) <= F.col("boxes") * _HLL_ERROR + 1
+    return exact.join(estimate, list(D5)).select(*D5, "boxes", near.alias("near"))
 
 
 _FIRST = """firsts as (select * from fx_lag
@@ -781,21 +789,21 @@ def event_category(v: Views) -> DataFrame:
 
 
 _IMAGE_RES = " union all ".join(
-    f"select cast({m} as int) as resolution, bucket, {', '.join(D2)}, {_IMAGE_RATES} from (" + Q.cube(
-        f"(select *, {Q.bucket(m)} as bucket from fx_image)", D2, _IMAGE, ("bucket",)) + ") where r <> 0"
+    f"select cast({m} as int) as resolution, bucket, {', '.join(D5)}, {_IMAGE_RATES} from (" + Q.cube(
+        f"(select *, {Q.bucket(m)} as bucket from fx_image)", D5, _IMAGE, ("bucket",)) + ") where r <> 0"
     for m in (1, 15, 60))
 
 
 @register("multires_image", Q.with_views(_IMAGE_RES))
 def multires_image(v: Views) -> DataFrame:
-    return labelled(page.image_resolutions(v.image, D2), "bucket")
+    return labelled(page.image_resolutions(v.image, D5), "bucket")
 
 
 @register("multires_epg", _resolutions(
     "fx_epg", f"{_EPG_BANDS}, {Q.isum('requests', 'requests')}, "
-    "cast(sum(requests * http_rsp_time) // nullif(sum(requests), 0) as bigint) as mean_rsp_time", ("page_type",), D2))
+    "cast(sum(requests * http_rsp_time) // nullif(sum(requests), 0) as bigint) as mean_rsp_time", ("page_type",), D5))
 def multires_epg(v: Views) -> DataFrame:
-    return labelled(page.epg_resolutions(v.epg, D2), "bucket")
+    return labelled(page.epg_resolutions(v.epg, D5), "bucket")
 
 
 @register("retention_filter", Q.with_views(f"""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from catalog import sql as Q
 from catalog.queries import _DAMAGE, _FIRST, _PARSED, _STRICT, D2, ONE, _parsed_columns, register
-from catalog.views import Views
+from catalog.views import Views, raw_lines, write_sequence_files
 from viewpulse.functions import timecols as T
 from viewpulse.operators import parse as P
 from viewpulse.session import shared_path
@@ -66,7 +66,7 @@ def stream_progress(v: Views) -> DataFrame:
 @register("read_log_seqfile", _EVENT_ROWS.replace("select seq, ", "select "))
 def read_log_seqfile(v: Views) -> DataFrame:
     path = f"{shared_path(v.spark, 'seqfile')}/2024/01/01/log-00-all"
-    logs.write_sequence_files(v.raw_lines("event"), path)
+    write_sequence_files(v.raw_lines("event"), path)
     lines = logs.read_period_files(v.spark, path.split("/2024/")[0], "log", "HOUR", datetime(2024, 1, 1))
     return P.parse_valid(lines, "event").select(*_parsed_columns(v, "event"))
 
@@ -81,6 +81,62 @@ def period_scan(v: Views) -> DataFrame:
     return week.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"), F.sum("cnt").alias("count_sum"))
 
 
+def _ingested(log: str) -> str:
+    good = " and ".join(f"not ({_DAMAGE[d]})" for d in ("type", "length", *_STRICT[log]))
+    return Q.with_views(f"select {_PARSED[log]} from fx_{log} where {good}")
+
+
+def ingested(v: Views, log: str) -> DataFrame:
+    """Raw lines of one day's files through the ingest into the log table, and back as that day's rows."""
+    root = shared_path(v.spark, f"ingest_{log}")
+    write_sequence_files(v.raw_lines(log), f"{root}/raw/2024/01/17/{log}-00")
+    day = datetime(2024, 1, 17)
+    logs.ingest_period(v.spark, f"{root}/raw", log, log, "DAY", day, f"{root}/table", f"{root}/rejected")
+    return logs.read_log_table(v.spark, f"{root}/table", "DAY", day).select(*_parsed_columns(v, log))
+
+
+@register("ingest_login", _ingested("login"))
+def ingest_login(v: Views) -> DataFrame:
+    return ingested(v, "login")
+
+
+@register("ingest_http_error", _ingested("http_error"))
+def ingest_http_error(v: Views) -> DataFrame:
+    return ingested(v, "http_error")
+
+
+@register("ingest_straggler", Q.with_views(f"""
+select strftime(event_time, '%Y%m%d%H') as hour, {ONE} as n, {Q.isum('cnt', 'count_sum')} from fx_event group by 1"""))
+def ingest_straggler(v: Views) -> DataFrame:
+    """Two units, each with rows of the other's hours; the first is written a second time."""
+    path = f"{shared_path(v.spark, 'ingest_straggler')}/event"
+    rows = v.event
+    first = F.when(F.col("seq") % 50 == 0, F.hour("event_time") >= 12).otherwise(F.hour("event_time") < 12)
+    for unit, part in (("first", first), ("second", ~first), ("first", first)):
+        logs.write_log_table(rows.where(part), path, unit=unit)
+    table = logs.read_log_table(v.spark, path)
+    return table.groupBy(F.date_format("event_time", "yyyyMMddHH").alias("hour")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("cnt").alias("count_sum"))
+
+
+@register("ingest_no_time", Q.with_views(f"""
+select year(event_time) as year, page_type, {ONE} as n, {Q.isum('requests', 'requests')} from fx_epg
+where not (seq % 13 = 0 or seq % 17 = 0 or seq % 19 = 0 or seq % 23 = 0) group by all"""))
+def ingest_no_time(v: Views) -> DataFrame:
+    """Every third line has no time and counts in the year of its files."""
+    path = f"{shared_path(v.spark, 'ingest_no_time')}/epg"
+    years = range(1992, 1999)
+    found = None
+    blank = v.epg.withColumn("year", F.year("event_time")).withColumn(
+        "event_time", F.when(F.col("seq") % 3 != 0, F.col("event_time")))
+    for year in years:
+        logs.ingest(raw_lines(blank.where(F.col("year") == year), "epg"), "epg", path, unit=str(year), at=datetime(year, 1, 1))
+    for year in years:
+        rows = logs.read_log_table(v.spark, path, "YEAR", datetime(year, 6, 1)).withColumn("year", F.lit(year))
+        found = rows if found is None else found.unionByName(rows)
+    return found.groupBy("year", "page_type").agg(F.count(F.lit(1)).alias("n"), F.sum("requests").alias("requests"))
+
+
 def _closed(view: str, minutes: int, bucket: str = "bucket") -> str:
     return (f"strptime({bucket}, '%Y%m%d%H%M') + interval {minutes} minutes "
             f"<= (select max(event_time) from {view}) - interval 1 hour")
@@ -161,8 +217,8 @@ def late_rows(v: Views) -> DataFrame:
     late = F.when(F.col("seq") % 50 == 0, 1).otherwise(0)
     arrival = F.floor((F.col("seq") - ends["low"]) * 4 / width) + late
     for part in range(5):  # all rows in five arrivals, every 50th row one arrival later
-        rows.where(arrival == part).coalesce(1).write.mode("append").parquet(f"{root}/in")
-    stream = streams.table_rows(v.spark, f"{root}/in", max_files=1)
+        rows.where(arrival == part).repartition(4, "seq").write.mode("append").parquet(f"{root}/in")
+    stream = streams.table_rows(v.spark, f"{root}/in", max_files=4)
     J.late_query(v.spark, stream, root, "1 hour", NOW).awaitTermination()
     late = v.spark.read.parquet(f"{root}/late")
     return late.select("seq", "probe_id", T.minute_label(F.col("event_time")).alias("event_time"))

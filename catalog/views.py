@@ -186,11 +186,12 @@ def raw_lines(records: DataFrame, log: str) -> DataFrame:
     width, blank_at, number_at = RAW[log]
     parts: list[Column] = [F.lit("") for _ in range(width)]
     parts[0] = F.when(F.col("seq") % 13 == 0, "99").otherwise(layout.code)
-    for name, (position, kind) in layout.fields.items():
+    for name, (position, _) in layout.fields.items():
         if name == "session_part":
             parts[position] = F.concat(F.lit("s"), F.regexp_extract("has_id", "s([0-9]+)$", 1))
         elif name in records.columns:
-            parts[position] = stamp(F.col(name)) if kind == "time" else _text(F.col(name))
+            own = stamp(F.col(name)) if name == "event_time" else _text(F.col(name))
+            parts[position] = F.coalesce(own, F.lit(""))
     if log == "event":
         parts[1], parts[9] = F.lit("k"), F.lit("n")
         parts[11] = F.lit("u")
@@ -200,3 +201,8 @@ def raw_lines(records: DataFrame, log: str) -> DataFrame:
         parts[number_at] = F.when(F.col("seq") % 23 == 0, "x").otherwise(parts[number_at])
     line = F.concat_ws(DELIMITER, *parts)
     return records.select("seq", F.when(F.col("seq") % 17 == 0, parts[0]).otherwise(line).alias("value"))
+
+
+def write_sequence_files(lines: DataFrame, path: str) -> None:
+    """Lines as SequenceFile values, as collectors hand them over."""
+    lines.select("value").rdd.map(lambda row: (None, bytearray(row[0], "utf-8"))).saveAsSequenceFile(path)

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from catalog.views import Views, raw_lines
+from catalog.views import Views, raw_lines, write_sequence_files
 from viewpulse.model import D5, TABLES
 from viewpulse.operators.parse import parse_valid
 from viewpulse.plans import jobs, network
@@ -95,7 +95,7 @@ def test_sequence_files_and_ingest(spark, sf):
     records = Views(spark, sf).event
     day = F.date_trunc("day", "event_time").cast("timestamp_ntz")
     lines = raw_lines(records.withColumn("event_time", day), "event")
-    logs.write_sequence_files(lines, f"{root}/raw/2024/01/17")
+    write_sequence_files(lines, f"{root}/raw/2024/01/17")
     found = logs.read_period_files(spark, f"{root}/raw", "probe", "WEEK", datetime(2024, 1, 18))
     logs.ingest(found, "event", f"{root}/event", f"{root}/refused")
     good = parse_valid(lines.select("value"), "event", "offline").count()

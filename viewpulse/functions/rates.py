@@ -28,15 +28,20 @@ def clamp_to_one(rate: Column) -> Column:
     return F.least(rate, F.lit(1.0))
 
 
+def _divided(multiple: Column, by: Column) -> Column:
+    """Quotient of a whole number and one that divides it, exact over the range of bigint."""
+    return (multiple.cast("decimal(20,0)") / by.cast("decimal(20,0)")).cast("bigint")
+
+
 def whole_mean(total: Column, count: Column) -> Column:
-    """Mean cut to a whole number; null for a zero count."""
-    return F.when(count != 0, F.floor(F.try_divide(total, count)).cast("bigint"))
+    """Mean cut to a whole number, exact beyond 2^53; null for a zero count."""
+    by = F.nullif(count, F.lit(0))
+    return _divided(total - F.pmod(total, by), by)
 
 
 def micros_to_seconds(micros: Column) -> Column:
     """Whole seconds, cut towards zero as integer division does."""
-    seconds = micros / F.lit(1_000_000)
-    return F.when(micros >= 0, F.floor(seconds)).otherwise(F.ceil(seconds)).cast("bigint")
+    return _divided(micros - micros % 1_000_000, F.lit(1_000_000))
 
 
 def in_range(value: Column, cap: int = FIRST_FRAME_CAP_US) -> Column:

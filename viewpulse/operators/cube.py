@@ -58,36 +58,30 @@ def _finest(df: DataFrame, keys: Sequence[str], measures: Measures) -> DataFrame
     return df.groupBy(*keys).agg(*values)
 
 
-#: fixed keys that take many values, each with a bounded number of cells
-LABELS = ("minute", "event_second", "parse_time")
-
-
-def time_keys(fixed: Sequence[str]) -> tuple[str, ...]:
-    """All fixed keys when a time label is among them, else none."""
-    return tuple(fixed) if any(c in LABELS for c in fixed) else ()
-
-
 def cube_all(df: DataFrame, dims: Sequence[str], measures: Measures, fixed: Sequence[str] = (),
-             pre_aggregate: bool = True, colocate: Sequence[str] | None = None) -> DataFrame:
+             pre_aggregate: bool = True, colocate: bool | None = None) -> DataFrame:
     """Cube of mergeable measures (``sum``, ``max``, ``min``) with ``fixed`` keys always grouped.
 
-    ``colocate`` names fixed keys with many values; by default all of them when a time label is one.  The finest cells are then brought
-    together by those keys *before* they are expanded, and no expanded row is shuffled.  The group behind one value is
-    bounded by the number of cells, since pre-aggregation comes first.  Without such keys the expanded rows are combined
-    map-side and shuffled.  An empty input gives an empty result, also for the grand total.
+    With ``colocate`` (by default where there are fixed keys and more than one dimension) the finest cells are brought
+    together by the fixed keys and the first dimension *before* they are expanded over the other dimensions; the levels
+    without the first dimension are then summed from these, combined map-side.  Only one value of the first dimension
+    meets in a task, also where all rows carry one label.  Otherwise the expanded rows are combined map-side and
+    shuffled.  An empty input gives an empty result, also for the grand total.
     """
     df = no_null_dims(df, dims)
     keys = (*fixed, *dims)
-    together = time_keys(fixed) if colocate is None else tuple(colocate)
     if not pre_aggregate:
         merged, cells = measures, df
     else:
         cells = _finest(df, keys, measures)
         merged = {name: (how, name) for name, (how, _) in measures.items()}
     aggregates = [_MERGE[how](value).alias(name) for name, (how, value) in merged.items()]
-    if pre_aggregate and together:
-        spread = all_levels(cells.repartition(*together), dims)
-        return spread.groupBy(*keys).agg(*aggregates)
+    together = bool(fixed) if colocate is None else colocate
+    if pre_aggregate and together and len(dims) > 1:
+        first, *others = dims
+        kept = all_levels(cells.repartition(*fixed, first), others).groupBy(*keys).agg(*aggregates)
+        rolled = kept.groupBy(*fixed, *others).agg(*aggregates).withColumn(first, F.lit(ALL))
+        return kept.unionByName(rolled)
     rows = F.count(F.lit(1)).alias("_rows")
     return grouped_cube(cells, dims, fixed, [*aggregates, rows]).where("_rows > 0").drop("_rows")
 
@@ -114,9 +108,11 @@ def additive_distinct_cube(df: DataFrame, dims: Sequence[str], ids: Mapping[str,
 
 
 def exact_distinct_cube(df: DataFrame, dims: Sequence[str], name: str, column: str,
-                        fixed: Sequence[str] = (), measures: Measures | None = None) -> DataFrame:
+                        fixed: Sequence[str] = (), measures: Measures | None = None, plain: bool = False) -> DataFrame:
     """Exact distinct ids per subset, with further summed ``measures`` if wanted.
 
+    ``plain`` asks for the expanded distinct count of all ids, which few levels make cheaper.
+
     Nearly every id lives in one finest cell; those ids add up exactly, so they are counted per cell and only the cell
     counts are expanded.  Ids seen in several cells go through the expanded distinct count.  Both parts are whole, and
     no step gathers a group: each shuffle is keyed by an id, or by a cell after map-side combining.
@@ -129,9 +125,8 @@ def exact_distinct_cube(df: DataFrame, dims: Sequence[str], name: str, column: s
         pairs = _finest(known, (*keys, "_id"), measures)
     else:
         pairs = known.select(*keys, "_id").distinct()
-    if len(dims) <= 2 and not measures:
-        # four levels: the plain form is cheaper than telling the ids apart
-        return cube_of_distinct(pairs, dims, name, fixed)
+    if plain:
+        return cube_of_distinct(pairs, dims, name, fixed, [F.sum(m).alias(m) for m in measures])
     cells = pairs.withColumn("_cells", F.count(F.lit(1)).over(Window.partitionBy(*fixed, "_id")))
     sums = [F.sum(m).alias(m) for m in measures]
     # the same columns in both parts, so that both read one shuffle
@@ -159,18 +154,18 @@ def sketch_distinct_cube(df: DataFrame, dims: Sequence[str], name: str, column:
 
 
 def dense_counts(df: DataFrame, dims: Sequence[str], category: str, categories: Sequence[str], name: str,
-                 fixed: Sequence[str] = ()) -> DataFrame:
-    """Count per category with a zero row for every listed category a key has not seen.
+                 fixed: Sequence[str] = (), weight: Column | None = None) -> DataFrame:
+    """Count per category (or sum of ``weight``) with a zero row for every listed category a key has not seen.
 
-    One conditional sum per listed category, then one row per category: no grid join.  Categories outside the list are
-    counted where they occur.
+    One roll-up by category, then the zero rows of a key from the categories it has: no grid join, one scan.  Categories
+    outside the list are counted where they occur, a missing one as the empty text.
     """
-    columns = {f"_c{i}": ("sum", F.when(F.col(category) == value, 1).otherwise(0).cast("bigint"))
-               for i, value in enumerate(categories)}
-    wide = cube_all(df, dims, columns, fixed)
-    points = F.array(*[F.struct(F.lit(value).alias(category), F.col(f"_c{i}").alias(name))
-                       for i, value in enumerate(categories)])
-    listed = wide.select(*fixed, *dims, F.inline(points))
-    others = cube_all(df.where(~F.col(category).isin(*categories)), dims,
-                      {name: ("sum", F.lit(1).cast("bigint"))}, (*fixed, category))
-    return listed.unionByName(others)
+    one = F.lit(1).cast("bigint") if weight is None else weight
+    known = df.withColumn(category, F.coalesce(F.col(category), F.lit("")))
+    sparse = cube_all(known, dims, {name: ("sum", one)}, (*fixed, category))
+    # one entry per category of a key
+    points = sparse.groupBy(*fixed, *dims).agg(F.collect_list(F.struct(category, name)).alias("_seen"))
+    listed = F.array(*[F.lit(c) for c in categories])
+    missing = F.transform(F.array_except(listed, F.transform("_seen", lambda e: e[category])), lambda c: F.struct(
+        c.alias(category), F.lit(0).cast(sparse.schema[name].dataType).alias(name)))
+    return points.select(*fixed, *dims, F.inline(F.concat("_seen", missing)))

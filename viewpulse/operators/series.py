@@ -71,7 +71,7 @@ def multi_resolution(df: DataFrame, dims: Sequence[str], measures: Measures, fix
     spread = cells.select(*fixed, *dims, *measures, F.inline(buckets))
     merged = {name: ("sum", name) for name in measures}
     keys = ("resolution", "bucket", *fixed)
-    return cube_all(spread, dims, merged, keys, colocate=("resolution", "bucket"))
+    return cube_all(spread, dims, merged, keys)
 
 
 def _sum(how: str, value: Column | str) -> Column:
@@ -189,7 +189,8 @@ def online_at_periods(states: DataFrame, period: str = "DAY", order: Sequence[st
     runs = online_in_periods(states, start, order, off)
     end = states.agg(F.max(start)).scalar()
     step = {"HOUR": "interval 1 hour", "DAY": "interval 1 day", "WEEK": "interval 7 days",
-            "MONTH": "interval 1 month", "15MIN": "interval 15 minutes"}[period]
+            "MONTH": "interval 1 month", "QUARTER": "interval 3 months", "HALFYEAR": "interval 6 months",
+            "YEAR": "interval 1 year", "15MIN": "interval 15 minutes"}[period]
     until = F.when(~F.col("stays_on"), F.col("first_period")) \
         .when(F.col("next_record").isNull(), end) \
         .otherwise(F.col("next_record") - F.expr(step))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from viewpulse.functions import rates as R
 from viewpulse.model import D2, D5, FIRST_FRAME_CAP_US, HAS_TYPES
 from viewpulse.operators.cube import (
-    additive_distinct_cube, cube_all, exact_distinct_cube, grouped_cube, no_null_dims,
+    additive_distinct_cube, cube_all, exact_distinct_cube, no_null_dims,
 )
 from viewpulse.operators.series import period_increments
 
@@ -29,9 +29,12 @@ def accepted_types(df: DataFrame, accepted: Sequence[str] = HAS_TYPES) -> DataFr
 
 def users_and_plays(latest: DataFrame, dims: Sequence[str] = D2, fixed: Sequence[str] = ()) -> DataFrame:
     """Distinct boxes and sessions, exact at every level; input is the latest record per session."""
-    return grouped_cube(no_null_dims(latest, dims), dims, fixed, [
-        F.count_distinct("probe_id").alias("play_users"), F.count_distinct("has_id").alias("plays"),
-    ]).where("plays > 0")
+    keys = (*fixed, *dims)
+    none = F.lit(0).cast("bigint")
+    users = exact_distinct_cube(latest, dims, "play_users", "probe_id", fixed).withColumn("plays", none)
+    plays = exact_distinct_cube(latest, dims, "plays", "has_id", fixed).withColumn("play_users", none)
+    return (users.unionByName(plays).groupBy(*keys).agg(F.sum("play_users").alias("play_users"), F.sum("plays").alias("plays"))
+            .where("plays > 0"))
 
 
 def play_totals(latest: DataFrame, dims: Sequence[str] = D5, fixed: Sequence[str] = ()) -> DataFrame:

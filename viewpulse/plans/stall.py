@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewpulse.functions import rates as R
@@ -48,9 +48,10 @@ def cause_counts(lags: DataFrame, dims: Sequence[str] = D5, fixed: Sequence[str]
     return cube_all(lags, dims, {"lag_count": ("sum", F.lit(1).cast("bigint"))}, (*fixed, "export_id"))
 
 
-def dense_cause_counts(lags: DataFrame, dims: Sequence[str] = D5, fixed: Sequence[str] = ()) -> DataFrame:
-    """As :func:`cause_counts`, with zero rows for known causes a key has not seen."""
-    return dense_counts(lags, dims, "export_id", DENSE_CAUSES, "lag_count", fixed)
+def dense_cause_counts(lags: DataFrame, dims: Sequence[str] = D5, fixed: Sequence[str] = (),
+                       weight: Column | None = None) -> DataFrame:
+    """As :func:`cause_counts`, with zero rows for known causes a key has not seen; ``weight``: stalls of a row."""
+    return dense_counts(lags, dims, "export_id", DENSE_CAUSES, "lag_count", fixed, weight)
 
 
 def cause_counts_d6(lags: DataFrame, dims: Sequence[str] = D5, fixed: Sequence[str] = ()) -> DataFrame:

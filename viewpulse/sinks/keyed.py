@@ -1,17 +1,20 @@
 """Keyed tables on plain Parquet for streaming writers.
 
 Every micro-batch writes its own folder, so a replayed batch overwrites itself.  The newest batch wins per key on read.
-:meth:`KeyedTable.compact` folds batches into a base; no file is changed in place.
+:meth:`KeyedTable.compact` folds batches into a base; no file is changed in place.  A writer that compares with the table
+reads it as it was *before* its batch, so a replay finds what the first run found.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from viewpulse.sources.hadoop import matching, remove
+
 
 class KeyedTable:
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str]):
@@ -24,10 +27,8 @@ class KeyedTable:
 
     def _complete(self, level: str) -> list[int]:
         """Numbers of the finished folders of a level."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/level={level}/batch=*/_SUCCESS")
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
-        return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in files or [])
+        found = matching(self.spark, f"{self.root}/level={level}/batch=*/_SUCCESS")
+        return sorted(int(path.split("/")[-2].split("=")[1]) for path in found)
 
     def write_batch(self, rows: DataFrame, batch: int) -> None:
         """Rows of one micro-batch, at most one per key."""
@@ -38,18 +39,23 @@ class KeyedTable:
         earlier = [b for b in self._complete("delta") if b < batch]
         return self.spark.read.parquet(self._folder("delta", earlier[-1])) if earlier else None
 
-    def exists(self) -> bool:
-        return bool(self._complete("base") or self._complete("delta"))
+    def newest(self) -> DataFrame:
+        """Rows of the newest complete batch alone."""
+        return self.spark.read.parquet(self._folder("delta", self._complete("delta")[-1]))
+
+    def exists(self, before: int | None = None) -> bool:
+        return bool(self._parts(before))
 
-    def _parts(self) -> list[tuple[str, int]]:
-        base = self._complete("base")[-1:]
+    def _parts(self, before: int | None = None) -> list[tuple[str, int]]:
+        """The newest base and the deltas after it, of batches below ``before`` only."""
+        known = lambda level: [b for b in self._complete(level) if before is None or b < before]
+        base = known("base")[-1:]
         floor = base[0] if base else -1
-        return ([("base", b) for b in base]
-                + [("delta", b) for b in self._complete("delta") if b > floor])
+        return [("base", b) for b in base] + [("delta", b) for b in known("delta") if b > floor]
 
-    def read(self) -> DataFrame:
-        """Current rows: the newest batch per key."""
-        parts = self._parts()
+    def read(self, before: int | None = None) -> DataFrame:
+        """Current rows, or those before a batch: the newest batch per key."""
+        parts = self._parts(before)
         if not parts:
             raise FileNotFoundError(f"no complete batch below {self.root}")
         rows = self.spark.read.option("basePath", self.root).parquet(*[self._folder(*p) for p in parts])
@@ -57,12 +63,25 @@ class KeyedTable:
         return (rows.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1")
                 .drop("_rn", "level", "batch"))
 
-    def compact(self) -> int | None:
-        """Fold all complete batches into a new base; returns its number."""
-        parts = self._parts()
+    def compact(self, before: int | None = None, keep: Column | None = None) -> int | None:
+        """Fold complete batches (below ``before``) into a new base of the rows that ``keep`` accepts; returns its number.
+
+        Bases older than the new one and the deltas in the base before it go; the deltas just folded stay until the next
+        time, for readers that have listed them already.
+        """
+        parts = self._parts(before)
         if not parts:
             return None
         number = parts[-1][1]
         if ("base", number) not in parts:
-            self.read().write.mode("overwrite").parquet(self._folder("base", number))
+            rows = self.read(before)
+            (rows if keep is None else rows.where(keep)).write.mode("overwrite").parquet(self._folder("base", number))
+            old = [b for b in self._complete("base") if b < number]
+            gone = [("base", b) for b in old[:-1]] + [("delta", b) for b in self._complete("delta") if old and b <= old[-1]]
+            remove(self.spark, [self._folder(*g) for g in gone])
         return number
+
+    def compact_every(self, batches: int, batch: int, keep: Column | None = None) -> None:
+        """Fold what stands before ``batch`` once ``batches`` deltas have come together."""
+        if sum(level == "delta" for level, _ in self._parts(batch)) >= batches:
+            self.compact(batch, keep)

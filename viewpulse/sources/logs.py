@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from viewpulse.operators.parse import parse_log, rejected_rows, valid_rows
-from viewpulse.sources.periods import partition_filter, path_patterns, period_bounds
+from viewpulse.sources.hadoop import matching
+from viewpulse.sources.periods import check_period, label, partition_filter, path_patterns, period_bounds
 
 LINE = T.StructType([T.StructField("value", T.StringType())])
 
@@ -33,25 +34,29 @@ def read_sequence_files(spark: SparkSession, glob: str) -> DataFrame:
     return spark.createDataFrame(spark.sparkContext.sequenceFile(glob).mapPartitions(decode), LINE)
 
 
-def write_sequence_files(lines: DataFrame, path: str) -> None:
-    """Lines as SequenceFile values, for hand-over to readers of that format."""
-    lines.select("value").rdd.map(lambda row: (None, bytearray(row[0], "utf-8"))).saveAsSequenceFile(path)
-
-
 def read_period_files(spark: SparkSession, root: str, prefix: str, period: str, at: datetime) -> DataFrame:
-    """Lines of the SequenceFiles that hold a period."""
-    return read_sequence_files(spark, ",".join(root.rstrip("/") + p for p in path_patterns(prefix, period, at)))
+    """Lines of the SequenceFiles that hold a period.  Parts of it without files count as empty, not all of them."""
+    patterns = [root.rstrip("/") + p for p in path_patterns(prefix, period, at)]
+    found = [p for p in patterns if matching(spark, p)]
+    if not found:
+        raise FileNotFoundError(f"no files match {', '.join(patterns)}")
+    return read_sequence_files(spark, ",".join(found))
 
 
-def write_log_table(rows: DataFrame, path: str, time: str = "event_time", mode: str = "overwrite") -> None:
-    """Typed rows as Parquet partitioned by day and hour.
+def write_log_table(rows: DataFrame, path: str, time: str = "event_time", unit: str = "whole",
+                    at: datetime | None = None) -> None:
+    """Typed rows as Parquet: a folder per ingest ``unit``, below it partitions by day and hour.
 
+    A rerun of a unit replaces that unit alone, however far its rows reach into the hours of others.  ``at`` is the first
+    moment of the period of the unit's files: rows without a time of their own count there (``file_time``).
     ``rebalance`` brings the rows of an hour together for few files, and splits an hour that holds far more than others.
     """
-    stamped = (rows.withColumn("dt", F.date_format(F.col(time), "yyyyMMdd"))
-               .withColumn("hr", F.date_format(F.col(time), "HH")))
-    (stamped.hint("rebalance", "dt", "hr").write.mode(mode).option("partitionOverwriteMode", "dynamic")
-     .partitionBy("dt", "hr").parquet(path))
+    files = F.lit(at).cast("timestamp_ntz")
+    moment = F.coalesce(F.col(time).cast("timestamp_ntz"), files) if time in rows.columns else files
+    stamped = (rows.withColumn("file_time", files).withColumn("dt", F.date_format(moment, "yyyyMMdd"))
+               .withColumn("hr", F.date_format(moment, "HH")))
+    (stamped.hint("rebalance", "dt", "hr").write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("dt", "hr").parquet(f"{path}/unit={unit}"))
 
 
 def read_log_table(spark: SparkSession, path: str, period: str | None = None, at: datetime | None = None,
@@ -59,17 +64,33 @@ def read_log_table(spark: SparkSession, path: str, period: str | None = None, at
     """Rows of the period holding ``at`` (all rows without one); ``since`` moves the lower end back."""
     found = spark.read.parquet(path).schema
     # partition values look like numbers but are text with leading zeros
-    text = T.StructType([T.StructField(f.name, T.StringType()) if f.name in ("dt", "hr") else f for f in found])
+    places = ("dt", "hr", "unit")
+    text = T.StructType([T.StructField(f.name, T.StringType()) if f.name in places else f for f in found])
     table = spark.read.schema(text).parquet(path)
-    if period is None or at is None:
-        return table.drop("dt", "hr")
-    start, end = period_bounds(period, at)
-    return table.where(partition_filter(since or start, end, time)).drop("dt", "hr")
-
-
-def ingest(lines: DataFrame, log: str, path: str, rejected_path: str | None = None, mode: str = "offline") -> None:
-    """Parse raw lines once into the log table; refused lines go to ``rejected_path`` with their reason."""
+    if period is not None and at is not None:
+        start, end = period_bounds(period, at)
+        moment = F.col("file_time")
+        if time in table.columns:
+            moment = F.coalesce(F.col(time).cast("timestamp_ntz"), moment)
+        table = table.where(partition_filter(since or start, end, moment))
+    return table.drop(*places, "file_time")
+
+
+def ingest(lines: DataFrame, log: str, path: str, rejected_path: str | None = None, mode: str = "offline",
+           unit: str = "whole", at: datetime | None = None) -> None:
+    """Parse raw lines once into a unit of the log table; refused lines go to ``rejected_path`` with their reason."""
     parsed = parse_log(lines, log, mode)
-    write_log_table(valid_rows(parsed), path)
+    write_log_table(valid_rows(parsed), path, unit=unit, at=at)
     if rejected_path:
-        rejected_rows(parsed).write.mode("overwrite").parquet(rejected_path)
+        rejected_rows(parsed).write.mode("overwrite").parquet(f"{rejected_path}/unit={unit}")
+
+
+def ingest_period(spark: SparkSession, root: str, prefix: str, log: str, period: str, at: datetime, path: str,
+                  rejected_path: str | None = None) -> None:
+    """Ingest the files of a period as one unit; a file belongs into one unit only.
+
+    Rows without a time, and logs that have none, count in the period of their files, so use periods as short as those
+    that reports need.
+    """
+    lines = read_period_files(spark, root, prefix, period, at)
+    ingest(lines, log, path, rejected_path, unit=f"{check_period(period)}-{label(period, at)}", at=period_bounds(period, at)[0])

@@ -89,17 +89,16 @@ def path_patterns(prefix: str, period: str, at: datetime) -> list[str]:
     return [f"/{start:%Y/%m/%d}/{prefix}-{start:%H}-{quarter}*"]
 
 
-def partition_filter(start: datetime, end: datetime, time: str = "event_time") -> Column:
+def partition_filter(start: datetime, end: datetime, moment: Column) -> Column:
     """Rows of [start, end) in a table partitioned by ``dt`` (yyyyMMdd) and ``hr`` (HH).
 
-    The conditions on the partition columns prune directories; the one on the time cuts inside an hour.
+    The conditions on the partition columns prune directories; the one on ``moment`` cuts inside an hour.
     """
     last = end - timedelta(microseconds=1)
     days = F.col("dt").between(f"{start:%Y%m%d}", f"{last:%Y%m%d}")
     if start.date() == last.date():
         days = days & F.col("hr").between(f"{start:%H}", f"{last:%H}")
-    stamp = F.col(time).cast("timestamp_ntz")
-    return days & (stamp >= F.lit(start).cast("timestamp_ntz")) & (stamp < F.lit(end).cast("timestamp_ntz"))
+    return days & (moment >= F.lit(start).cast("timestamp_ntz")) & (moment < F.lit(end).cast("timestamp_ntz"))
 
 
 def lookback(period: str, at: datetime) -> datetime:

@@ -29,6 +29,8 @@ from viewpulse.streaming import windows as W
 
 Publish = Callable[[DataFrame], Mapping[str, DataFrame]]
 BUCKET = ("bucket",)
+#: micro-batches after which a keyed table is folded
+FOLD = 50
 
 
 @dataclass(frozen=True)
@@ -159,6 +161,7 @@ def minute_cells(job: CellJob, rows: DataFrame) -> DataFrame:
 
 def resolution_query(spark: SparkSession, job: CellJob, name: str, root: str, minutes: int,
                      trigger: Trigger) -> StreamingQuery:
+    # the first hop sends a cell once its minute is closed, so that none comes after a later one
     cells = W.with_watermark(table_rows(spark, f"{root}/{name}_cells"), "0 seconds", "bucket")
     names = list(job.measures())
     closed = W.window_cells(cells, minutes, (*job.fixed, *D5), [F.sum(n).alias(n) for n in names], "bucket")
@@ -167,15 +170,16 @@ def resolution_query(spark: SparkSession, job: CellJob, name: str, root: str, mi
 
 
 # ---- stall behaviour ------------------------------------------------------------------------------------------------
-def stall_query(spark: SparkSession, root: str, minutes: int, trigger: Trigger) -> StreamingQuery:
-    first = W.with_watermark(table_rows(spark, f"{root}/lag_first"), "0 seconds")
+def stall_query(spark: SparkSession, root: str, minutes: int, trigger: Trigger,
+                watermark: str = W.WATERMARK) -> StreamingQuery:
+    """First records pass the first hop at once, late ones too: the second hop waits for them as long as the first."""
+    first = W.with_watermark(table_rows(spark, f"{root}/lag_first"), watermark)
     closed = W.window_cells(first, minutes, (*D5, "has_id", "export_id"), [F.count(F.lit(1)).alias("_copies")])
 
     def publish(batch: DataFrame) -> Mapping[str, DataFrame]:
-        causes = cube_all(batch, D5, {"lag_count": ("sum", F.col("_copies"))}, (*BUCKET, "export_id"))
         rows = batch.withColumnRenamed("bucket", "event_time")
         return {f"lag_plays_{minutes}m": stall.stalled_plays(rows, minutes),
-                f"lag_cause_{minutes}m": causes}
+                f"lag_cause_{minutes}m": stall.dense_cause_counts(batch, D5, BUCKET, F.col("_copies"))}
 
     return publish_rows(closed, root, f"lag_{minutes}m", publish, trigger)
 
@@ -216,15 +220,15 @@ def online_counts(cells: DataFrame, dims: tuple[str, ...] = D2) -> DataFrame:
                         (held + F.col("net")).alias("stay_on"))
 
 
-def changed_terminals(batch: DataFrame, table: KeyedTable) -> DataFrame:
-    """Last report per box of a micro-batch where it differs from the stored one."""
+def changed_terminals(batch: DataFrame, table: KeyedTable, number: int | None = None) -> DataFrame:
+    """Last report per box of a micro-batch where it differs from the one stored before micro-batch ``number``."""
     columns = [c for c in TERMINAL_INFO_COLUMNS if c != "probe_id"]
     order = [F.col("ingest_time")] if "ingest_time" in batch.columns else []
     latest = one_per_key(batch, "probe_id", columns, [*order, *[F.col(c) for c in columns]])
-    if not table.exists():
+    if not table.exists(number):
         return latest
     # only the boxes of this batch matter: the stored table is cut down before it is compared
-    stored = table.read().join(latest.select("probe_id"), "probe_id", "left_semi")
+    stored = table.read(number).join(latest.select("probe_id"), "probe_id", "left_semi")
     record = F.struct(*columns)
     before = stored.select("probe_id", record.alias("_stored"))
     return (latest.join(before, "probe_id", "left")
@@ -232,14 +236,17 @@ def changed_terminals(batch: DataFrame, table: KeyedTable) -> DataFrame:
 
 
 def terminal_query(spark: SparkSession, lines: DataFrame, root: str, trigger: Trigger) -> StreamingQuery:
-    """Slowly changing terminal table, and the terminal count of the current table."""
+    """Slowly changing terminal table, and the terminal count of the table after every micro-batch.
+
+    A replay compares with the batches before its own and so writes the same changes again; every :data:`FOLD`
+    micro-batches the earlier ones are folded.
+    """
     def write(batch: DataFrame, number: int) -> None:
         table = KeyedTable(spark, f"{root}/terminal_info", ["probe_id"])
-        changed = changed_terminals(batch, table).persist()
-        try:
-            table.write_batch(changed, number)
-        finally:
-            changed.unpersist()
+        table.compact_every(FOLD, number)
+        table.write_batch(changed_terminals(batch, table, number), number)
+        counts = count_terminals(table.read(number + 1))
+        counts.write.mode("overwrite").parquet(f"{root}/realtime_terminal_count/level=delta/batch={number}")
 
     rows = parse_valid(lines, "terminal_info")
     return (rows.writeStream.queryName("terminal_info").foreachBatch(write)
@@ -250,9 +257,13 @@ def current_terminals(spark: SparkSession, root: str) -> DataFrame:
     return KeyedTable(spark, f"{root}/terminal_info", ["probe_id"]).read()
 
 
+def count_terminals(current: DataFrame) -> DataFrame:
+    return terminal.terminal_count(current.withColumn("seq", F.lit(0)), D5, ("seq",))
+
+
 def terminal_counts(spark: SparkSession, root: str) -> DataFrame:
-    current = current_terminals(spark, root).withColumn("seq", F.lit(0))
-    return terminal.terminal_count(current, D5, ("seq",))
+    """Counts published by the newest micro-batch."""
+    return KeyedTable(spark, f"{root}/realtime_terminal_count", list(D5)).newest()
 
 
 # ---- registry -------------------------------------------------------------------------------------------------------
@@ -288,10 +299,10 @@ def start(spark: SparkSession, job: str, lines: DataFrame, root: str, terminals:
 
 
 def start_published(spark: SparkSession, job: str, root: str, trigger: Trigger = Trigger(),
-                    resolutions: Iterable[int] = tuple(RESOLUTIONS)) -> list[StreamingQuery]:
-    """Start the second-hop queries of a job, once the first hop has committed something."""
+                    resolutions: Iterable[int] = tuple(RESOLUTIONS), watermark: str = W.WATERMARK) -> list[StreamingQuery]:
+    """Start the second-hop queries of a job, once the first hop has committed something; ``watermark`` as for it."""
     if job == "lag":
-        return [stall_query(spark, root, minutes, trigger) for minutes in resolutions]
+        return [stall_query(spark, root, minutes, trigger, watermark) for minutes in resolutions]
     if job in CELL_JOBS:
         return [resolution_query(spark, CELL_JOBS[job], job, root, minutes, trigger) for minutes in resolutions]
     return []
@@ -303,7 +314,7 @@ def run_available(spark: SparkSession, job: str, lines: DataFrame, root: str, te
     queries = start(spark, job, lines, root, terminals, Trigger(), watermark)
     for query in queries:
         query.awaitTermination()
-    second = start_published(spark, job, root, Trigger(), resolutions)
+    second = start_published(spark, job, root, Trigger(), resolutions, watermark)
     for query in second:
         query.awaitTermination()
     return queries + second

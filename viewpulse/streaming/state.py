@@ -31,7 +31,11 @@ def _batch(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
 
 
 class PreviousValue(StatefulProcessor):
-    """Cumulative counters to increments: subtract the value of the last window younger than the limit."""
+    """Cumulative counters to increments: subtract the value of the last window younger than the limit.
+
+    A timer in event time drops the value of a session once no later window can use it, so state holds the sessions of
+    the last ``ttl_s`` seconds only.
+    """
 
     def __init__(self, ttl_s: int, dims: Sequence[str], counters: Sequence[str] = COUNTERS):
         self.ttl_s = ttl_s
@@ -40,6 +44,7 @@ class PreviousValue(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         fields = ", ".join(f"{c} bigint" for c in self.counters)
+        self.handle = handle
         self.last = handle.getValueState("last", f"bucket_s bigint, {fields}")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -57,8 +62,15 @@ class PreviousValue(StatefulProcessor):
                             **{f"{c}_delta": v for c, v in grown.items()}})
             held = (seconds, *[int(group[c].max()) for c in self.counters])
         self.last.update(held)
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer((held[0] + self.ttl_s) * 1000)
         yield pd.DataFrame(out)
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        yield pd.DataFrame()
+
     def close(self) -> None:
         pass
 
@@ -73,7 +85,7 @@ def increments_stream(plays: DataFrame, minutes: int = 5, dims: Sequence[str] =
     schema = f"bucket timestamp, {text}, has_id string, has_type string, " + ", ".join(
         f"{c}_delta bigint" for c in COUNTERS)
     return cells.groupBy("has_id", "has_type").transformWithStateInPandas(
-        PreviousValue(ttl_s, dims), outputStructType=schema, outputMode="Append", timeMode="None")
+        PreviousValue(ttl_s, dims), outputStructType=schema, outputMode="Append", timeMode="EventTime")
 
 
 class OnlineBox(StatefulProcessor):
