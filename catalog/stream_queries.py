@@ -89,7 +89,7 @@ def _ingested(log: str) -> str:
 def ingested(v: Views, log: str) -> DataFrame:
     """Raw lines of one day's files through the ingest into the log table, and back as that day's rows."""
     root = shared_path(v.spark, f"ingest_{log}")
-    write_sequence_files(v.raw_lines(log), f"{root}/raw/2024/01/17/{log}-00")
+    write_sequence_files(v.raw_lines(log), f"{root}/raw/2024/01/17")
     day = datetime(2024, 1, 17)
     logs.ingest_period(v.spark, f"{root}/raw", log, log, "DAY", day, f"{root}/table", f"{root}/rejected")
     return logs.read_log_table(v.spark, f"{root}/table", "DAY", day).select(*_parsed_columns(v, log))
@@ -123,12 +123,13 @@ def ingest_straggler(v: Views) -> DataFrame:
 select year(event_time) as year, page_type, {ONE} as n, {Q.isum('requests', 'requests')} from fx_epg
 where not (seq % 13 = 0 or seq % 17 = 0 or seq % 19 = 0 or seq % 23 = 0) group by all"""))
 def ingest_no_time(v: Views) -> DataFrame:
-    """Every third line has no time and counts in the year of its files."""
+    """Every third line has no time and counts in the year of its files; other times are cut to the month (few folders)."""
     path = f"{shared_path(v.spark, 'ingest_no_time')}/epg"
-    years = range(1992, 1999)
+    ends = v.epg.agg(F.min(F.year("event_time")).alias("low"), F.max(F.year("event_time")).alias("high")).first()
+    years = range(ends["low"], ends["high"] + 1)
     found = None
     blank = v.epg.withColumn("year", F.year("event_time")).withColumn(
-        "event_time", F.when(F.col("seq") % 3 != 0, F.col("event_time")))
+        "event_time", F.when(F.col("seq") % 3 != 0, F.date_trunc("month", "event_time").cast("timestamp_ntz")))
     for year in years:
         logs.ingest(raw_lines(blank.where(F.col("year") == year), "epg"), "epg", path, unit=str(year), at=datetime(year, 1, 1))
     for year in years:
