@@ -18,9 +18,9 @@ TITLES = {
     "n": ["Dr.", "Prof."],
 }
 _TITLE = "(?:" + "|".join(t.replace(".", r"\.") for own in TITLES.values() for t in own) + ")"
-#: What is looked for, in this order; a secret stands behind a word that announces it.
+#: What is looked for, in this order; a secret stands behind a word, in any case, that announces it.
 PATTERNS = {
-    "secret": r"(?<=(?:password|passwd|secret|token|api_key|apikey) ?[=:] ?[\"']?)[^\s\"'=:][^\s\"']{5,}",
+    "secret": r"(?<=(?i:password|passwd|secret|token|api_key|apikey) ?[=:] ?[\"']?)[^\s\"'=:][^\s\"']{5,}",
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "access_key": r"\bAKIA[A-Z0-9]{16}\b",
     "phone": r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,5}(?:[ .-]?[0-9]{2,5}){1,4}\b|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}\b",
@@ -31,7 +31,7 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A text without any of these has nothing that the patterns match.
-HINT = rf"[0-9@]|{_TITLE} \p{{Lu}}|(?:password|passwd|secret|token|api_?key) ?[=:]"
+HINT = rf"[0-9@]|{_TITLE} \p{{Lu}}|AKIA|(?i:password|passwd|secret|token|api_?key) ?[=:]"
 DIGITS = ("phone", "card", "ssn")
 #: First names by script and gender, and the syllables that surnames are made of.
 FIRST_NAMES = {
@@ -65,7 +65,7 @@ def redrawn(text: Column, seed: Column, keep: Column | int = 0) -> Column:
 
     Text in hexadecimal digits stays so.
     """
-    hexadecimal = text.rlike("^[0-9a-f]+$")
+    hexadecimal = text.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")
 
     def one(c: Column, i: Column) -> Column:
         n = number(seed, i)
@@ -73,7 +73,7 @@ def redrawn(text: Column, seed: Column, keep: Column | int = 0) -> Column:
             [chr(first + k) for k in range(size)], n)
         return (F.when(i < keep, c).when(c.rlike("[0-9]"), drawn(48, 10))
                 .when(c.rlike("[a-z]"), F.when(hexadecimal, drawn(97, 6)).otherwise(drawn(97, 26)))
-                .when(c.rlike("[A-Z]"), drawn(65, 26)).when(c.rlike(r"[а-яё]"), drawn(0x430, 32))
+                .when(c.rlike("[A-Z]"), F.when(hexadecimal, drawn(65, 6)).otherwise(drawn(65, 26))).when(c.rlike(r"[а-яё]"), drawn(0x430, 32))
                 .when(c.rlike(r"[А-ЯЁ]"), drawn(0x410, 32)).when(c.rlike(r"(?=\p{IsGreek})\p{Ll}"), drawn(0x3B1, 17))
                 .when(c.rlike(r"(?=\p{IsGreek})\p{Lu}"), drawn(0x391, 17)).when(c.rlike(r"\p{Ll}"), drawn(97, 26))
                 .when(c.rlike(r"\p{Lu}"), drawn(65, 26)).otherwise(c))
