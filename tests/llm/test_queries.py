@@ -12,7 +12,7 @@ def test_query_equals_its_sql(spark, sf, name):
 
 
 def test_one_query_for_every_operator():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
 
 
 def test_workers_need_no_package_on_their_path(spark, sf):

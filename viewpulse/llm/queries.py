@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewpulse.llm import line_dedup, mixing, packing, pii, quality, simhash, substring, topk, toxicity, warc
+from viewpulse.llm import (
+    audit, infill, line_dedup, mixing, neighbours, packing, pii, quality, simhash, substring, topk, toxicity, warc,
+)
 from viewpulse.llm.common import WORD
 
 #: Tokenizer file of the packing query.
@@ -79,7 +81,23 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return infill.fill_in_middle(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(text, 256).alias("output_sha256"),
+        F.sha2(infill.restored(text, F.col("form")), 256).alias("restored_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_simhash, op3_warc, op4_line_dedup, op5_packing, op6_pii_surrogates, op7_mixing,
-        op8_substring_dedup, op9_toxicity, op10_exact_top_k)}
+        op8_substring_dedup, op9_toxicity, op10_exact_top_k, op11_nearest_neighbours, op12_fill_in_middle,
+        op13_filter_audit)}

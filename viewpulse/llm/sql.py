@@ -72,4 +72,43 @@ p as (select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v, c.v) as
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from p)
 select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5"""
 
-ORACLES = {"op1_quality_rules": OP1, "op3_warc": OP3, "op4_line_dedup": OP4, "op7_mixing": OP7, "op10_exact_top_k": OP10}
+_UNIT = "'[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+'"
+
+OP12 = f"""with d as (select doc_id, coalesce(text, '') as text, sha256('42:' || doc_id) as h from documents),
+u as (select *, regexp_extract_all(text, {_UNIT}) as us, {', '.join(
+    f"cast('0x' || substr(h, {8 * i + 1}, 8) as bigint) as h{i + 1}" for i in range(4))} from d),
+n as (select *, cast(len(us) as bigint) as n, least(h1 % (len(us) + 1), h2 % (len(us) + 1)) as a,
+    greatest(h1 % (len(us) + 1), h2 % (len(us) + 1)) as b from u),
+c as (select *, array_to_string(us[1:a], '') as p, array_to_string(us[a + 1:b], '') as m, array_to_string(us[b + 1:], '') as s,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 50 then 'plain'
+      when h4 % 100 < 80 then 'spm' else 'psm' end as form from n)
+select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_chars,
+  case when form <> 'plain' then length(m) end as middle_chars, sha256(case form when 'plain' then text
+    when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+  sha256(text) as restored_sha256 from c"""
+
+OP13 = f"""with d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), {_WORD}) as ws,
+    min(doc_id) over (partition by coalesce(text, '')) as first from documents),
+l as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id),
+f as (select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+    cast(len(ws) < 200 as int) + 2 * cast(100 * len(list_distinct(ws)) < 50 * len(ws) as int)
+    + 4 * cast(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) as int)
+    + 8 * cast(regexp_matches(text, '[#$%&*|]') as int) + 16 * cast(first < doc_id as int) as mask
+  from d left join l using (doc_id)),
+c as (select part, mask, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from f group by all),
+x as (select * from (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) as v(name, bit)),
+o as (select a.name || b.name || c.name || d.name || e.name as filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+  from x a, x b, x c, x d, x e where a.bit + b.bit + c.bit + d.bit + e.bit = 31 and len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5),
+s as (select filter_order, k as step, bits[k] as own, cast(coalesce(list_sum(bits[1:k - 1]), 0) as int) as earlier
+  from o, unnest([1, 2, 3, 4, 5]) as t(k))
+select part, filter_order, step, {', '.join(f'cast(coalesce(sum({v}) filter ({w}), 0) as bigint) as {a}' for a, v, w in (
+    ('kept', 'n', 'mask & (own | earlier) = 0'), ('removed', 'n', 'mask & own <> 0 and mask & earlier = 0'),
+    ('redundant', 'n', 'mask & own <> 0 and mask & earlier <> 0'), ('unique_fails', 'n', 'mask = own'),
+    ('good_lost', 'good', 'mask & own <> 0 and mask & earlier = 0'),
+    ('toxic_lost', 'toxic', 'mask & own <> 0 and mask & earlier = 0'),
+    ('shapley', 'n * (120 // greatest(bit_count(mask), 1))', 'mask & own <> 0')))}
+from c, s group by part, filter_order, step"""
+
+ORACLES = {"op1_quality_rules": OP1, "op3_warc": OP3, "op4_line_dedup": OP4, "op7_mixing": OP7, "op10_exact_top_k": OP10,
+           "op12_fill_in_middle": OP12, "op13_filter_audit": OP13}
