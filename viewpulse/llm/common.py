@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from viewpulse.session import shared_path
+from viewpulse.sources.hadoop import remove
 
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -42,7 +43,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = shared_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.stored_at = path
+    return found
+
+
+def unstored(*frames: DataFrame) -> None:
+    """Delete the files of :func:`stored` frames.  What was made from them must have been stored itself by then."""
+    remove(frames[0].sparkSession, [frame.stored_at for frame in frames])
 
 
 _SHIPPED: dict[str, TemporaryDirectory] = {}

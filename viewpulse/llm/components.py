@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewpulse.llm.common import stored
+from viewpulse.llm.common import stored, unstored
 
 
 def _change(edges: DataFrame) -> tuple:
@@ -30,5 +30,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = stored(large.where("a <> b").distinct(), "star")
         down = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(down, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("low").alias("b"))
-        current = stored(small.where("a <> b").distinct(), "star")
+        after = stored(small.where("a <> b").distinct(), "star")
+        unstored(current, large)
+        current = after
     return current.select(F.col("a").alias("node"), F.col("b").alias("root"))

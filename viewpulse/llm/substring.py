@@ -10,13 +10,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewpulse.llm.common import LAST_ID, WORD, count_words, fresh, hash128, same, ship, stored
+from viewpulse.llm.common import LAST_ID, WORD, count_words, fresh, hash128, same, ship, stored, unstored
 
 #: Words of the shortest passage that counts; words of an anchor (windows of a passage share one by its smallest hash).
-WINDOW, ANCHOR = 50, 25
-#: Words of one reference shard, documents that meet a shard in one task, words a process remembers.
-SHARD, MEET, REMEMBERED = 20_000, 1024, 1_000_000
-#: Bits of the filter that keeps texts without candidates out of a shuffle (its size does not depend on the data).
+WINDOW, ANCHOR = 50, 12
+#: Words of one reference shard, pieces of documents that meet a shard in one task, words a process remembers.
+SHARD, MEET, REMEMBERED = 20_000, 4096, 1_000_000
+#: Bits of the filters that keep rows without candidates out of a shuffle (their size does not depend on the data).
 FILTER_BITS = 24
 #: Multiplier of the rolling hash (odd) and its inverse modulo 2^64.
 _BASE = 0x9E3779B97F4A7C15
@@ -130,6 +130,12 @@ def _anchored(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "t1", "t2")), lists], ["id", "t1", "t2", "anchors"])
 
 
+def _runs(marked: np.ndarray) -> list[tuple[int, int]]:
+    """Maximal runs [from, to) of equal, non-negative numbers."""
+    edge = np.flatnonzero(np.diff(np.concatenate([[-1], marked, [-1]])))
+    return [(a, b) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()) if marked[a] >= 0]
+
+
 def _candidates(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Passages of windows with shared anchors, and the hashes of these windows."""
     kinds = {"id": pa.int64(), "t1": pa.int64(), "t2": pa.int64(), "starts": pa.list_(pa.int64()),
@@ -141,84 +147,107 @@ def _candidates(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.R
                 words = (row["text"] or b"").split()
                 hashes = word_hashes(words)
                 near = np.isin(anchors(hashes, window), np.array(row["shared"], np.int64).view(np.uint64))
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], near.view(np.int8), [0]])))
-                starts, ends = edge[::2], edge[1::2] + window - 1
-                rows.append({**{c: row[c] for c in ("id", "t1", "t2")}, "starts": starts.tolist(),
-                             "passages": [b" ".join(words[a:b]).decode() for a, b in zip(starts, ends, strict=True)],
+                runs = _runs(near.astype(np.int64) - 1)
+                rows.append({**{c: row[c] for c in ("id", "t1", "t2")}, "starts": [a for a, _ in runs],
+                             "passages": [b" ".join(words[a:b + window - 1]).decode() for a, b in runs],
                              "windows": np.unique(rolling(hashes, window)[near]).view(np.int64).tolist()})
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in kinds.items()], list(kinds))
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], window: int, shards: int, shared: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Candidate passages cut by the shards of their anchors: windows that a document holds first become references, other
+    windows that may be shared stream past them."""
+    names = ["shard", "streams", "id", "t1", "t2", "start", "passage"]
+    for batch in batches:
+        for at in range(0, batch.num_rows, 64):
+            out = []
+            for row in batch.slice(at, 64).to_pylist():
+                own = np.array(row["firsts"] or [], np.int64).view(np.uint64)
+                for start, passage in zip(row["starts"], row["passages"], strict=True):
+                    words = passage.encode().split(b" ")
+                    hashes = word_hashes(words)
+                    windows = rolling(hashes, window)
+                    place = windows & np.uint64((1 << FILTER_BITS) - 1)
+                    known = shared[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1 == 1
+                    first = np.isin(windows, own)
+                    shard = (anchors(hashes, window) % np.uint64(shards)).astype(np.int64)
+                    for streams, chosen in ((0, first), (1, known & ~first)):
+                        out += [(shard[a], streams, row["id"], row["t1"], row["t2"], start + a,
+                                 b" ".join(words[a:b + window - 1]).decode()) for a, b in _runs(np.where(chosen, shard, -1))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in out], pa.string() if c == "passage" else pa.int64()) for i, c in enumerate(names)], names)
+
+
 def _matched(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by shard, its reference passages before the documents that meet it."""
-    key, passages, automaton = None, [], None
+    """Rows come sorted by shard, its references before the pieces that stream past them."""
+    key, references, automaton = None, [], None
     for batch in batches:
         out = []
         for row in batch.to_pylist():
-            if key != (now := (row["ref"], row["shard"], row["salt"])):
-                key, passages, automaton = now, [], None
-            if not row["meets"]:
-                passages += [p.encode().split(b" ") for p in row["passages"]]
+            if key != (now := (row["shard"], row["salt"])):
+                key, references, automaton = now, [], None
+            if not row["streams"]:
+                references.append(row["passage"].encode().split(b" "))
                 continue
             if automaton is None:
-                automaton = Automaton(passages)
-            for start, passage in zip(row["starts"], row["passages"], strict=True):
-                out += [(row["id"], row["t1"], row["t2"], start + a, start + b)
-                        for a, b in automaton.spans(passage.encode().split(b" "), window)]
+                automaton = Automaton(references)
+            out += [(row["id"], row["t1"], row["t2"], row["start"] + a, row["start"] + b)
+                    for a, b in automaton.spans(row["passage"].encode().split(b" "), window)]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(5)],
                                          ["id", "t1", "t2", "low", "high"])
 
 
-def _shards(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Reference passages cut into shards; cuts overlap, so that every window lies in one of them."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            shard, size, part = 0, 0, []
-            out = []
-            for passage in row["passages"]:
-                words = passage.split(" ")
-                for at in range(0, len(words) - window + 1, SHARD):
-                    piece = words[at:at + SHARD + window - 1]
-                    part.append(" ".join(piece))
-                    size += len(piece)
-                    if size >= SHARD:
-                        out.append((shard, part))
-                        shard, size, part = shard + 1, 0, []
-            if part:
-                out.append((shard, part))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row["ref"]] * len(out), pa.int64()), pa.array([x[0] for x in out], pa.int64()),
-                 pa.array([x[1] for x in out], pa.list_(pa.string()))], ["ref", "shard", "passages"])
+def filter_of(keys: Column, chosen: DataFrame, bits: int) -> DataFrame:
+    """(``_bucket``, ``_bits``): a set of the low ``bits`` bits of long keys, in at most 2^bits / 32768 + 1 rows of 4 KB."""
+    place = F.pmod(keys, F.lit(1 << bits)) + 1
+    return chosen.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("_bits"))
 
 
-def only_among(df: DataFrame, key: Column, chosen: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """Rows of ``df`` that may have a ``key`` of ``chosen``: a filter of 2^``bits`` bits, sent to all tasks.
+def filter_bytes(keys: Column, chosen: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """The same as bytes, for Arrow functions: bit b of byte i stands for the place 8 i + b."""
+    found = np.zeros((1 << bits) // 8, np.uint8)
+    for row in filter_of(keys, chosen, bits).collect():  # bounded by bits
+        at = (row["_bucket"] - 1) * 4096
+        found[at:at + 4096] = np.frombuffer(row["_bits"], np.uint8)[:len(found) - at]
+    return found
+
 
-    Lets rows through that a join must still refuse, more of them the more keys there are, but never stops a chosen one.
+def maybe_among(df: DataFrame, key: Column, chosen: DataFrame, name: str, bits: int = FILTER_BITS) -> DataFrame:
+    """``df`` with a boolean ``name``: whether a row may have a ``key`` of ``chosen``.
+
+    A filter of 2^``bits`` bits is sent to all tasks; nothing else moves.  It says yes to some other rows too, more of them
+    the more keys there are, but never no to a chosen one.
     """
-    place = F.pmod(F.xxhash64("key"), F.lit(1 << bits))
-    bitmaps = chosen.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("_bits"))  # at most 2^bits / 32768 rows of 4 KB
+    bitmaps = filter_of(F.xxhash64("key"), chosen, bits)
     own, bucket = fresh(df, "_place", "_own_bucket")
-    placed = df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(1 << bits)))
+    placed = df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(1 << bits)) + 1)
     placed = placed.withColumn(bucket, F.bitmap_bucket_number(own)).withColumn(own, F.bitmap_bit_position(own))
+    met = placed.join(F.broadcast(bitmaps), placed[bucket] == bitmaps["_bucket"], "left")
     byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.col(own) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    hit = F.expr(f"shiftright({{}}, cast({own} % 8 as int)) & 1 = 1".format("_byte"))
-    met = placed.join(F.broadcast(bitmaps), placed[bucket] == bitmaps["_bucket"])
-    return met.withColumn("_byte", byte).where(hit).select(*[F.col(c) for c in df.columns])
+    hit = F.coalesce(F.getbit(byte, F.col(own) % 8) == 1, F.lit(False))
+    return met.withColumn(name, hit).select(*[F.col(c) for c in df.columns], name)
+
+
+def only_among(df: DataFrame, key: Column, chosen: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """Rows of ``df`` that :func:`maybe_among` says yes to."""
+    (hit,) = fresh(df, "_hit")
+    return maybe_among(df, key, chosen, hit, bits).where(F.col(hit)).drop(hit)
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """(``id``, ``t1``, ``t2``, ``copy``, ``ranges``) of documents with words to remove; t1, t2 hash the text.
 
     1. Of equal texts only the one with the smallest id goes on; the others are ``copy``.
-    2. Each window has an anchor, the smallest hash of its 25-word runs.  Anchors of two or more documents mark the
+    2. Each window has an anchor, the smallest hash of its 12-word runs.  Anchors of two or more documents mark the
        candidate passages; texts without any are not moved.
-    3. The candidate windows' hashes tell which earlier documents hold the windows of a document first.  They only choose
-       which reference shards it meets.
-    4. The passages of an earlier document, in shards of bounded size, become suffix automata, which are sent to all tasks
-       with documents that meet them (a shard that many meet goes to as many tasks); documents stream past, and maximal
-       matched spans of ``window`` words or more are removed.
+    3. Each window found in several documents has a first one.  The windows that a document holds first are references.
+       They go, as passages of many documents, to the shards of their anchors, of :data:`SHARD` words in expectation, and
+       become one suffix automaton a shard.
+    4. Other windows that may be shared (a filter of fixed size decides, so a window of very many documents is never looked
+       up) stream, as pieces of passages, past the automata of *their* anchors: equal windows have equal anchors.  A shard
+       that many pieces meet goes to as many tasks.  Matching statistics give the maximal spans of ``window`` words or
+       more.  All that an automaton holds stands in a document of smaller id than the piece, so a match decides.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -234,39 +263,42 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     seen = marked.groupBy("t1", "t2").agg(F.min(order).alias("ord"), F.any_value("anchors").alias("anchors"))
     each = seen.select("ord", "t1", "t2", F.explode("anchors").alias("anchor"))
     shared = each.groupBy("anchor").agg(F.min("ord").alias("_low"), F.max("ord").alias("_high")).where("_low < _high")
-    met = each.join(shared.select("anchor"), "anchor").groupBy("ord", "t1", "t2").agg(F.collect_list("anchor").alias("shared"))
-    met = stored(met, "shared-anchors")
-    some = only_among(plain, F.col("t1"), met.select(F.col("t1").alias("key")))
-    some = some.withColumn("ord", order)
+    shared = stored(shared.select("anchor"), "shared-anchors")
+    met = only_among(each, F.col("anchor"), shared.select(F.col("anchor").alias("key"))).join(shared, "anchor").groupBy(
+        "ord", "t1", "t2").agg(F.collect_list("anchor").alias("shared"))
+    met = stored(met, "met-anchors")
+    some = only_among(plain.withColumn("ord", order), F.xxhash64("ord", "t1", "t2"), met.select(
+        F.xxhash64("ord", "t1", "t2").alias("key")))
     joined = some.join(met, ["ord", "t1", "t2"]).select(F.col("ord").alias("id"), "t1", "t2", "text", "shared").dropDuplicates(
         ["id", "t1", "t2"])
     spans = stored(joined.mapInArrow(lambda it: _candidates(it, window), "id long, t1 long, t2 long, starts array<long>, "
                                      "passages array<string>, windows array<long>"), "candidates")
-    windows = spans.select("id", "t1", "t2", F.explode("windows").alias("w"))
-    held = windows.groupBy("w").agg(F.min("id").alias("ref"), F.max("id").alias("_high")).where("ref < _high")
-    links = windows.join(held.select("w", "ref"), "w").where("id > ref").groupBy("id", "t1", "t2", "ref").agg(
-        F.count("*").alias("n"))
-    links = stored(links.select("id", "t1", "t2", "ref"), "links")
-    crowds = stored(links.groupBy("ref").agg(F.ceil(F.count("*") / F.lit(float(MEET))).cast("long").alias("salts")), "crowds")
-    shards = spans.select(F.col("id").alias("ref"), "passages").join(crowds.select("ref"), "ref").mapInArrow(
-        lambda it: _shards(it, window), "ref long, shard long, passages array<string>")
-    # rows of one id share shard numbers, which then hold the passages of them all
-    shards = stored(shards, "shards")
-    counts = shards.groupBy("ref").agg(F.max("shard").alias("_last")).join(crowds, "ref")
-    references = shards.join(crowds, "ref").select(
-        "ref", "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("meets"),
-        *[F.lit(None).cast("long").alias(c) for c in ("id", "t1", "t2")], F.lit(None).cast("array<long>").alias("starts"), "passages")
-    asking = links.join(counts, "ref").join(spans.select("id", "t1", "t2", "starts", "passages"), ["id", "t1", "t2"]).select(
-        "ref", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last"))).alias("shard"),
-        F.pmod(F.xxhash64("id", "t1", "t2"), F.col("salts")).alias("salt"), F.lit(1).alias("meets"),
-        "id", "t1", "t2", "starts", "passages")
-    names = ["ref", "shard", "salt"]
-    streams = references.unionByName(asking).repartition(*names).sortWithinPartitions(*names, "meets")
-    ranges = streams.mapInArrow(lambda it: _matched(it, window), "id long, t1 long, t2 long, low long, high long")
+    windows = spans.select("id", F.explode("windows").alias("w"))
+    held = stored(windows.groupBy("w").agg(F.min("id").alias("first"), F.max("id").alias("_high")).where("first < _high").select(
+        "w", "first"), "shared-windows")
+    unstored(shared, met)
+    known = filter_bytes(F.col("w"), held)
+    n_shards = max(1, -(-held.count() * 4 // SHARD))  # a reference window brings about four words
+    own = held.groupBy(F.col("first").alias("id")).agg(F.collect_list("w").alias("firsts"))
+    pieces = stored(spans.select("id", "t1", "t2", "starts", "passages").join(own, "id", "left").mapInArrow(
+        lambda it: _pieces(it, window, n_shards, known),
+        "shard long, streams long, id long, t1 long, t2 long, start long, passage string"), "pieces")
+    unstored(spans, held)
+    crowds = pieces.where("streams = 1").groupBy("shard").agg(F.ceil(F.count("*") / F.lit(float(MEET))).cast("long").alias("salts"))
+    crowds = stored(crowds, "crowds")
+    references = pieces.where("streams = 0").join(crowds, "shard").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
+    streams = pieces.where("streams = 1").join(crowds.where("salts > 1"), "shard", "left").withColumn(
+        "salt", F.pmod(F.xxhash64("id", "t1", "t2", "start"), F.coalesce("salts", F.lit(1).cast("long"))))
+    names = ["shard", "salt"]
+    together = references.unionByName(streams).drop("salts").repartition(*names).sortWithinPartitions(*names, "streams")
+    ranges = together.mapInArrow(lambda it: _matched(it, window), "id long, t1 long, t2 long, low long, high long")
     ranges = ranges.groupBy("id", "t1", "t2").agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
     ranges = ranges.select(F.when(F.col("id") < LAST_ID, F.col("id")).alias("id"), "t1", "t2", F.lit(False).alias("copy"), "ranges")
     whole = copies.distinct().withColumn("copy", F.lit(True)).withColumn("ranges", F.lit(None).cast(ranges.schema["ranges"].dataType))
-    return stored(ranges.unionByName(whole), "repeated")
+    found = stored(ranges.unionByName(whole), "repeated")
+    unstored(marked, firsts, pieces, crowds)
+    return found
 
 
 def dedupe_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -275,15 +307,19 @@ def dedupe_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Windows are judged on the texts as they come.  Returns the columns of ``docs``, a changed text being its kept words
     joined by one space, and ``n_words`` (before) and ``n_removed``; columns of ``docs`` with these names are replaced.  A
     null text stays null and has no words.  Rows with one id are one document and keep what they share with each other;
-    rows without an id are one document that comes last.
+    rows without an id are one document that comes last.  Only rows that may lose words meet the list of ranges in a
+    shuffle, the others go through where they are.
     """
     docs = docs.drop("n_words", "n_removed")
-    key1, key2, id_, copy, ranges, words = fresh(docs, "_t1", "_t2", "_of", "_copy", "_ranges", "_words")
+    key1, key2, id_, copy, ranges, words, hit = fresh(docs, "_t1", "_t2", "_of", "_copy", "_ranges", "_words", "_hit")
     found = repeated_passages(docs, id_col, text_col, window).select(
         F.col("id").alias(id_), F.col("t1").alias(f"{key1}_of"), F.col("t2").alias(f"{key2}_of"), F.col("copy").alias(copy),
         F.col("ranges").alias(ranges))
     t1, t2 = hash128(F.coalesce(F.col(text_col), F.lit("")))
-    known = docs.withColumn(key1, t1).withColumn(key2, t2)
+    hashed = maybe_among(docs.withColumn(key1, t1).withColumn(key2, t2), F.xxhash64(key1, key2, F.coalesce(
+        F.col(id_col).cast("long"), F.lit(LAST_ID))), found.select(F.xxhash64(
+            f"{key1}_of", f"{key2}_of", F.coalesce(id_, F.lit(LAST_ID))).alias("key")), hit)
+    known = hashed.where(F.col(hit))
     met = known.join(found, same(known, found, (id_col, id_), (key1, f"{key1}_of"), (key2, f"{key2}_of")), "left")
     met = met.withColumn("n_words", count_words(F.col(text_col)))
     gone = F.array_distinct(F.flatten(F.transform(F.col(ranges), lambda r: F.sequence(r["low"], r["high"] - 1))))
@@ -295,5 +331,8 @@ def dedupe_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kept = F.when(all_gone, "").when(part_gone, F.get(F.transform(F.array(own), lambda w: F.array_join(
         F.transform(F.col(words), lambda i: F.get(w, i)), " ")), F.lit(0))).otherwise(F.col(text_col))
     removed = F.when(all_gone, F.col("n_words")).when(part_gone, F.col("n_words") - F.size(words)).otherwise(0)
-    return met.select(*[kept.alias(c) if c == text_col else F.col(c) for c in docs.columns], "n_words",
-                      removed.cast("long").alias("n_removed"))
+    changed = met.select(*[kept.alias(c) if c == text_col else F.col(c) for c in docs.columns], "n_words",
+                         removed.cast("long").alias("n_removed"))
+    same_ = hashed.where(~F.col(hit)).select(*[F.col(c) for c in docs.columns], count_words(F.col(text_col)).alias("n_words"),
+                                             F.lit(0).cast("long").alias("n_removed"))
+    return same_.unionByName(changed)
