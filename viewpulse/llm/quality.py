@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewpulse.llm.common import BLANKS, WORD, count_words, fresh, hash128, let, line_key, same
+from viewpulse.llm.common import BLANKS, LAST_ID, WORD, count_words, fresh, hash128, let, line_key, same
 from viewpulse.llm.line_dedup import split_lines
 
 SYMBOLS = "#*$%&|<>"
@@ -42,36 +42,39 @@ def base_columns(text: Column) -> dict[str, Column]:
     }
 
 
-def frequent_lines(docs: DataFrame, host_col: str, text_col: str, max_docs: int, max_share: float,
-                   min_chars: int) -> DataFrame:
-    """(``host``, ``h1``, ``h2``, ``n_docs``) of lines in more documents of their host than both limits allow.
+def frequent_lines(docs: DataFrame, id_col: str, host_col: str, text_col: str, max_docs: int, max_share: float,
+                   min_docs: int, min_chars: int) -> DataFrame:
+    """(``host``, ``h1``, ``h2``, ``n_docs``) of lines in more documents of their host than one of two limits allows.
 
-    Each document counts a line once.  Counting combines map-side; only lines above ``max_docs`` meet the host sizes.
+    Documents are told apart by id; rows without one count as one document.  Counting combines map-side; only lines of
+    ``min_docs`` documents meet the host sizes.
     """
     keys = F.array_distinct(F.filter(F.transform(split_lines(F.col(text_col)), line_key),
                                      lambda k: F.length(k) >= min_chars))
-    each = docs.select(F.col(host_col).alias("host"), F.explode(keys).alias("key"))
+    own = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
+    each = docs.select(F.col(host_col).alias("host"), own.alias("doc"), F.explode(keys).alias("key"))
     h1, h2 = hash128(F.col("key"))
-    often = (each.select("host", h1.alias("h1"), h2.alias("h2")).groupBy("host", "h1", "h2")
-             .agg(F.count("*").alias("n_docs")).where(F.col("n_docs") > max_docs))
-    sizes = docs.groupBy(F.col(host_col).alias("_host")).agg(F.count("*").alias("_size"))
-    return (often.join(sizes, same(often, sizes, ("host", "_host")))
-            .where(F.col("n_docs") > F.col("_size") * max_share).select("host", "h1", "h2", "n_docs"))
+    often = (each.select("host", "doc", h1.alias("h1"), h2.alias("h2")).groupBy("host", "h1", "h2")
+             .agg(F.count_distinct("doc").alias("n_docs")).where(F.col("n_docs") >= min(min_docs, max_docs + 1)))
+    sizes = docs.groupBy(F.col(host_col).alias("_host")).agg(F.count_distinct(own).alias("_size"))
+    over = (F.col("n_docs") > max_docs) | (F.col("n_docs") >= min_docs) & (F.col("n_docs") > F.col("_size") * max_share)
+    return often.join(sizes, same(often, sizes, ("host", "_host"))).where(over).select("host", "h1", "h2", "n_docs")
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-                  min_words: int = 50, max_repeat_pct: int = 50, max_docs: int = 10, max_share: float = 0.001,
-                  min_chars: int = 10, min_left: float = 0.3) -> DataFrame:
+                  min_words: int = 50, max_repeat_pct: int = 50, max_docs: int = 10, max_share: float = 0.5,
+                  min_docs: int = 3, min_chars: int = 10, min_left: float = 0.3) -> DataFrame:
     """Judge documents by their own counts and by how many of their lines are boilerplate of their host.
 
     A line (blanks stripped, A-Z lower-cased, ``min_chars`` code points or more) is boilerplate where more than
-    ``max_docs`` documents and more than the share ``max_share`` of the documents of its host have it.  Such lines are
-    removed; a document left with fewer than ``min_words`` words or less than ``min_left`` of its words is depleted.
+    ``max_docs`` documents of its host have it, at any size of the host, or ``min_docs`` or more that are more than the
+    share ``max_share`` of a small host.  Such lines are removed; a document left with fewer than ``min_words`` words or less
+    than ``min_left`` of its words is depleted.
 
     Returns the columns of ``docs`` with the remaining text, the counts of :func:`base_columns`, ``n_left`` (words that
     remain), ``base_failed`` (fewer than ``min_words`` words, or more than ``max_repeat_pct`` percent of them in repeated
     windows) and ``kept``.  All counts are of the text as it came.  A null text counts as empty and fails; a null host is
-    a host of its own; every row counts as a document, repeated rows too.  Columns of ``docs`` with the names of results
+    a host of its own; rows of one id count as one document where lines are counted, rows without an id too.  Columns of ``docs`` with the names of results
     are replaced.
     """
     results = [*base_columns(F.lit("")), "n_left", "base_failed", "kept"]
@@ -83,7 +86,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     placed = placed.withColumn("key", line_key(F.col("line"))).where(F.length("key") >= min_chars)
     h1, h2 = hash128(F.col("key"))
     placed = placed.select("id", "th", "host", "pos", count_words(F.col("line")).alias("n"), h1.alias("h1"), h2.alias("h2"))
-    often = frequent_lines(docs, host_col, text_col, max_docs, max_share, min_chars).select(
+    often = frequent_lines(docs, id_col, host_col, text_col, max_docs, max_share, min_docs, min_chars).select(
         F.col("host").alias("_host"), F.col("h1").alias("_h1"), F.col("h2").alias("_h2"))
     removed = (placed.join(often, same(placed, often, ("host", "_host")) & (placed["h1"] == often["_h1"])
                            & (placed["h2"] == often["_h2"]))

@@ -23,8 +23,8 @@ b as (select w.doc_id, cast(len(ws) as bigint) as n_words,
     cast(coalesce(r.n, 0) as bigint) as n_repeat_words
   from w join s using (doc_id) left join r using (doc_id)),
 f as (select source, key, count(distinct doc_id) as n from l where length(key) >= 10 group by source, key),
-z as (select source, count(*) as n from documents group by source),
-o as (select f.source, f.key from f join z on f.source is not distinct from z.source where f.n > 10 and f.n > z.n * 0.001),
+z as (select source, count(distinct doc_id) as n from documents group by source),
+o as (select f.source, f.key from f join z on f.source is not distinct from z.source where f.n > 10 or f.n >= 3 and f.n > z.n * 0.5),
 lost as (select doc_id, sum(len(regexp_extract_all(line, {_WORD}))) as n
   from l join o on l.key = o.key and l.source is not distinct from o.source group by doc_id),
 c as (select b.*, n_words - coalesce(lost.n, 0) as n_left, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed
