@@ -273,14 +273,21 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 def page_records(records: DataFrame) -> DataFrame:
     """Records of pages with ``refers_to``, the page number of the record that a revisit refers to."""
     records = stored(records.drop("payload"), "warc-records")
-    heads = records.where("record_type <> 'revisit'").select(F.col("record_id").alias("refers_to_id"),
-                                                             F.col("page_id").alias("refers_to"))
-    return records.join(heads, "refers_to_id", "left").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "date", "uri")
+    own = ["page_id", "payload_bytes", "payload_digest", "record_type"]
+    first = records.where("record_type <> 'revisit'")
+    heads = first.select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"))
+    # only revisits look up a record; the others have none to look up
+    again = records.where("record_type = 'revisit'").join(heads, "refers_to_id", "left")
+    return first.select(*own, F.lit(None).cast("long").alias("refers_to"), "record_id", "date", "uri").unionByName(
+        again.select(*own, "refers_to", "record_id", "date", "uri"))
 
 
 def archive_pages(pages: DataFrame, min_bytes: int = 0, **columns) -> DataFrame:
-    """Pages to ARC, ARC to WARC, and the records read back, by way of archives in the session's shared folder."""
+    """Pages to ARC, ARC to WARC, and the records read back, by way of archives in the session's shared folder.
+
+    One row per row of ``pages``, repeated rows too (which revisit each other); null payloads and addresses are empty, a null
+    page number stays null; other columns are not looked at, whatever their names; an empty table gives no rows.
+    """
     spark = pages.sparkSession
     arc, warc = shared_path(spark, "arc"), shared_path(spark, "warc")
     write_arc(pages, arc, **columns)
