@@ -106,7 +106,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     items = sized.join(known, same(sized, known, ("source", "_source"))).drop("_source")
 
     bits = bits_for(sources.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0], CHUNK)
-    mixed = F.md5(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("null")), F.lit(f":{seed}")))
+    # rows without an id are dealt by text and row, so that they do not meet in one bucket
+    own = F.coalesce(F.col("id").cast("string"), F.concat_ws(":", F.lit("null"), "th", "row"))
+    mixed = F.md5(F.concat(own, F.lit(f":{seed}")))
     bucket = F.shiftrightunsigned(F.conv(F.substring(mixed, 1, 8), 16, 10).cast("long"), 32 - bits)
     ring = running(items.where("size > 0").select("row", "no", "id", "th", "size", "source_size", "take", mixed.alias("key"),
                                                   bucket.alias("bucket")),
@@ -131,7 +133,8 @@ def taken(items: DataFrame, pieces: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """Rows of ``docs`` as often as :func:`mix` takes them, rounded to whole documents (at most one of a source is cut).
 
-    Rows equal in id and text share what they get together evenly.
+    Rows equal in id and text share what they get together evenly.  Documents without words, null texts among them, are in
+    no mixture and go.
     """
     items, pieces = mix(docs, id_col, text_col, **settings)
     each = taken(items, pieces).where("size > 0")
