@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from viewpulse.llm.common import fresh, hash128, let, same, stored
+from viewpulse.llm.common import fresh, hash128, let, same, stored, unstored
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _NAME = r"\p{Lu}[\p{L}'’-]+(?: \p{Lu}[\p{L}'’-]+)?"
@@ -33,6 +33,10 @@ ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A text without any of these has nothing that the patterns match.
 HINT = rf"[0-9@]|{_TITLE} \p{{Lu}}|AKIA|(?i:password|passwd|secret|token|api_?key) ?[=:]"
 DIGITS = ("phone", "card", "ssn")
+#: Country codes of telephone numbers (fixed by their plan): one, two or else three digits.
+COUNTRY = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+#: Attempts after which surrogates grow, so that there is always a free one, and after which something must be wrong.
+GROW, ATTEMPTS = 7, 64
 #: First names by script and gender, and the syllables that surnames are made of.
 FIRST_NAMES = {
     "latin": {"m": ["Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Hugo", "Ivan", "Leon", "Martin", "Oscar", "Paul", "Robin",
@@ -99,13 +103,17 @@ def with_kind(matches: DataFrame) -> DataFrame:
         kind = F.when(m.rlike(f"^(?:{PATTERNS[name]})$"), F.lit(name)).otherwise(kind)
     # the context of a secret is gone: what is announced as one and looks like another kind counts as that kind
     matches = matches.withColumn("kind", kind)
+    digits = F.regexp_replace(m, "[^0-9]", "")
+    number_only = (F.col("kind") == "card") & (luhn_digit(F.substring(digits, 1, 15)) != F.substring(digits, -1, 1))
+    matches = matches.withColumn("kind", F.when(~number_only, F.col("kind")))  # no kind: any number of 16 digits, left alone
     k = F.col("kind")
     bare = F.regexp_replace(m, f"^{_TITLE} ", "")
     gender = F.lit("n")
     for g in ("m", "f"):
         own = "|".join(t.replace(".", r"\.") for t in TITLES[g])
         gender = F.when(m.rlike(f"^(?:{own}) "), F.lit(g)).otherwise(gender)
-    return matches.withColumn("canonical", F.when(k.isin(*DIGITS), F.regexp_replace(m, "[^0-9]", "")).when(
+    return matches.withColumn("canonical", F.when(
+        k == "phone", F.regexp_replace(m, "[^+0-9]", "")).when(k.isin(*DIGITS), digits).when(
         k == "email", F.lower(m)).when(k == "name", F.lower(bare)).otherwise(m)).withColumn(
         "gender", F.when(k == "name", gender).otherwise("n"))
 
@@ -122,15 +130,15 @@ def surrogate(key: str) -> Column:
     seed = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, c, F.col("attempt").cast("string"), F.lit(key)), 256)
 
     def drawn(s: Column) -> Column:
-        card = redrawn(c, s, 1)
-        valid = F.substring(c, -1, 1) == luhn_digit(F.substring(c, 1, 15))
-        head = F.substring(card, 1, 15)
-        octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)),
-                                          lambda i: (number(s, i) % 254 + 1).cast("string")), ".")
-        phone = F.concat(F.substring(c, 1, 1), (number(s, "area") % 8 + 2).cast("string"), F.substring(redrawn(c, s), 3, 99))
+        growth = F.greatest(F.col("attempt") - GROW, F.lit(0))
+        longer = redrawn(F.repeat(F.lit("0"), growth), F.concat(s, F.lit("m")))
+        head = F.substring(redrawn(c, s, 1), 1, 15)
+        octets = F.array_join(F.transform(F.sequence(F.lit(0), growth + 3), lambda i: (number(s, i) % 254 + 1).cast("string")), ".")
+        # the country code stays, the number behind it starts with 2 to 9
+        code = F.regexp_extract(c, COUNTRY, 0)
+        phone = F.concat(code, (number(s, "area") % 8 + 2).cast("string"), F.substring(redrawn(c, s), F.length(code) + 2, F.lit(99)), longer)
         domain = redrawn(F.regexp_replace(F.substring_index(c, "@", -1), r"\.[^.]+$", ""), F.concat(s, F.lit("d")))
-        # a short form has few others like it: late attempts grow, so that there is always a free one
-        more = redrawn(F.repeat(F.lit("a"), F.greatest(F.col("attempt") - 7, F.lit(0))), F.concat(s, F.lit("m")))
+        more = redrawn(F.repeat(F.lit("a"), growth), F.concat(s, F.lit("m")))
         email = F.concat(redrawn(F.substring_index(c, "@", 1), s), more, F.lit("@"), domain, F.lit(".example"))
         words = F.split(c, " ")
         script = F.when(c.rlike(r"\p{IsCyrillic}"), "cyrillic").when(c.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
@@ -143,9 +151,11 @@ def surrogate(key: str) -> Column:
             # a further attempt has a further syllable: there is always a free name
             last = F.when(script == own, surname(SYLLABLES[own], s)).otherwise(last)
         name = F.when(F.size(words) > 1, F.concat_ws(" ", first, last)).otherwise(last)
-        return (F.when(kind == "card", F.when(valid, F.concat(head, luhn_digit(head))).otherwise(card))
+        grown = F.concat(head, longer)
+        return (F.when(kind == "card", F.concat(grown, luhn_digit(grown))).when(kind == "ssn", F.concat(redrawn(c, s), longer))
                 .when(kind == "ip", octets).when(kind == "phone", phone).when(kind == "email", email)
-                .when(kind == "access_key", redrawn(c, s, 4)).when(kind == "name", name).otherwise(F.concat(redrawn(c, s), more)))
+                .when(kind == "access_key", F.concat(redrawn(c, s, 4), F.upper(more))).when(kind == "name", name)
+                .otherwise(F.concat(redrawn(c, s), more)))
     return let(seed, drawn)
 
 
@@ -154,12 +164,15 @@ def dictionary(entities: DataFrame, key: str) -> DataFrame:
 
     Surrogates come from a keyed hash, the same in every document and run.  Where one is taken (the earlier attempt, then
     the smaller entity has it) or is the name of an entity found in the text, the next attempt is drawn, until none clash.
+    A form may have no free surrogate (of 10,000 phone numbers of five digits that begin alike all may be real): from the
+    :data:`GROW`-th attempt on surrogates of every kind grow by a character each time.  More than :data:`ATTEMPTS` rounds
+    raise an error.
     """
     rank = F.when(F.col("gender") == "n", 0).otherwise(1)
     table = stored(entities.groupBy("kind", "canonical").agg(
         F.max(F.struct(rank.alias("r"), F.col("gender").alias("gender"))).alias("g")).select(
         "kind", "canonical", F.col("g.gender").alias("gender"), F.lit(0).alias("attempt")), "entities")
-    while True:
+    for _ in range(ATTEMPTS):
         drawn = stored(table.withColumn("surrogate", surrogate(key)), "surrogates")
         order = Window.partitionBy("kind", "_plain").orderBy("attempt", "canonical")
         plain = F.when(F.col("kind") == "name", F.lower("surrogate")).otherwise(F.col("surrogate"))
@@ -169,17 +182,21 @@ def dictionary(entities: DataFrame, key: str) -> DataFrame:
         taken = (F.col("_place") > 1) | F.col("_plain_of").isNotNull()
         judged = stored(judged.select("kind", "canonical", "gender", "surrogate",
                                       (F.col("attempt") + taken.cast("int")).alias("attempt"), taken.alias("taken")), "judged")
+        unstored(drawn)
         if not judged.where("taken").limit(1).count():
             return judged.select("kind", "canonical", "surrogate")
         table = judged.select("kind", "canonical", "gender", "attempt")
+    raise RuntimeError(f"surrogates still clash after {ATTEMPTS} attempts")
 
 
 def written(match: Column, kind: Column, name: Column) -> Column:
-    """A surrogate in the way the match is written: separators, title and capitals as there."""
+    """A surrogate in the way the match is written: separators, title and capitals as there; digits it has more come last."""
+    name = F.when(kind.isin(*DIGITS), F.regexp_replace(name, "[^0-9]", "")).otherwise(name)
     filled = F.aggregate(F.split(match, ""), F.struct(F.lit("").alias("out"), F.lit(0).alias("k")), lambda s, c: F.when(
         c.rlike("[0-9]"), F.struct(F.concat(s["out"], F.substring(name, s["k"] + 1, F.lit(1))).alias("out"),
                                    (s["k"] + 1).alias("k"))).otherwise(
-        F.struct(F.concat(s["out"], c).alias("out"), s["k"].alias("k"))))["out"]
+        F.struct(F.concat(s["out"], c).alias("out"), s["k"].alias("k"))), lambda s: F.concat(
+            s["out"], F.substring(name, s["k"] + 1, F.length(name))))
     title = F.regexp_extract(match, f"^({_TITLE} )", 1)
     shouted = match == F.upper(match)
     return (F.when(kind.isin(*DIGITS), filled).when(kind == "name", F.concat(title, name))
@@ -189,8 +206,9 @@ def written(match: Column, kind: Column, name: Column) -> Column:
 def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Replace personal data and secrets by surrogates of their kind.
 
-    Found are the kinds of :data:`PATTERNS`.  A surrogate keeps length, separators, character classes and script, the
-    validity of card numbers, the gender of titled names; mail addresses end in the reserved ``.example``.  The same entity
+    Found are the kinds of :data:`PATTERNS`; 16 digits are a card number only where their check digit fits.  A surrogate keeps
+    length (but see :func:`dictionary`), separators, character classes and script, the check digit of cards, the country code of
+    phone numbers, the gender of titled names; mail addresses end in the reserved ``.example``.  The same entity
     has the same surrogate in all documents, different ones differ (:func:`dictionary`).  A full name that stood behind a
     title is also replaced where it stands alone in the same document.
 
@@ -205,11 +223,13 @@ def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     hinted = docs.where(F.col(text_col).rlike(HINT)).select(F.col(id_col).alias("id"), t1.alias("t1"), t2.alias("t2"), F.posexplode(
         F.regexp_extract_all(F.col(text_col), F.lit(ANY), F.lit(0))).alias("pos", "match"))
     matches = stored(with_kind(hinted), "matches")
-    known = dictionary(matches.select("kind", "canonical", "gender"), key)
+    known = dictionary(matches.where("kind is not null").select("kind", "canonical", "gender"), key)
     bare = F.when(F.col("kind") == "name", F.regexp_replace("match", f"^{_TITLE} ", ""))
-    own = matches.join(known, ["kind", "canonical"]).groupBy(
+    plain = matches.where("kind is null").withColumn("surrogate", F.col("match"))  # keeps its place among the matches
+    own = matches.join(known, ["kind", "canonical"]).unionByName(plain).groupBy(
         F.col("id").alias(id_), F.col("t1").alias(f"{key1}_of"), F.col("t2").alias(f"{key2}_of")).agg(
-        F.sort_array(F.collect_set(F.struct("pos", written(F.col("match"), F.col("kind"), F.col("surrogate")).alias("new")))).alias(found),
+        F.sort_array(F.collect_set(F.struct("pos", F.coalesce(written(F.col("match"), F.col("kind"), F.col("surrogate")), "match").alias("new"),
+                                            F.col("kind").isNotNull().alias("real")))).alias(found),
         F.collect_set(F.when(bare.contains(" "), F.struct(bare.alias("old"), F.col("surrogate").alias("new")))).alias(names),
         F.array_join(F.sort_array(F.collect_set("kind")), ",").alias(kinds))
     hashed = docs.withColumn(key1, t1).withColumn(key2, t2)
@@ -220,5 +240,5 @@ def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
         F.col(found), lambda r, i: F.concat(r["new"], F.get(gap, i + 1))), "")))
     text = F.when(F.col(found).isNull(), F.col(text_col)).otherwise(new)
     return met.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns],
-                      F.when(F.col(found).isNull(), 0).otherwise(F.size(found)).cast("long").alias("n_found"),
+                      F.when(F.col(found).isNull(), 0).otherwise(F.size(F.filter(found, lambda r: r["real"]))).cast("long").alias("n_found"),
                       F.coalesce(kinds, F.lit("")).alias("kinds"))
