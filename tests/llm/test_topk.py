@@ -12,13 +12,11 @@ DDL = "vec_id long, embedding array<float>, score int, rank string, row int, cel
 def brute(rows, asks, k=5):
     usable = [(i, np.floor(256.0 * np.array(v, np.float32).astype(np.float64)).astype(np.int64)) for i, v in rows
               if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
-    lengths = Counter(len(v) for _, v in usable)
-    length = min(lengths, key=lambda n: (-lengths[n], n))
-    usable = [(i, v) for i, v in usable if len(v) == length]
     out = Counter()
     for at, (q, v) in enumerate(usable):
         if asks(q):
-            best = sorted((-int(v @ w), i) for n, (i, w) in enumerate(usable) if n != at)[:k]
+            best = sorted((-int(v @ w), i) for n, (i, w) in enumerate(usable)
+                          if n != at and len(w) == len(v))[:k]
             out.update((q, r + 1, i, -s) for r, (s, i) in enumerate(best))
     return out
 
@@ -41,7 +39,8 @@ def test_against_brute_force(spark, monkeypatch, small):
     rows = [(i, [float(x) for x in rng.normal(0, 1, 6) * rng.choice([0.1, 1, 5])]) for i in range(300)]
     rows += [(300 + i, rows[i % 4][1]) for i in range(60)] + [(400 + i, [0.5] * 6) for i in range(40)] + [(7, rows[7][1])]
     rows += [(50, None), (100, []), (150, [None] * 6), (200, [float("nan")] * 6), (250, [float("inf")] + [0.0] * 5), (None, [1.0] * 6),
-             (450, [1.0, 2.0])]
+             (448, [1.0, 2.0])]
+    rows += [(i, [float(x) for x in rng.normal(0, 1, 3)]) for i in range(500, 560)] + [(560, [2.0]), (567, [1.0])]
     assert got(topk.exact_top_k(frame(spark, rows), F.col("vec_id") % 7 == 0)) == brute(rows, lambda i: i % 7 == 0)
 
 

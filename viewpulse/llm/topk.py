@@ -87,6 +87,51 @@ class Search:
         return scores, ids, rows
 
 
+class Pivots:
+    """The vectors of one length: their sample, pivots and rings.  Cells of all lengths are numbered through."""
+
+    def __init__(self, number: int, sample: np.ndarray, norms: np.ndarray, rows: np.ndarray, most: float):
+        self.rings, self.base, self.end = RINGS, number * PIVOTS * RINGS, (number + 1) * PIVOTS * RINGS
+        self.sample, self.rows, self.most = sample, rows, most
+        self.pivots = lifted(sample, norms, most)[:PIVOTS]
+        self.width = max(2 * most**0.5, 1e-9) / RINGS
+
+    def cells(self, x: np.ndarray, norms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cell and distance from its pivot."""
+        away = distances(lifted(x, norms, self.most), self.pivots)
+        pivot = away.argmin(1)
+        radius = away[np.arange(len(away)), pivot]
+        ring = np.minimum(radius // self.width, self.rings - 1).astype(np.int64)
+        return self.base + pivot * self.rings + ring, radius
+
+    def reached(self, q: np.ndarray, own: np.ndarray, rings: "Rings", k: int) -> tuple[np.ndarray, ...]:
+        """(query, cell, distance to its pivot, score that the k-th best reaches) for all rings within reach."""
+        scores = products(q, self.sample).astype(np.float64)
+        scores[own[:, None] == self.rows[None]] = -np.inf
+        floor = np.sort(scores, 1)[:, -k] if len(self.sample) >= k else np.full(len(q), -np.inf)
+        reach = np.sqrt(np.maximum((q * q).sum(1) + self.most - 2 * floor, 0))
+        mine = slice(*np.searchsorted(rings.cells, [self.base, self.end]))
+        away = distances(np.column_stack([q, np.zeros(len(q))]), self.pivots)[:, (rings.cells[mine] - self.base) // self.rings]
+        gap = np.maximum(rings.low[mine][None] - away, away - rings.high[mine][None])
+        which, cell = np.nonzero(gap <= (reach + 1e-6 * (1 + reach))[:, None])
+        return which, rings.cells[mine][cell], away[which, cell], floor[which]
+
+
+class Rings:
+    """Least and greatest distance in every cell that has rows, in order of cells."""
+
+    def __init__(self, rows: list):
+        rows = sorted(rows, key=lambda r: r["cell"])
+        self.cells, self.low, self.high = (np.array([r[c] for r in rows]) for c in ("cell", "low", "high"))
+
+
+def by_length(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch with vectors ``v`` of one length at a time."""
+    lengths = batch.column("v").value_lengths().to_numpy(zero_copy_only=False)
+    for length in np.unique(lengths):
+        yield batch.take(pa.array(np.flatnonzero(lengths == length)))
+
+
 def exact_top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5,
                 scale: float = 256.0) -> DataFrame:
     """The ``k`` rows with the largest integer inner products for every query row, ties to the smaller id.
@@ -94,14 +139,14 @@ def exact_top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", ve
     Components become floor(scale * x).  Vectors are lifted to one norm, where the largest product is the smallest
     distance, and keyed by their nearest pivot and the ring of their distance from it.  A query first gets a bound from
     the sample, then goes to those rings that the triangle inequality leaves within reach, and there works outwards until
-    the bound closes.  Pivots, sample and the list of rings are bounded by constants; rings are cut into pieces of bounded
-    size and queries into blocks, so a crowded ring is spread over many tasks.  Every row is indexed; the sample only
+    the bound closes.  Every length of vectors has pivots of its own, and a query is answered among vectors of its length.
+    Pivots, sample and the list of rings are bounded by constants per length; rings are cut into pieces of bounded size and
+    the queries of a ring into blocks, so a crowded ring is spread over many tasks.  Every row is indexed; the sample only
     helps to leave rings out.
 
-    Returns ``query_id``, ``rank`` (from 1), ``vec_id``, ``score``.  A row is compared with all rows but itself; a
-    repeated row is another candidate.  Vectors that are null, empty or hold null or non-finite components take no part,
-    nor do rows without an id or of another length than most (of two lengths equally common, the shorter).  Products must
-    stay below 2^63.  Other columns are not looked at, but ``is_query`` may use any.
+    Returns ``query_id``, ``rank`` (from 1), ``vec_id``, ``score``.  A row is compared with all rows of its length but itself;
+    a repeated row is another candidate.  Vectors that are null, empty or hold null or non-finite components take no part,
+    nor do rows without an id.  Products must stay below 2^63.  Other columns are not looked at, but ``is_query`` may use any.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -114,63 +159,56 @@ def exact_top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", ve
     table = table.withColumn("norm", F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).withColumn(
         "row", F.monotonically_increasing_id())
     table = stored(table, "vectors")
-    common = table.groupBy(F.size("v").alias("length")).agg(F.count("*").alias("n"), F.max("norm").alias("most"),
-                                                            F.count_if("asks").alias("n_asks")).orderBy(
-        F.desc("n"), "length").first()
-    if common is None:
+    lengths = {r["n"]: float(r["most"]) for r in table.groupBy(F.size("v").alias("n")).agg(F.max("norm").alias("most")).collect()}
+    if not lengths:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    length, most = common["length"], float(common["most"])
-    table = table.where(F.size("v") == length)
-    chosen = table.orderBy(F.xxhash64("id", "row"), "id").limit(SAMPLE).select("row", "v", "norm").collect()  # bounded
-    sample, own_rows = np.array([r["v"] for r in chosen]), np.array([r["row"] for r in chosen])
-    pivots = lifted(sample, np.array([r["norm"] for r in chosen]), most)[:PIVOTS]
-    width = max(2 * most**0.5, 1e-9) / RINGS
+    mixed = Window.partitionBy(F.size("v")).orderBy(F.xxhash64("id", "row"), "id", "row")
+    chosen = table.withColumn("_n", F.row_number().over(mixed)).where(F.col("_n") <= max(PIVOTS, SAMPLE // len(lengths)))
+    samples: dict[int, list] = {}
+    for r in chosen.select("row", "v", "norm", "_n").collect():  # SAMPLE rows, or PIVOTS of each length
+        samples.setdefault(len(r["v"]), []).append(r)
+    index = {}
+    for number, (length, own) in enumerate(sorted(samples.items())):
+        own.sort(key=lambda r: r["_n"])
+        index[length] = Pivots(number, np.array([r["v"] for r in own]), np.array([r["norm"] for r in own]),
+                               np.array([r["row"] for r in own]), lengths[length])
+    most_of = {of.base // (PIVOTS * RINGS): of.most for of in index.values()}
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                away = distances(lifted(matrix(batch.column("v")), batch.column("norm").to_numpy(), most), pivots)
-                pivot = away.argmin(1)
-                radius = away[np.arange(len(away)), pivot]
-                ring = np.minimum(radius // width, RINGS - 1).astype(np.int64)
+            for part in by_length(batch):
+                x = matrix(part.column("v"))
+                cell, radius = index[x.shape[1]].cells(x, part.column("norm").to_numpy())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("row"), batch.column("id"), batch.column("v"), pa.array(radius),
-                     pa.array(pivot * RINGS + ring)], ["row", "id", "v", "radius", "cell"])
+                    [part.column("row"), part.column("id"), part.column("v"), pa.array(radius), pa.array(cell)],
+                    ["row", "id", "v", "radius", "cell"])
 
     placed = stored(table.select("row", "id", "v", "norm").mapInArrow(
         keyed, "row long, id long, v array<double>, radius double, cell long"), "placed")
-    rings = placed.groupBy("cell").agg(F.min("radius").alias("low"), F.max("radius").alias("high"),
-                                       F.ceil(F.count("*") / F.lit(float(PIECE))).cast("long").alias("pieces"))
-    rings = stored(rings, "rings")
-    known = rings.collect()  # at most PIVOTS * RINGS rows
-    cells, low, high, pieces = (np.array([r[c] for r in known]) for c in ("cell", "low", "high", "pieces"))
-    blocks = -(-common["n_asks"] // QUERIES) or 1
+    sizes = stored(placed.groupBy("cell").agg(F.min("radius").alias("low"), F.max("radius").alias("high"),
+                                              F.ceil(F.count("*") / F.lit(float(PIECE))).cast("long").alias("pieces")), "rings")
+    rings = Rings(sizes.collect())  # at most PIVOTS * RINGS rows of a length
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                q, own = matrix(part.column("v")), part.column("row").to_numpy()
-                scores = products(q, sample).astype(np.float64)
-                scores[own[:, None] == own_rows[None]] = -np.inf
-                floor = np.sort(scores, 1)[:, -k] if len(sample) >= k else np.full(len(q), -np.inf)
-                reach = np.sqrt(np.maximum((q * q).sum(1) + most - 2 * floor, 0))
-                away = distances(np.column_stack([q, np.zeros(len(q))]), pivots)[:, cells // RINGS]
-                gap = np.maximum(low[None] - away, away - high[None])
-                which, cell = np.nonzero(gap <= (reach + 1e-6 * (1 + reach))[:, None])
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c).take(pa.array(which)) for c in ("row", "id", "v")), pa.array(away[which, cell]),
-                     pa.array(cells[cell]), pa.array(floor[which]), pa.array(pieces[cell])],
-                    ["row", "id", "v", "radius", "cell", "floor", "pieces"])
-
-    asked = table.where("asks").select("row", "id", "v").mapInArrow(
-        routed, "row long, id long, v array<double>, radius double, cell long, floor double, pieces long")
-    block = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
-    asked = asked.select("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("piece"),
-                         block.alias("block"), F.lit(1).alias("asks"), "row", "id", "v", "radius", "floor")
-    against = placed.join(F.broadcast(rings.select("cell", "pieces")), "cell").select(
+                for part in by_length(batch.slice(at, 256)):
+                    q = matrix(part.column("v"))
+                    which, cell, away, floor = index[q.shape[1]].reached(q, part.column("row").to_numpy(), rings, k)
+                    yield pa.RecordBatch.from_arrays(
+                        [*(part.column(c).take(pa.array(which)) for c in ("row", "id", "v")), pa.array(away), pa.array(cell),
+                         pa.array(floor)], ["row", "id", "v", "radius", "cell", "floor"])
+
+    asked = stored(table.where("asks").select("row", "id", "v").mapInArrow(
+        routed, "row long, id long, v array<double>, radius double, cell long, floor double"), "asked")
+    met = asked.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(float(QUERIES))).cast("int").alias("blocks"))
+    known = F.broadcast(sizes.join(met, "cell").select("cell", "pieces", "blocks"))  # a row per ring
+    asking = asked.join(known, "cell").select(
+        "cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("piece"),
+        F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("asks"), "row", "id", "v", "radius", "floor")
+    against = placed.join(known, "cell").select(
         "cell", F.pmod(F.xxhash64("row"), F.col("pieces")).alias("piece"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(0).alias("asks"), "row", "id", "v", "radius",
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("asks"), "row", "id", "v", "radius",
         F.lit(0.0).alias("floor"))
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +230,7 @@ def exact_top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", ve
                 if search is None:
                     if not vectors:
                         continue
-                    search = Search(*(np.concatenate(x) for x in zip(*vectors, strict=True)), most, k)
+                    search = Search(*(np.concatenate(x) for x in zip(*vectors, strict=True)), most_of[key[0] // (PIVOTS * RINGS)], k)
                 q, ids, rows, away = found
                 scores, near, near_rows = search.top(q, rows, away, part.column("floor").to_numpy())
                 line, place = np.nonzero(near_rows >= 0)
@@ -201,8 +239,8 @@ def exact_top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", ve
                     ["query_row", "query_id", "score", "vec_id", "vec_row"])
 
     names = ["cell", "piece", "block"]
-    met = asked.unionByName(against).repartition(*names).sortWithinPartitions(*names, "asks")
-    near = met.mapInArrow(searched, "query_row long, query_id long, score long, vec_id long, vec_row long")
+    together = asking.unionByName(against).repartition(*names).sortWithinPartitions(*names, "asks")
+    near = together.mapInArrow(searched, "query_row long, query_id long, score long, vec_id long, vec_row long")
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "vec_row")
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
