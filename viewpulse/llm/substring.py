@@ -169,6 +169,8 @@ def _pieces(batches: Iterator[pa.RecordBatch], window: int, shards: int, shared:
                     windows = rolling(hashes, window)
                     place = windows & np.uint64((1 << FILTER_BITS) - 1)
                     known = shared[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1 == 1
+                    if not known.any():
+                        continue
                     first = np.isin(windows, own)
                     shard = (anchors(hashes, window) % np.uint64(shards)).astype(np.int64)
                     for streams, chosen in ((0, first), (1, known & ~first)):
@@ -256,9 +258,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     plain = docs.select(F.col(id_col).cast("long").alias("id"), t1.alias("t1"), t2.alias("t2"), text.cast("binary").alias("text"))
     marked = stored(plain.mapInArrow(lambda it: _anchored(it, window), "id long, t1 long, t2 long, anchors array<long>"), "anchors")
     order = F.coalesce("id", F.lit(LAST_ID))
-    firsts = stored(marked.groupBy("t1", "t2").agg(F.min(order).alias("first"), F.max(order).alias("last")), "equal-texts")
-    copies = marked.select("id", "t1", "t2", order.alias("ord")).join(firsts.where("first < last"), ["t1", "t2"]).where(
-        "ord > first").select("id", "t1", "t2")
+    firsts = stored(marked.groupBy("t1", "t2").agg(F.min(order).alias("ord")), "equal-texts")
+    # looked up with the id: what is not found is a copy, and the copies of one text spread over all tasks
+    copies = marked.select("id", "t1", "t2", order.alias("ord")).join(firsts, ["t1", "t2", "ord"], "left_anti").select("id", "t1", "t2")
     # a text stands for its copies from here on; rows of one id stay apart by their texts
     seen = marked.groupBy("t1", "t2").agg(F.min(order).alias("ord"), F.any_value("anchors").alias("anchors"))
     each = seen.select("ord", "t1", "t2", F.explode("anchors").alias("anchor"))
