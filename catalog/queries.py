@@ -671,6 +671,13 @@ def image_rates_minute(v: Views) -> DataFrame:
     return page.image_rates(with_minute(v.image), D5, ("minute",))
 
 
+@register("image_lattice_day", Q.with_views(Q.cube(
+    "(select *, strftime(event_time, '%Y%m%d') as day from fx_image)", D5, Q.isum("requests", "requests"), ("day",))))
+def image_lattice_day(v: Views) -> DataFrame:
+    days = v.image.withColumn("day", F.date_format("event_time", "yyyyMMdd"))
+    return C.cube_all(days, D5, {"requests": ("sum", F.col("requests"))}, ("day",), lattice=True)
+
+
 @register("image_rates", Q.with_views(
     f"select {DIMS5}, {_IMAGE_RATES} from ({Q.cube('fx_image', D5, _IMAGE)}) where r <> 0"))
 def image_rates(v: Views) -> DataFrame:

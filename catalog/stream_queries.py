@@ -76,7 +76,7 @@ select event_id, cast(count(*) as bigint) as n, cast(sum(cnt) as bigint) as coun
 where event_time >= timestamp '2024-01-15' and event_time < timestamp '2024-01-22' group by event_id"""))
 def period_scan(v: Views) -> DataFrame:
     path = f"{shared_path(v.spark, 'log_table')}/event"
-    logs.write_log_table(v.event, path)
+    logs.write_log_table(v.event, path, "all", None)
     week = logs.read_log_table(v.spark, path, "WEEK", datetime(2024, 1, 17))
     return week.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"), F.sum("cnt").alias("count_sum"))
 
@@ -105,6 +105,24 @@ def ingest_http_error(v: Views) -> DataFrame:
     return ingested(v, "http_error")
 
 
+def _hours(*hours: int) -> str:
+    good = " and ".join(f"not ({_DAMAGE[d]})" for d in ("type", "length", *_STRICT["event"]))
+    return Q.with_views(f"""select hour(event_time) as hour, {ONE} as n, {Q.isum('cnt', 'count_sum')} from fx_event
+      where {good} and hour(event_time) in ({', '.join(map(str, hours))}) group by 1""")
+
+
+@register("ingest_two_hours", _hours(10, 11))
+def ingest_two_hours(v: Views) -> DataFrame:
+    """The files of two hours, one after the other, into one log table; the hours come from the times of the rows."""
+    root = shared_path(v.spark, "two_hours")
+    rows = v.records("event")
+    for hour in (10, 11):
+        write_sequence_files(raw_lines(rows.where(F.hour("event_time") == hour), "event"), f"{root}/raw/2024/01/17/event-{hour}-all")
+        logs.ingest_period(v.spark, f"{root}/raw", "event", "event", "HOUR", datetime(2024, 1, 17, hour), f"{root}/table", f"{root}/rejected")
+    table = logs.read_log_table(v.spark, f"{root}/table")
+    return table.groupBy(F.hour("event_time").alias("hour")).agg(F.count(F.lit(1)).alias("n"), F.sum("cnt").alias("count_sum"))
+
+
 @register("ingest_straggler", Q.with_views(f"""
 select strftime(event_time, '%Y%m%d%H') as hour, {ONE} as n, {Q.isum('cnt', 'count_sum')} from fx_event group by 1"""))
 def ingest_straggler(v: Views) -> DataFrame:
@@ -113,7 +131,7 @@ def ingest_straggler(v: Views) -> DataFrame:
     rows = v.event
     first = F.when(F.col("seq") % 50 == 0, F.hour("event_time") >= 12).otherwise(F.hour("event_time") < 12)
     for unit, part in (("first", first), ("second", ~first), ("first", first)):
-        logs.write_log_table(rows.where(part), path, unit=unit)
+        logs.write_log_table(rows.where(part), path, unit, None)
     table = logs.read_log_table(v.spark, path)
     return table.groupBy(F.date_format("event_time", "yyyyMMddHH").alias("hour")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("cnt").alias("count_sum"))
@@ -131,7 +149,7 @@ def ingest_no_time(v: Views) -> DataFrame:
     blank = v.epg.withColumn("year", F.year("event_time")).withColumn(
         "event_time", F.when(F.col("seq") % 3 != 0, F.date_trunc("month", "event_time").cast("timestamp_ntz")))
     for year in years:
-        logs.ingest(raw_lines(blank.where(F.col("year") == year), "epg"), "epg", path, unit=str(year), at=datetime(year, 1, 1))
+        logs.ingest(raw_lines(blank.where(F.col("year") == year), "epg"), "epg", path, str(year), datetime(year, 1, 1))
     for year in years:
         rows = logs.read_log_table(v.spark, path, "YEAR", datetime(year, 6, 1)).withColumn("year", F.lit(year))
         found = rows if found is None else found.unionByName(rows)

@@ -43,7 +43,9 @@ def test_sum_cube(spark, records):
     want = brute(records, lambda rows: sum(v for _, v in rows))
     measure = {"v": ("sum", F.col("v"))}
     assert got(C.cube_all(frame, DIMS, measure, ("t",))) == want
-    assert got(C.cube_all(frame, DIMS, measure, ("t",))) == want
+    assert got(C.cube_all(frame, DIMS, measure, ("t",), lattice=True)) == want
+    whole = brute(records, lambda rows: sum(v for _, v in rows), False)
+    assert got(C.cube_all(frame, DIMS, measure), 3) == got(C.cube_all(frame, DIMS, measure, lattice=True), 3) == whole
     assert got(C.cube_all(frame, DIMS, measure, ("t",), pre_aggregate=False)) == want
 
 
@@ -89,10 +91,41 @@ def test_no_python_in_batch_plans(spark, sf, name):
     assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_minute_cube_shuffles_cells_not_levels(spark, sf):
-    plan = QUERIES["event_trend_minute"](spark, sf)._jdf.queryExecution().executedPlan().toString()
-    above = plan.split("Generate inline")[0]
-    assert "Exchange" not in above.replace("AdaptiveSparkPlan", "")
+def lines_of(frame):
+    """Operators of the initial plan with their depth, roots first."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("== Initial Plan ==")[-1]
+    return [(len(line) - len(line.lstrip(" :+-*()0123456789")), line) for line in plan.splitlines() if line.strip()]
+
+
+def below(lines, at):
+    """Lines of the subtree under line ``at``."""
+    out = []
+    for depth, line in lines[at + 1:]:
+        if depth <= lines[at][0]:
+            break
+        out.append(line)
+    return out
+
+
+def test_lattice_shuffles_cells_only(spark, sf):
+    """In no branch an exchange lies above rows that are expanded to several levels."""
+    lines = lines_of(QUERIES["image_lattice_day"](spark, sf))
+    exchanges = [i for i, (_, line) in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert len(exchanges) >= 10
+    for i in exchanges:
+        own = below(lines, i)
+        assert not any("Generate inline" in line or "Expand" in line for line in own), lines[i][1]
+
+
+def test_levels_expand_cells_once(spark, sf):
+    """Minute labels: one expansion, above the finest cells; the expanded rows are combined before they are shuffled."""
+    lines = lines_of(QUERIES["image_rates_minute"](spark, sf))
+    expanded = [i for i, (_, line) in enumerate(lines) if "Expand" in line]
+    assert len(expanded) == 1
+    assert any("Exchange hashpartitioning" in line for line in below(lines, expanded[0]))
+    above = [line for _, line in lines[:expanded[0]]]
+    assert "HashAggregate" in above[-1] or "HashAggregate" in above[-2]
 
 
 def test_d5_dims():

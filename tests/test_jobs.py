@@ -31,7 +31,7 @@ def tables(spark, sf):
         start = F.date_trunc("day" if log == "event" else "month", "event_time").cast("timestamp_ntz")
         nine = F.make_dt_interval(hours=F.lit(8) + F.when(F.hour("event_time") < 12, 0).otherwise(1))
         rows = rows.withColumn("event_time", start + nine if log == "event" else start)
-        logs.write_log_table(rows, f"{root}/{log}")
+        logs.write_log_table(rows, f"{root}/{log}", "all", None)
     return root, views.terminal_info
 
 
@@ -97,7 +97,7 @@ def test_sequence_files_and_ingest(spark, sf):
     lines = raw_lines(records.withColumn("event_time", day), "event")
     write_sequence_files(lines, f"{root}/raw/2024/01/17")
     found = logs.read_period_files(spark, f"{root}/raw", "probe", "WEEK", datetime(2024, 1, 18))
-    logs.ingest(found, "event", f"{root}/event", f"{root}/refused")
+    logs.ingest(found, "event", f"{root}/event", "day", datetime(2024, 1, 1), f"{root}/refused")
     good = parse_valid(lines.select("value"), "event", "offline").count()
     assert logs.read_log_table(spark, f"{root}/event").count() == good
     assert spark.read.parquet(f"{root}/refused").count() == lines.count() - good

@@ -59,14 +59,12 @@ def _finest(df: DataFrame, keys: Sequence[str], measures: Measures) -> DataFrame
 
 
 def cube_all(df: DataFrame, dims: Sequence[str], measures: Measures, fixed: Sequence[str] = (),
-             pre_aggregate: bool = True, colocate: bool | None = None) -> DataFrame:
+             pre_aggregate: bool = True, lattice: bool = False) -> DataFrame:
     """Cube of mergeable measures (``sum``, ``max``, ``min``) with ``fixed`` keys always grouped.
 
-    With ``colocate`` (by default where there are fixed keys and more than one dimension) the finest cells are brought
-    together by the fixed keys and the first dimension *before* they are expanded over the other dimensions; the levels
-    without the first dimension are then summed from these, combined map-side.  Only one value of the first dimension
-    meets in a task, also where all rows carry one label.  Otherwise the expanded rows are combined map-side and
-    shuffled.  An empty input gives an empty result, also for the grand total.
+    The finest cells are expanded to all levels, combined map-side and shuffled, which suits labels such as minutes, whose
+    cells hardly merge.  Where they do merge (days, no label) ask for the ``lattice`` of :func:`lattice_cube`, which shuffles
+    cells only.  An empty input gives an empty result, also for the grand total.
     """
     df = no_null_dims(df, dims)
     keys = (*fixed, *dims)
@@ -76,16 +74,32 @@ def cube_all(df: DataFrame, dims: Sequence[str], measures: Measures, fixed: Sequ
         cells = _finest(df, keys, measures)
         merged = {name: (how, name) for name, (how, _) in measures.items()}
     aggregates = [_MERGE[how](value).alias(name) for name, (how, value) in merged.items()]
-    together = bool(fixed) if colocate is None else colocate
-    if pre_aggregate and together and len(dims) > 1:
-        first, *others = dims
-        kept = all_levels(cells.repartition(*fixed, first), others).groupBy(*keys).agg(*aggregates)
-        rolled = kept.groupBy(*fixed, *others).agg(*aggregates).withColumn(first, F.lit(ALL))
-        return kept.unionByName(rolled)
+    if pre_aggregate and lattice and dims:
+        return lattice_cube(cells, dims, fixed, aggregates)
     rows = F.count(F.lit(1)).alias("_rows")
     return grouped_cube(cells, dims, fixed, [*aggregates, rows]).where("_rows > 0").drop("_rows")
 
 
+def lattice_cube(cells: DataFrame, dims: Sequence[str], fixed: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
+    """All levels of finest cells, each from the smallest parent at hand; only cells are ever shuffled.
+
+    Levels with the first dimension: cells come together by the fixed keys and that dimension, and are expanded over the
+    others where they lie.  Levels without it: the dimension is summed out of the cells, and the same is done with what
+    remains.  One label is thus spread over as many tasks as the first dimension has values, and so on down the dimensions.
+    """
+    first, *others = dims
+    keys = (*fixed, *dims)
+    if others:
+        own = all_levels(cells.repartition(*fixed, first), others).groupBy(*keys).agg(*aggregates)
+        rolled = lattice_cube(cells.groupBy(*fixed, *others).agg(*aggregates), others, fixed, aggregates)
+    else:
+        own = cells
+        rolled = cells.groupBy(*fixed).agg(*aggregates) if fixed else cells.groupBy().agg(
+            *aggregates, F.count(F.lit(1)).alias("_rows")).where("_rows > 0").drop("_rows")
+    columns = own.columns
+    return own.unionByName(rolled.withColumn(first, F.lit(ALL)).select(*columns))
+
+
 def cube_and_filter(df: DataFrame, dims: Sequence[str], keys: Sequence[str], measures: Measures) -> DataFrame:
     """Cube whose sub-totals over ``keys`` are not wanted: the keys are grouped always, half the grouping sets each."""
     return cube_all(df, dims, measures, fixed=keys)

@@ -60,18 +60,23 @@ def multi_resolution(df: DataFrame, dims: Sequence[str], measures: Measures, fix
                      resolutions: Mapping[int, str] = RESOLUTIONS) -> DataFrame:
     """Sums per 1-, 15- and 60-minute bucket, long form with a ``resolution`` column.
 
-    Each log row is read and shuffled once, at one-minute cells; coarser buckets come from those cells.  Rates belong
-    after this step.
+    Each log row is read and shuffled once, at one-minute cells.  Coarser buckets are summed from the cells of the coarsest
+    finer resolution that divides them, so each step moves fewer cells than the one before.  Rates belong after this step.
     """
-    cells = (df.withColumn("_minute", bucket_start(F.col("event_time"), 1))
-             .groupBy("_minute", *fixed, *dims)
-             .agg(*[_sum(how, value).alias(name) for name, (how, value) in measures.items()]))
-    buckets = F.array(*[F.struct(F.lit(r).alias("resolution"), bucket_start(F.col("_minute"), r).alias("bucket"))
-                        for r in resolutions])
-    spread = cells.select(*fixed, *dims, *measures, F.inline(buckets))
+    sums = [F.sum(name).alias(name) for name in measures]
+    finest = (df.withColumn("bucket", bucket_start(F.col("event_time"), 1))
+              .groupBy("bucket", *fixed, *dims)
+              .agg(*[_sum(how, value).alias(name) for name, (how, value) in measures.items()]))
+    cells, out = {1: finest}, None
+    for minutes in sorted(resolutions):
+        if minutes not in cells:
+            parent = cells[max(m for m in cells if minutes % m == 0)]
+            cells[minutes] = parent.withColumn("bucket", bucket_start(F.col("bucket"), minutes)).groupBy(
+                "bucket", *fixed, *dims).agg(*sums)
+        own = cells[minutes].select(F.lit(minutes).alias("resolution"), "bucket", *fixed, *dims, *measures)
+        out = own if out is None else out.unionByName(own)
     merged = {name: ("sum", name) for name in measures}
-    keys = ("resolution", "bucket", *fixed)
-    return cube_all(spread, dims, merged, keys)
+    return cube_all(out, dims, merged, ("resolution", "bucket", *fixed), pre_aggregate=False)
 
 
 def _sum(how: str, value: Column | str) -> Column:

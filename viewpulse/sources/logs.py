@@ -43,16 +43,20 @@ def read_period_files(spark: SparkSession, root: str, prefix: str, period: str,
     return read_sequence_files(spark, ",".join(found))
 
 
-def write_log_table(rows: DataFrame, path: str, time: str = "event_time", unit: str = "whole",
-                    at: datetime | None = None) -> None:
+def write_log_table(rows: DataFrame, path: str, unit: str, at: datetime | None, time: str = "event_time") -> None:
     """Typed rows as Parquet: a folder per ingest ``unit``, below it partitions by day and hour.
 
     A rerun of a unit replaces that unit alone, however far its rows reach into the hours of others.  ``at`` is the first
-    moment of the period of the unit's files: rows without a time of their own count there (``file_time``).
+    moment of the period of the unit's files: rows without a time of their own count there (``file_time``).  Only with
+    ``at=None`` such rows are refused, as nothing could ever read them by period.
     ``rebalance`` brings the rows of an hour together for few files, and splits an hour that holds far more than others.
     """
+    if at is None and time not in rows.columns:
+        raise ValueError(f"rows without {time} need the moment of their files")
     files = F.lit(at).cast("timestamp_ntz")
     moment = F.coalesce(F.col(time).cast("timestamp_ntz"), files) if time in rows.columns else files
+    if at is None:
+        moment = F.coalesce(moment, F.raise_error(F.lit(f"a row without {time} needs the moment of its files")).cast("timestamp_ntz"))
     stamped = (rows.withColumn("file_time", files).withColumn("dt", F.date_format(moment, "yyyyMMdd"))
                .withColumn("hr", F.date_format(moment, "HH")))
     (stamped.hint("rebalance", "dt", "hr").write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -76,9 +80,12 @@ def read_log_table(spark: SparkSession, path: str, period: str | None = None, at
     return table.drop(*places, "file_time")
 
 
-def ingest(lines: DataFrame, log: str, path: str, rejected_path: str | None = None, mode: str = "offline",
-           unit: str = "whole", at: datetime | None = None) -> None:
-    """Parse raw lines once into a unit of the log table; refused lines go to ``rejected_path`` with their reason."""
+def ingest(lines: DataFrame, log: str, path: str, unit: str, at: datetime | None, rejected_path: str | None = None,
+           mode: str = "offline") -> None:
+    """Parse raw lines once into a unit of the log table; refused lines go to ``rejected_path`` with their reason.
+
+    A second call with one ``unit`` replaces it, other units stay: name units by their files, or use :func:`ingest_period`.
+    """
     parsed = parse_log(lines, log, mode)
     write_log_table(valid_rows(parsed), path, unit=unit, at=at)
     if rejected_path:
@@ -93,4 +100,4 @@ def ingest_period(spark: SparkSession, root: str, prefix: str, log: str, period:
     that reports need.
     """
     lines = read_period_files(spark, root, prefix, period, at)
-    ingest(lines, log, path, rejected_path, unit=f"{check_period(period)}-{label(period, at)}", at=period_bounds(period, at)[0])
+    ingest(lines, log, path, f"{check_period(period)}-{label(period, at)}", period_bounds(period, at)[0], rejected_path)
