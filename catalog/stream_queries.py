@@ -12,13 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog import sql as Q
-from catalog.queries import _DAMAGE, _FIRST, _PARSED, _STRICT, D2, ONE, _parsed_columns, register
+from catalog.queries import _DAMAGE, _FIRST, _PARSED, _STRICT, D2, D5, DIMS5, ONE, _parsed_columns, register
 from catalog.views import Views, raw_lines, write_sequence_files
 from viewpulse.functions import timecols as T
+from viewpulse.model import RESOLUTIONS
+from viewpulse.operators import cube as C
 from viewpulse.operators import parse as P
 from viewpulse.session import shared_path
+from viewpulse.sinks.keyed import BucketTable
 from viewpulse.sources import logs, streams
 from viewpulse.streaming import jobs as J
+from viewpulse.streaming import merging as M
 from viewpulse.streaming import state as ST
 from viewpulse.streaming import windows as W
 
@@ -55,12 +59,30 @@ def stream_source(v: Views) -> DataFrame:
     return committed(v, rows, "stream_source").select("seq", *_parsed_columns(v, "event"))
 
 
-@register("stream_progress", "select cast(count(*) as bigint) as input_rows from events")
+def arrivals(v: Views, rows: DataFrame, parts: int = 3, by: str = "seq") -> DataFrame:
+    """All rows as a stream of several micro-batches in no order of time: most rows come late."""
+    root = shared_path(v.spark, "arrivals")
+    for part in range(parts):
+        rows.where(F.pmod(F.xxhash64(by), F.lit(parts)) == part).coalesce(1).write.mode("append").parquet(root)
+    return streams.table_rows(v.spark, root, max_files=1)
+
+
+def merged(v: Views, job: M.MergeJob, rows: DataFrame, table: str, resolutions=None, by: str = "seq") -> DataFrame:
+    """A merging job over :func:`arrivals` and what it has published in the end."""
+    root = shared_path(v.spark, "merged")
+    M.merging_query(v.spark, job, arrivals(v, rows, by=by), root, "job", NOW.options(), resolutions).awaitTermination()
+    return J.merged_table(v.spark, root, table).withColumn("bucket", T.minute_label(F.col("bucket")))
+
+
+@register("stream_progress", "select cast(count(*) as bigint) as input_rows, cast(8 as bigint) as batches from events")
 def stream_progress(v: Views) -> DataFrame:
     root = shared_path(v.spark, "stream_progress")
-    query = J.commit_rows(streams.table_rows(v.spark, v.sf_dir, "events.parquet"), root, "progress", NOW)
+    log = streams.ProgressLog(v.spark)
+    query = J.commit_rows(arrivals(v, v.table("events"), 8, "event_id"), root, "progress", NOW)
     query.awaitTermination()
-    return streams.progress(v.spark, query).agg(F.sum("input_rows").alias("input_rows"))
+    found = log.report(query).agg(F.sum("input_rows").alias("input_rows"), F.sum("batches").alias("batches"))
+    log.close()
+    return found
 
 
 @register("read_log_seqfile", _EVENT_ROWS.replace("select seq, ", "select "))
@@ -161,22 +183,90 @@ def _closed(view: str, minutes: int, bucket: str = "bucket") -> str:
             f"<= (select max(event_time) from {view}) - interval 1 hour")
 
 
-@register("stream_tumbling_5m", Q.with_views(Q.cube(
-    f"(select *, {Q.bucket(5)} as bucket from fx_play_fail)", D2, f"{ONE} as fail_count", ("bucket",),
-    _closed("fx_play_fail", 5))))
+def _fail_cube(minutes: int, dims, where: str = "true") -> str:
+    return Q.cube(f"(select *, {Q.bucket(minutes)} as bucket from fx_play_fail)", dims, f"{ONE} as fail_count", ("bucket",), where)
+
+
+@register("stream_tumbling_5m", Q.with_views(_fail_cube(5, D2)))
 def stream_tumbling_5m(v: Views) -> DataFrame:
-    rows = W.with_watermark(StreamViews(v, "events").play_fail)
-    cells = W.windowed_cube(rows, 5, D2, {"fail_count": ("sum", F.lit(1).cast("bigint"))})
-    return committed(v, cells, "tumbling").withColumn("bucket", T.minute_label(F.col("bucket")))
+    job = J.additive_job({"fail_count": ("sum", F.lit(1).cast("bigint"))}, lambda cells: {
+        "fails": C.cube_all(cells, D2, {"fail_count": ("sum", F.col("fail_count"))}, ("bucket",))}, (), D2, 5, (5,))
+    return merged(v, job, v.play_fail, "fails")
+
+
+@register("stream_late_merged", Q.with_views(_fail_cube(60, D5)))
+def stream_late_merged(v: Views) -> DataFrame:
+    """The failure job with every arrival out of order: late rows are in their stored bucket at the end."""
+    return merged(v, J.merge_jobs("play_fail")["play_fail"], v.play_fail, "play_fail_60m", (60,))
+
+
+@register("stream_retention", Q.with_views(" union all ".join(
+    f"select {m} as resolution, * from ({_fail_cube(m, D2)}) where strptime(bucket, '%Y%m%d%H%M') >= "
+    f"(select max(time_bucket(interval '{m} minutes', event_time)) from fx_play_fail) - interval {keep}" for m, keep in RESOLUTIONS.items())))
+def stream_retention(v: Views) -> DataFrame:
+    """The failure tables with retention, rows in order of time, folded at the end as a running job does."""
+    root = shared_path(v.spark, "retention")
+    rows = v.play_fail
+    ends = rows.agg(F.min("event_time").alias("low"), F.max("event_time").alias("high")).first()
+    middle = ends["low"] + (ends["high"] - ends["low"]) * 2 / 3
+    for part in (rows.where(F.col("event_time") < F.lit(middle)), rows.where(F.col("event_time") >= F.lit(middle))):
+        part.coalesce(1).write.mode("append").parquet(f"{root}/in")
+    M.merging_query(v.spark, J.merge_jobs("play_fail")["play_fail"], streams.table_rows(v.spark, f"{root}/in", max_files=1), root,
+                    "fails", NOW.options(), None, RESOLUTIONS).awaitTermination()
+    found = None
+    for minutes, keep in RESOLUTIONS.items():
+        table = BucketTable(v.spark, f"{root}/realtime_play_fail_d2_{minutes}m")
+        table.compact(None, M.retained(table.read(), keep))
+        own = table.read().withColumn("resolution", F.lit(minutes))
+        found = own if found is None else found.unionByName(own)
+    return found.withColumn("bucket", T.minute_label(F.col("bucket")))
 
 
 @register("stream_distinct_users", Q.with_views(Q.cube(
-    f"(select *, {Q.bucket(1440)} as bucket from fx_play)", D2, "count(distinct probe_id) as play_users", ("bucket",),
-    _closed("fx_play", 1440))))
+    f"(select *, {Q.bucket(1440)} as bucket from fx_play)", D2, "count(distinct probe_id) as play_users", ("bucket",))))
 def stream_distinct_users(v: Views) -> DataFrame:
-    rows = W.with_watermark(StreamViews(v, "events").play)
-    cells = W.windowed_distinct_cube(rows, 1440, D2, "play_users", "probe_id")
-    return committed(v, cells, "distinct_users").withColumn("bucket", T.minute_label(F.col("bucket")))
+    """State holds the boxes of each finest cell once; levels are counted from these."""
+    def pairs(rows: DataFrame) -> DataFrame:
+        return C.no_null_dims(rows, D2).where("probe_id is not null").select("bucket", *D2, "probe_id").distinct()
+    job = M.MergeJob(1440, pairs, pairs, lambda current, buckets, m: {
+        "users": C.exact_distinct_cube(M.within(current, buckets, m), D2, "play_users", "probe_id", ("bucket",))}, (1440,))
+    return merged(v, job, v.play, "users", by="has_id")
+
+
+@register("stream_http_errors", Q.with_views(Q.cube(
+    f"(select *, {Q.bucket(5)} as bucket from fx_http_error)", D2, Q.isum("cnt", "total"), ("bucket", "http_rsp_code"))))
+def stream_http_errors(v: Views) -> DataFrame:
+    return merged(v, J.merge_jobs("http_error")["http_error"], v.http_error, "http_error")
+
+
+_FIRST_STALLS = """firsts as (select * from fx_lag qualify row_number() over (
+  partition by date_trunc('minute', event_time), has_id, probe_id order by event_time, export_id, province_id, city_id, platform,
+    device_provider, fw_version) = 1)"""
+
+
+@register("stream_lag_plays", Q.with_views(Q.cube(
+    f"(select *, {Q.bucket(60)} as bucket from firsts)", D5, "count(distinct has_id) as lag_plays", ("bucket",)), _FIRST_STALLS))
+def stream_lag_plays(v: Views) -> DataFrame:
+    return merged(v, J.merge_jobs("lag")["lag"], v.lag, "lag_plays_60m", (60,))
+
+
+@register("stream_lag_causes", Q.with_views("select * from (" + Q.cube(
+    f"(select *, {Q.bucket(60)} as bucket from firsts)", D5, f"{ONE} as lag_count", ("bucket", "export_id"))
+    + ")", _FIRST_STALLS))
+def stream_lag_causes(v: Views) -> DataFrame:
+    """Causes that occur; the table has zero rows for the others."""
+    return merged(v, J.merge_jobs("lag")["lag"], v.lag, "lag_cause_60m", (60,)).where("lag_count > 0")
+
+
+_LATEST_5M = f"""latest as (select distinct {Q.bucket(5)} as bucket, has_id, probe_id, {DIMS5}, event_time from fx_play_request
+  qualify rank() over (partition by {Q.bucket(5)}, has_id order by event_time desc) = 1)"""
+
+
+@register("stream_users_plays", Q.with_views(
+    "select * from (" + Q.cube("latest", D2, "count(distinct probe_id) as play_users, count(distinct has_id) as plays", ("bucket",))
+    + ") where plays > 0", _LATEST_5M))
+def stream_users_plays(v: Views) -> DataFrame:
+    return merged(v, J.merge_jobs("play_request")["play_request"], v.play_request, "users_plays")
 
 
 @register("stream_lag_dedup", Q.with_views(
@@ -212,12 +302,10 @@ prior as (select *, lag(b) over w as b0, lag(d) over w as d0, lag(p) over w as p
 select strftime(c.b, '%Y%m%d%H%M') as bucket, {', '.join('c.' + d for d in D2)}, c.has_id, c.has_type,
   cast(c.down_bytes - case when c.b - q.b0 < interval 2 days then q.d0 else 0 end as bigint) as down_bytes_delta,
   cast(c.play_seconds - case when c.b - q.b0 < interval 2 days then q.p0 else 0 end as bigint) as play_seconds_delta
-from cells c join prior q on q.has_id = c.has_id and q.has_type = c.has_type and q.b = c.b
-where c.b + interval 1 day <= (select max(event_time) from fx_play_request) - interval 1 hour""", _GROWTH))
+from cells c join prior q on q.has_id = c.has_id and q.has_type = c.has_type and q.b = c.b""", _GROWTH))
 def stream_increments(v: Views) -> DataFrame:
-    rows = W.with_watermark(StreamViews(v, "lineitem").play_request)
-    grown = ST.increments_stream(rows, 1440, D2, ttl_s=2 * 86_400)
-    return committed(v, grown, "increments").withColumn("bucket", T.minute_label(F.col("bucket")))
+    job = J.growth_job(1440, 2 * 86_400, lambda grown: {"increments": grown.drop(*ST.COUNTERS)})
+    return merged(v, job, v.play_request, "increments")
 
 
 _SLICES = """sliced as (select *, (seq - min(seq) over ()) * 4 // (max(seq) over () - min(seq) over () + 1)

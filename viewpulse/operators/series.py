@@ -120,7 +120,12 @@ def period_increments(df: DataFrame, period: str, dims: Sequence[str], counters:
     cells = (df.withColumn("_period", F.unix_seconds(start.cast("timestamp")))
              .groupBy("_period", *dims, *key)
              .agg(*[F.max(c).alias(c) for c in counters]))
-    ttl = PERIOD_TTL_S[period]
+    return cell_increments(cells, dims, counters, PERIOD_TTL_S[period], key, reset)
+
+
+def cell_increments(cells: DataFrame, dims: Sequence[str], counters: Sequence[str], ttl: int,
+                    key: Sequence[str] = ("has_id", "has_type"), reset: str = "raw") -> DataFrame:
+    """The increments of :func:`period_increments` for cells that hold the maxima of each ``_period`` (its start in seconds)."""
     earlier = Window.partitionBy(*key).orderBy("_period").rangeBetween(-(ttl - 1), -1)
     before = {c: F.max(F.struct(F.col("_period"), F.col(c))).over(earlier)[c] for c in counters}
     held = cells.select("*", *[value.alias(f"_{c}") for c, value in before.items()])

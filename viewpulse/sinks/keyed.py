@@ -7,7 +7,7 @@ reads it as it was *before* its batch, so a replay finds what the first run foun
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,9 +59,16 @@ class KeyedTable:
         if not parts:
             raise FileNotFoundError(f"no complete batch below {self.root}")
         rows = self.spark.read.option("basePath", self.root).parquet(*[self._folder(*p) for p in parts])
+        return self._current(rows.drop("level")).drop("batch")
+
+    def _current(self, rows: DataFrame) -> DataFrame:
+        """The rows that count, of all parts with their ``batch``."""
         newest = Window.partitionBy(*self.keys).orderBy(F.col("batch").desc())
-        return (rows.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1")
-                .drop("_rn", "level", "batch"))
+        return rows.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn")
+
+    def written(self, batch: int) -> DataFrame:
+        """The rows of one batch alone."""
+        return self.spark.read.parquet(self._folder("delta", batch))
 
     def compact(self, before: int | None = None, keep: Column | None = None) -> int | None:
         """Fold complete batches (below ``before``) into a new base of the rows that ``keep`` accepts; returns its number.
@@ -85,3 +92,28 @@ class KeyedTable:
         """Fold what stands before ``batch`` once ``batches`` deltas have come together."""
         if sum(level == "delta" for level, _ in self._parts(batch)) >= batches:
             self.compact(batch, keep)
+
+
+class MergedTable(KeyedTable):
+    """Partial results: all batches count, and ``merge`` brings the rows of a key together, on read and when folding.
+
+    ``merge`` must give the same for any split of the rows into batches, and for its own results.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, merge: Callable[[DataFrame], DataFrame]):
+        super().__init__(spark, root, ())
+        self.merge = merge
+
+    def _current(self, rows: DataFrame) -> DataFrame:
+        return self.merge(rows.drop("batch"))
+
+
+class BucketTable(KeyedTable):
+    """Results of time buckets: of each ``bucket`` the rows of the newest batch that has it, all of them."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        super().__init__(spark, root, ("bucket",))
+
+    def _current(self, rows: DataFrame) -> DataFrame:
+        newest = rows.groupBy("bucket").agg(F.max("batch").alias("batch"))
+        return rows.join(newest, ["bucket", "batch"], "left_semi")

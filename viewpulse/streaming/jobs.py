@@ -1,8 +1,8 @@
 """Streaming jobs, one per log.
 
-Two hops: the first reads the log and commits small event-time cells (or first records) exactly once with the Parquet
-file sink; the second reads those cells as a stream and publishes roll-ups when a 1-, 15- or 60-minute window closes.
-The log is therefore read once for all resolutions, and every hop restarts from its own checkpoint.
+Logs whose results come from sums, maxima, first or latest records run as :mod:`merging` jobs: the log is read once for all
+resolutions, late rows are merged into their bucket, and every micro-batch publishes what it has touched.  On/off states
+need the order of windows and run behind a watermark.
 """
 
 from __future__ import annotations
@@ -16,14 +16,14 @@ from pyspark.sql import Window
 from pyspark.sql.streaming import StreamingQuery
 
 from viewpulse.functions.timecols import minute_label
-from viewpulse.model import D2, D5, LOGS, RESOLUTIONS, TERMINAL_INFO_COLUMNS
-from viewpulse.operators.cube import Measures, cube_all
+from viewpulse.model import D2, D5, LOGS, PERIOD_TTL_S, RESOLUTIONS, TERMINAL_INFO_COLUMNS
+from viewpulse.operators.cube import Measures, cube_all, exact_distinct_cube, no_null_dims
 from viewpulse.operators.enrich import enrich_terminal, latest_per_session, one_per_key
 from viewpulse.operators.parse import parse_valid
-from viewpulse.operators.series import last_points
+from viewpulse.operators.series import cell_increments, last_points
 from viewpulse.plans import network, page, play, stall, terminal
-from viewpulse.sinks.keyed import KeyedTable
-from viewpulse.sources.streams import table_rows
+from viewpulse.sinks.keyed import BucketTable, KeyedTable
+from viewpulse.streaming import merging as M
 from viewpulse.streaming import state as ST
 from viewpulse.streaming import windows as W
 
@@ -111,77 +111,59 @@ def realtime_series(spark: SparkSession, root: str, table: str, keys: Iterable[s
 
 
 # ---- additive logs: minute cells, then resolutions ------------------------------------------------------------------
-@dataclass(frozen=True)
-class CellJob:
-    log: str
-    measures: Callable[[], Measures]
-    fixed: tuple[str, ...]
-    publish: Callable[[DataFrame, str], Mapping[str, DataFrame]]
-
-
 def _sums(names: Iterable[str]) -> Measures:
     return {name: ("sum", F.col(name)) for name in names}
 
 
-def _fail_tables(cells: DataFrame, suffix: str) -> Mapping[str, DataFrame]:
-    return {f"play_fail{suffix}": cube_all(cells, D5, _sums(["fail_count"]), BUCKET),
-            f"play_fail_d2{suffix}": cube_all(cells, D2, _sums(["fail_count"]), BUCKET)}
+def _fail_tables(cells: DataFrame) -> Mapping[str, DataFrame]:
+    return {"play_fail": cube_all(cells, D5, _sums(["fail_count"]), BUCKET),
+            "play_fail_d2": cube_all(cells, D2, _sums(["fail_count"]), BUCKET)}
 
 
-def _event_tables(cells: DataFrame, suffix: str) -> Mapping[str, DataFrame]:
+def _event_tables(cells: DataFrame) -> Mapping[str, DataFrame]:
     trend = cube_all(cells, D5, _sums(["cnt"]), (*BUCKET, "event_id")).withColumnRenamed("cnt", "count_sum")
-    wide = cube_all(cells, D5, network.category_measures(), BUCKET)
-    return {f"event{suffix}": trend, f"event_category{suffix}": wide}
+    return {"event": trend, "event_category": cube_all(cells, D5, network.category_measures(), BUCKET)}
 
 
-def _image_tables(cells: DataFrame, suffix: str) -> Mapping[str, DataFrame]:
-    sums = cube_all(cells, D5, _sums(["requests", "suc", "le3s"]), BUCKET)
-    return {f"image{suffix}": page.with_image_rates(sums)}
+def _image_tables(cells: DataFrame) -> Mapping[str, DataFrame]:
+    return {"image": page.with_image_rates(cube_all(cells, D5, _sums(["requests", "suc", "le3s"]), BUCKET))}
 
 
-def _epg_tables(cells: DataFrame, suffix: str) -> Mapping[str, DataFrame]:
+def _epg_tables(cells: DataFrame) -> Mapping[str, DataFrame]:
     bands = [f"band{i}" for i in range(1, 5)]
     sums = cube_all(cells, D5, _sums([*bands, "rsp_sum", "requests"]), (*BUCKET, "page_type"))
     kept = (*BUCKET, "page_type", *D5)
-    return {f"epg_bands{suffix}": sums.select(*kept, *bands),
-            f"epg_mean{suffix}": page.with_epg_mean(sums.select(*kept, "rsp_sum", "requests"))}
-
+    return {"epg_bands": sums.select(*kept, *bands), "epg_mean": page.with_epg_mean(sums.select(*kept, "rsp_sum", "requests"))}
 
-CELL_JOBS: dict[str, CellJob] = {
-    "play_fail": CellJob("play_fail", lambda: {"fail_count": ("sum", F.lit(1).cast("bigint"))}, (), _fail_tables),
-    "event": CellJob("event", lambda: {"cnt": ("sum", F.col("cnt"))}, ("event_id",), _event_tables),
-    "image": CellJob("image", page.image_measures, (), _image_tables),
-    "epg": CellJob("epg", lambda: {**page.band_measures(), **page.mean_measures()}, ("page_type",), _epg_tables),
-}
 
+def additive_job(measures: Measures, tables: Callable[[DataFrame], Mapping[str, DataFrame]], fixed: Iterable[str] = (),
+                 dims: Iterable[str] = D5, minutes: int = 1, resolutions: Iterable[int] = tuple(RESOLUTIONS)) -> M.MergeJob:
+    """Sums per cell; a late row is one more summand of its stored bucket."""
+    keys = (*BUCKET, *fixed, *dims)
 
-def minute_cells(job: CellJob, rows: DataFrame) -> DataFrame:
-    return W.window_sums(rows, 1, D5, job.measures(), job.fixed)
+    def cells(rows: DataFrame) -> DataFrame:
+        return no_null_dims(rows, list(dims)).groupBy(*keys).agg(*[F.sum(value).alias(name) for name, (_, value) in measures.items()])
 
+    def merge(stored: DataFrame) -> DataFrame:
+        return stored.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in measures])
 
-def resolution_query(spark: SparkSession, job: CellJob, name: str, root: str, minutes: int,
-                     trigger: Trigger) -> StreamingQuery:
-    # the first hop sends a cell once its minute is closed, so that none comes after a later one
-    cells = W.with_watermark(table_rows(spark, f"{root}/{name}_cells"), "0 seconds", "bucket")
-    names = list(job.measures())
-    closed = W.window_cells(cells, minutes, (*job.fixed, *D5), [F.sum(n).alias(n) for n in names], "bucket")
-    suffix = f"_{minutes}m"
-    return publish_rows(closed, root, f"{name}{suffix}", lambda batch: job.publish(batch, suffix), trigger)
+    return M.MergeJob(minutes, cells, merge, lambda current, buckets, m: tables(M.within(current, buckets, m)), tuple(resolutions))
 
 
 # ---- stall behaviour ------------------------------------------------------------------------------------------------
-def stall_query(spark: SparkSession, root: str, minutes: int, trigger: Trigger,
-                watermark: str = W.WATERMARK) -> StreamingQuery:
-    """First records pass the first hop at once, late ones too: the second hop waits for them as long as the first."""
-    first = W.with_watermark(table_rows(spark, f"{root}/lag_first"), watermark)
-    closed = W.window_cells(first, minutes, (*D5, "has_id", "export_id"), [F.count(F.lit(1)).alias("_copies")])
+_STALL = ("event_time", "export_id", *D5)
 
-    def publish(batch: DataFrame) -> Mapping[str, DataFrame]:
-        rows = batch.withColumnRenamed("bucket", "event_time")
-        return {f"lag_plays_{minutes}m": stall.stalled_plays(rows, minutes),
-                f"lag_cause_{minutes}m": stall.dense_cause_counts(batch, D5, BUCKET, F.col("_copies"))}
 
-    return publish_rows(closed, root, f"lag_{minutes}m", publish, trigger)
+def _first_stalls(rows: DataFrame) -> DataFrame:
+    """First record per minute, session and box, whichever micro-batch brings it."""
+    first = rows.groupBy(*BUCKET, "has_id", "probe_id").agg(F.min(F.struct(*_STALL)).alias("_first"))
+    return first.select(*BUCKET, "has_id", "probe_id", *[F.col("_first")[c].alias(c) for c in _STALL])
+
+
+def _stall_tables(current: DataFrame, buckets: DataFrame, minutes: int) -> Mapping[str, DataFrame]:
+    first = M.within(current, buckets, minutes)
+    plays = exact_distinct_cube(first, D5, "lag_plays", "has_id", BUCKET)
+    return {"lag_plays": plays, "lag_cause": stall.dense_cause_counts(first, D5, BUCKET)}
 
 
 # ---- play requests --------------------------------------------------------------------------------------------------
@@ -189,9 +171,13 @@ _PLAY = ("has_id", "probe_id", *D5, "has_type", "freeze_time", "down_seconds", "
          "down_bytes", "event_time")
 
 
-def play_tables(batch: DataFrame) -> Mapping[str, DataFrame]:
+def _latest_plays(rows: DataFrame) -> DataFrame:
+    """Latest record per session and window; state is bounded by sessions and the ties of their last moments."""
+    return latest_per_session(rows.select(*BUCKET, *_PLAY), True, ("bucket", "has_id"))
+
+
+def play_tables(latest: DataFrame) -> Mapping[str, DataFrame]:
     """Indicators of the latest record per session and window."""
-    latest = latest_per_session(batch, True, ("bucket", "has_id"))
     minute = latest.withColumn("minute", minute_label(F.col("event_time")))
     stalls = play.stall_distribution(latest, D2, BUCKET)
     return {"users_plays": play.users_and_plays(latest, D2, BUCKET),
@@ -203,6 +189,54 @@ def growth_tables(batch: DataFrame) -> Mapping[str, DataFrame]:
     return {"traffic": play.traffic(batch, D2, BUCKET), "service_time": play.service_online_time(batch, D2, BUCKET)}
 
 
+def growth_job(minutes: int = 5, ttl: int = PERIOD_TTL_S["RT"],
+               tables: Callable[[DataFrame], Mapping[str, DataFrame]] = growth_tables) -> M.MergeJob:
+    """Growth of cumulative counters: maxima per window, session and area.
+
+    A window subtracts the one before it, if that is younger than ``ttl`` seconds; so a late row also changes the windows up to
+    ``ttl`` after its own, and these are published again.
+    """
+    keys = (*BUCKET, *D2, "has_id", "has_type")
+
+    def maxima(rows: DataFrame) -> DataFrame:
+        return no_null_dims(rows, D2).groupBy(*keys).agg(*[F.max(c).alias(c) for c in ST.COUNTERS])
+
+    def publish(current: DataFrame, buckets: DataFrame, minutes: int) -> Mapping[str, DataFrame]:
+        def around(first: int) -> DataFrame:
+            steps = F.explode(F.sequence(F.lit(first), F.lit(ttl - 1), F.lit(minutes * 60)))
+            return buckets.select("bucket", steps.alias("_step")).select(
+                F.timestamp_seconds(F.unix_seconds("bucket") + F.col("_step")).alias("bucket")).distinct()
+        near, changed = around(-ttl), around(0)
+        cells = current.join(near, "bucket", "left_semi").withColumn("_period", F.unix_seconds("bucket"))
+        grown = cell_increments(cells, D2, ST.COUNTERS, ttl).withColumnRenamed("period_start", "bucket")
+        return tables(grown.join(changed, "bucket", "left_semi"))
+
+    return M.MergeJob(minutes, maxima, maxima, publish, (minutes,))
+
+
+def merge_jobs(log: str) -> Mapping[str, M.MergeJob]:
+    """Merging jobs of a log by name; built on first use, as measures need a session."""
+    builders = {
+        "play_fail": lambda: {"play_fail": additive_job({"fail_count": ("sum", F.lit(1).cast("bigint"))}, _fail_tables)},
+        "event": lambda: {"event": additive_job({"cnt": ("sum", F.col("cnt"))}, _event_tables, ("event_id",))},
+        "image": lambda: {"image": additive_job(page.image_measures(), _image_tables)},
+        "epg": lambda: {"epg": additive_job({**page.band_measures(), **page.mean_measures()}, _epg_tables, ("page_type",))},
+        "http_error": lambda: {"http_error": additive_job({"cnt": ("sum", F.col("cnt"))}, lambda cells: {
+            "http_error": network.http_errors(cells, D2, BUCKET)}, ("http_rsp_code",), D2, 5, (5,))},
+        "lag": lambda: {"lag": M.MergeJob(1, _first_stalls, _first_stalls, _stall_tables)},
+        "play_request": lambda: {
+            "play_request": M.MergeJob(5, _latest_plays, _latest_plays,
+                                       lambda current, buckets, m: play_tables(M.within(current, buckets, m)), (5,)),
+            "play_growth": growth_job()},
+    }
+    return builders[log]() if log in builders else {}
+
+
+def merged_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """Current rows of a table that a merging job publishes."""
+    return BucketTable(spark, f"{root}/realtime_{table}").read()
+
+
 # ---- boxes ----------------------------------------------------------------------------------------------------------
 def online_cells(changes: DataFrame, terminals: DataFrame, dims: tuple[str, ...] = D2) -> DataFrame:
     placed = enrich_terminal(changes, terminals, dims)
@@ -271,50 +305,30 @@ STREAM_JOBS = ("play_request", "lag", "play_fail", "epg", "image", "event", "htt
 
 
 def start(spark: SparkSession, job: str, lines: DataFrame, root: str, terminals: DataFrame | None = None,
-          trigger: Trigger = Trigger(), watermark: str = W.WATERMARK) -> list[StreamingQuery]:
-    """Start the first-hop (or only) queries of a job; see :func:`start_published` for the second hop."""
+          trigger: Trigger = Trigger(), watermark: str = W.WATERMARK, resolutions: Iterable[int] | None = None,
+          retention: Mapping[int, str] | None = None) -> list[StreamingQuery]:
+    """Start the queries of a job; ``retention`` bounds the tables of merging jobs, for example with ``model.RESOLUTIONS``."""
     if job not in STREAM_JOBS:
         raise ValueError(f"job {job!r} is not one of {', '.join(STREAM_JOBS)}")
     if job == "terminal_info":
         return [terminal_query(spark, lines, root, trigger)]
     rows = log_rows(lines, job, watermark)
-    if job in CELL_JOBS:
-        return [commit_rows(minute_cells(CELL_JOBS[job], rows), root, f"{job}_cells", trigger)]
-    if job == "lag":
-        first = W.first_per_minute(rows).select(*D5, "has_id", "export_id", "event_time")
-        return [commit_rows(first, root, "lag_first", trigger)]
-    if job == "http_error":
-        cells = W.window_sums(rows, 5, D2, {"cnt": ("sum", F.col("cnt"))}, ("http_rsp_code",))
-        return [publish_rows(cells, root, "http_error", lambda batch: {
-            "http_error": network.http_errors(batch, D2, BUCKET)}, trigger)]
     if job == "state":
         if terminals is None:
             raise ValueError("the state job needs the terminal table")
         changes = ST.online_changes_stream(rows, 5, ("event_time", "has_id"))
         return [publish_rows(changes, root, "state", lambda batch: {
             "online": online_cells(batch, terminals)}, trigger)]
-    distinct = W.window_distinct_rows(rows, 5, _PLAY)
-    return [publish_rows(distinct, root, "play_request", play_tables, trigger),
-            publish_rows(ST.increments_stream(rows, 5, D2), root, "play_growth", growth_tables, trigger)]
-
-
-def start_published(spark: SparkSession, job: str, root: str, trigger: Trigger = Trigger(),
-                    resolutions: Iterable[int] = tuple(RESOLUTIONS), watermark: str = W.WATERMARK) -> list[StreamingQuery]:
-    """Start the second-hop queries of a job, once the first hop has committed something; ``watermark`` as for it."""
-    if job == "lag":
-        return [stall_query(spark, root, minutes, trigger, watermark) for minutes in resolutions]
-    if job in CELL_JOBS:
-        return [resolution_query(spark, CELL_JOBS[job], job, root, minutes, trigger) for minutes in resolutions]
-    return []
+    return [M.merging_query(spark, merge, rows, root, name, trigger.options(),
+                            resolutions if len(merge.resolutions) > 1 else None, retention)
+            for name, merge in merge_jobs(job).items()]
 
 
 def run_available(spark: SparkSession, job: str, lines: DataFrame, root: str, terminals: DataFrame | None = None,
-                  watermark: str = W.WATERMARK, resolutions: Iterable[int] = tuple(RESOLUTIONS)) -> list[StreamingQuery]:
-    """Process everything available now, hop after hop, and stop."""
-    queries = start(spark, job, lines, root, terminals, Trigger(), watermark)
+                  watermark: str = W.WATERMARK, resolutions: Iterable[int] = tuple(RESOLUTIONS),
+                  retention: Mapping[int, str] | None = None) -> list[StreamingQuery]:
+    """Process everything available now and stop."""
+    queries = start(spark, job, lines, root, terminals, Trigger(), watermark, resolutions, retention)
     for query in queries:
         query.awaitTermination()
-    second = start_published(spark, job, root, Trigger(), resolutions, watermark)
-    for query in second:
-        query.awaitTermination()
-    return queries + second
+    return queries
