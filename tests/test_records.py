@@ -85,16 +85,12 @@ def test_changed_records_across_days(rows):
     frame = rows("probe_id string, fw string, event_time timestamp, seq bigint", data)
     changes = S.changed_records(frame, "probe_id", ["fw"], ("event_time", "seq"))
     assert sorted(r.seq for r in changes.collect()) == [0, 2, 4, 5, 7]
-    table = rows("probe_id string, fw string", [("x", "old"), ("y", "kept")])
-    after = S.apply_changes(table, changes, "probe_id", ["fw"], ("event_time", "seq"))
-    assert sorted(map(tuple, after.collect())) == [("x", "c"), ("y", "kept")]
 
 
-def test_series_append_and_limit(rows):
-    stored = rows("k string, index_time string, v bigint", [("a", f"{i:03}", i) for i in range(30)])
-    new = rows("k string, index_time string, v bigint", [("a", "030", 30), ("a", "029", 99), ("b", "000", 1)])
-    out = {(r.k, r.index_time): r.v for r in S.append_points(stored, new, ["k"]).collect()}
-    assert len(out) == 31 and out["a", "029"] == 99 and ("a", "000") not in out and out["b", "000"] == 1
+def test_series_limit(rows):
+    points = rows("k string, index_time string, v bigint", [("a", f"{i:03}", i) for i in range(31)] + [("b", "000", 1)])
+    out = {(r.k, r.index_time): r.v for r in S.last_points(points, ["k"]).collect()}
+    assert len(out) == 31 and ("a", "000") not in out and out["b", "000"] == 1
 
 
 def test_first_per_minute(rows):

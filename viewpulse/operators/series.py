@@ -20,15 +20,6 @@ def last_points(points: DataFrame, key: Sequence[str], time: str = "index_time",
     return points.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def append_points(stored: DataFrame, new: DataFrame, key: Sequence[str], time: str = "index_time",
-                  n: int = SERIES_POINTS) -> DataFrame:
-    """Stored series plus new points; a new point replaces the stored one of the same time."""
-    both = stored.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
-    winner = Window.partitionBy(*key, time).orderBy(F.col("_new").desc())
-    merged = both.withColumn("_w", F.row_number().over(winner)).where("_w = 1").drop("_w", "_new")
-    return last_points(merged, key, time, n)
-
-
 def json_lists(points: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """One JSON list per series, oldest point first; meant for series already cut by :func:`last_points`."""
     point = F.struct(*columns)
@@ -36,11 +27,6 @@ def json_lists(points: DataFrame, key: Sequence[str], columns: Sequence[str]) ->
             .agg(F.to_json(F.array_sort(F.collect_list(point))).alias("points")))
 
 
-def current_slice(points: DataFrame, label: str, time: str = "index_time") -> DataFrame:
-    """Points of the current label only, for single provinces over all their cities."""
-    return points.where((F.col(time) == label) & (F.col("province_id") != "ALL") & (F.col("city_id") == "ALL"))
-
-
 def hour_slice(points: DataFrame, time: str = "index_time") -> DataFrame:
     """Per province (all cities): the points of that province's newest label."""
     area = points.where((F.col("province_id") != "ALL") & (F.col("city_id") == "ALL"))
@@ -160,16 +146,6 @@ def changed_records(reports: DataFrame, key: str, columns: Sequence[str], order:
     return later.select(*kept).unionByName(firsts.select(*kept))
 
 
-def apply_changes(table: DataFrame, changes: DataFrame, key: str, columns: Sequence[str],
-                  order: Sequence[str]) -> DataFrame:
-    """Upsert: the newest change per key replaces the stored row, other rows stay."""
-    newest = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order])
-    latest = (changes.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1")
-              .select(key, *columns))
-    untouched = table.select(key, *columns).join(latest.select(key), key, "left_anti")
-    return untouched.unionByName(latest)
-
-
 def online_in_periods(states: DataFrame, period_of: Column, order: Sequence[str] = ("event_time", "seq"),
                       off: str = "0") -> DataFrame:
     """Boxes that were on at any time of a period: on at its start, or switched on inside it.

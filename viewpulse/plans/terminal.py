@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewpulse.functions import rates as R
-from viewpulse.model import D2, D5
-from viewpulse.operators.cube import additive_distinct_cube, cube_all, exact_distinct_cube
+from viewpulse.model import D5
+from viewpulse.operators.cube import additive_distinct_cube, cube_all
 from viewpulse.operators.enrich import BROADCAST_BYTES, enrich_terminal, one_per_key
 
 OFF = "0"
@@ -31,15 +31,6 @@ def online_users(states: DataFrame, terminals: DataFrame, dims: Sequence[str] =
     return cube_all(placed, dims, {"online_users": ("sum", F.lit(1).cast("bigint"))}, fixed)
 
 
-def online_users_of_rows(placed: DataFrame, dims: Sequence[str] = D5, fixed: Sequence[str] = (),
-                         mode: str = "exact") -> DataFrame:
-    """The same for rows that carry their own area (a box may then have several cells)."""
-    rows = switched_on(placed)
-    if mode == "additive":
-        return additive_distinct_cube(rows, dims, {"online_users": "probe_id"}, fixed)
-    return exact_distinct_cube(rows, dims, "online_users", "probe_id", fixed)
-
-
 def terminal_count(reports: DataFrame, dims: Sequence[str] = D5,
                    order: Sequence[str] = ("event_time", "seq")) -> DataFrame:
     """Devices of the current terminal table: the last report of each box counts."""
@@ -51,7 +42,3 @@ def login_success(logins: DataFrame, dims: Sequence[str] = D5, fixed: Sequence[s
     """Successful over attempted logins; no row without attempts."""
     sums = cube_all(logins, dims, {"_suc": ("sum", F.col("suc_pages")), "_all": ("sum", F.col("pages"))}, fixed)
     return sums.where("_all <> 0").select(*fixed, *dims, R.rate4(F.col("_suc"), F.col("_all")).alias("succ_rate"))
-
-
-__all__ = ["D2", "D5", "OFF", "login_success", "online_users", "online_users_of_rows", "switched_on",
-           "terminal_count"]

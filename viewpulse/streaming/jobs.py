@@ -317,8 +317,8 @@ def start(spark: SparkSession, job: str, lines: DataFrame, root: str, terminals:
         if terminals is None:
             raise ValueError("the state job needs the terminal table")
         changes = ST.online_changes_stream(rows, 5, ("event_time", "has_id"))
-        return [publish_rows(changes, root, "state", lambda batch: {
-            "online": online_cells(batch, terminals)}, trigger)]
+        return [publish_rows(changes, root, "state", lambda batch: {"online": online_cells(batch, terminals)}, trigger),
+                late_query(spark, rows, root, watermark, trigger, "state_late")]
     return [M.merging_query(spark, merge, rows, root, name, trigger.options(),
                             resolutions if len(merge.resolutions) > 1 else None, retention)
             for name, merge in merge_jobs(job).items()]

@@ -1,8 +1,4 @@
-"""Event-time windows, in-stream dedup and late rows.
-
-Closed windows are aggregated at the finest grain only; the roll-up over the dimensions happens per micro-batch on the
-closed cells.  State is thus one row per open cell instead of one per cell and subset.
-"""
+"""Event-time windows behind a watermark, in-stream dedup and late rows."""
 
 from __future__ import annotations
 
@@ -11,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewpulse.operators.cube import Measures, all_levels, no_null_dims
-
 WATERMARK = "1 hour"
 
 
@@ -29,38 +23,6 @@ def window_cells(rows: DataFrame, minutes: int, keys: Sequence[str], aggregates:
     return cells.select(F.col("window.start").alias("bucket"), *keys, *names)
 
 
-def window_sums(rows: DataFrame, minutes: int, dims: Sequence[str], measures: Measures,
-                fixed: Sequence[str] = ()) -> DataFrame:
-    sums = [F.sum(value).alias(name) for name, (_, value) in measures.items()]
-    return window_cells(no_null_dims(rows, dims), minutes, (*fixed, *dims), sums)
-
-
-def window_distinct_rows(rows: DataFrame, minutes: int, columns: Sequence[str],
-                         time: str = "event_time") -> DataFrame:
-    """Distinct rows per window, for measures that need the rows themselves once the window closed."""
-    # a stream may carry one event-time column only, so the row's own time goes on as a plain value
-    plain = rows.withColumn("_time", F.timestamp_micros(F.unix_micros(time)))
-    keys = ["_time" if c == time else c for c in columns]
-    cells = window_cells(plain, minutes, keys, [F.count(F.lit(1)).alias("_copies")], time)
-    return cells.drop("_copies").withColumnRenamed("_time", time)
-
-
-def windowed_cube(rows: DataFrame, minutes: int, dims: Sequence[str], measures: Measures,
-                  fixed: Sequence[str] = ()) -> DataFrame:
-    """Roll-up inside the stream, for ``update`` mode where open windows are shown as they grow."""
-    sums = [F.sum(value).alias(name) for name, (_, value) in measures.items()]
-    return window_cells(all_levels(no_null_dims(rows, dims), dims), minutes, (*fixed, *dims), sums)
-
-
-def windowed_distinct_cube(rows: DataFrame, minutes: int, dims: Sequence[str], name: str, column: str) -> DataFrame:
-    """Exact distinct ids per window and subset as two chained aggregates (append mode)."""
-    spread = all_levels(no_null_dims(rows, dims), dims).where(F.col(column).isNotNull())
-    seen = spread.groupBy(F.window("event_time", f"{minutes} minutes"), *dims, column).agg(F.count(F.lit(1)))
-    counted = (seen.groupBy(F.window(F.window_time("window"), f"{minutes} minutes"), *dims)
-               .agg(F.count(F.lit(1)).alias(name)))
-    return counted.select(F.col("window.start").alias("bucket"), *dims, name)
-
-
 def first_per_minute(rows: DataFrame) -> DataFrame:
     """First arrival per (minute, session, box); repeats inside the watermark are dropped."""
     minute = F.date_trunc("minute", F.col("event_time"))
