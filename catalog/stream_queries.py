@@ -23,6 +23,7 @@ from viewpulse.sinks.keyed import BucketTable
 from viewpulse.sources import logs, streams
 from viewpulse.streaming import jobs as J
 from viewpulse.streaming import merging as M
+from viewpulse.streaming import presence as PR
 from viewpulse.streaming import state as ST
 from viewpulse.streaming import windows as W
 
@@ -178,11 +179,6 @@ def ingest_no_time(v: Views) -> DataFrame:
     return found.groupBy("year", "page_type").agg(F.count(F.lit(1)).alias("n"), F.sum("requests").alias("requests"))
 
 
-def _closed(view: str, minutes: int, bucket: str = "bucket") -> str:
-    return (f"strptime({bucket}, '%Y%m%d%H%M') + interval {minutes} minutes "
-            f"<= (select max(event_time) from {view}) - interval 1 hour")
-
-
 def _fail_cube(minutes: int, dims, where: str = "true") -> str:
     return Q.cube(f"(select *, {Q.bucket(minutes)} as bucket from fx_play_fail)", dims, f"{ONE} as fail_count", ("bucket",), where)
 
@@ -277,17 +273,67 @@ def stream_lag_dedup(v: Views) -> DataFrame:
     return kept.select("has_id", "probe_id", T.minute_label(F.col("event_time")).alias("minute"))
 
 
-@register("stream_online_state", Q.with_views(f"""
-select bucket, probe_id, cast(seen_on and not was_on as bigint) as newly_on,
-       cast(now_on as bigint) - cast(was_on as bigint) as net
-from (select *, coalesce(lag(now_on) over (partition by probe_id order by bucket), false) as was_on from cells)
-where {_closed('fx_state', 60)} and ((seen_on and not was_on) or now_on <> was_on)""", f"""
+_BOX_CELLS = f"""
 cells as (select {Q.bucket(60)} as bucket, probe_id, bool_or(state <> '0') as seen_on,
-                 arg_max(state, (event_time, seq)) <> '0' as now_on from fx_state group by all)"""))
+                 arg_max(state, (event_time, seq)) <> '0' as now_on from fx_state group by all),
+linked as (select *, coalesce(lag(now_on) over (partition by probe_id order by bucket), false) as was_on from cells),
+changes as (select bucket, probe_id, cast(seen_on and not was_on as bigint) as newly_on,
+                   cast(now_on as bigint) - cast(was_on as bigint) as net
+            from linked where (seen_on and not was_on) or now_on <> was_on)"""
+
+
+@register("stream_online_state", Q.with_views("select * from changes", _BOX_CELLS))
 def stream_online_state(v: Views) -> DataFrame:
-    rows = W.with_watermark(StreamViews(v, "events").state)
-    changes = ST.online_changes_stream(rows, 60, ("event_time", "seq"))
-    return committed(v, changes, "online").withColumn("bucket", T.minute_label(F.col("bucket")))
+    """Changes per window and box with every arrival out of order."""
+    root = shared_path(v.spark, "presence")
+    PR.presence_query(v.spark, arrivals(v, v.state), root, NOW.options(), None, 60, (), ("event_time", "seq")).awaitTermination()
+    return PR.PresenceTables(v.spark, root, ()).changes.read().withColumn("bucket", T.minute_label(F.col("bucket")))
+
+
+_BOX_COUNTS = _BOX_CELLS + f""",
+rolled as ({Q.cube("(select c.*, t.province_id, t.city_id from changes c join fx_terminal_info t on t.probe_id = c.probe_id)",
+                   D2, f"{Q.isum('newly_on', 'newly_on')}, {Q.isum('net', 'net')}", ("bucket",))}),
+summed as (select *, sum(net) over (partition by province_id, city_id order by bucket
+                                    rows between unbounded preceding and current row) as held from rolled),
+counted as (select bucket, province_id, city_id, cast(held - net + newly_on as bigint) as online_users, cast(held as bigint) as stay_on
+            from summed)"""
+
+
+def presence(v: Views, retention: str | None = None, parts: int = 3) -> str:
+    """Folder of the state job run over all rows: out of order, or in the order of time where there is a retention."""
+    root = shared_path(v.spark, "presence")
+    if retention:
+        ends = v.state.agg(F.min("event_time").alias("low"), F.max("event_time").alias("high")).first()
+        rest = v.state
+        for part in range(parts):
+            until = F.lit(ends["low"] + (ends["high"] - ends["low"]) * (part + 1) / parts)
+            own = F.col("event_time") <= until
+            rest.where(own).coalesce(1).write.mode("append").parquet(f"{root}/in")
+            rest = rest.where(~own)
+        stream = streams.table_rows(v.spark, f"{root}/in", max_files=1)
+    else:
+        stream = arrivals(v, v.state, parts)
+    PR.presence_query(v.spark, stream, root, NOW.options(), v.terminal_info, 60, D2, ("event_time", "seq"), retention).awaitTermination()
+    return root
+
+
+@register("stream_online_counts", Q.with_views("select * from counted", _BOX_COUNTS))
+def stream_online_counts(v: Views) -> DataFrame:
+    """Boxes on per window and area with every arrival out of order: late records move the counts of later windows too."""
+    return PR.current_online(v.spark, presence(v)).withColumn("bucket", T.minute_label(F.col("bucket")))
+
+
+@register("stream_hour_slice", Q.with_views("""
+select n.bucket, province_id, city_id, cast(sum(case when r.bucket = n.bucket then newly_on else net end) as bigint) as online_users,
+       cast(sum(net) as bigint) as stay_on
+from rolled r, (select max(c.bucket) as bucket from cells c join fx_terminal_info t on t.probe_id = c.probe_id) n
+where province_id <> 'ALL' and city_id = 'ALL' group by all""", _BOX_COUNTS))
+def stream_hour_slice(v: Views) -> DataFrame:
+    """The newest window of all provinces from kept windows and carried sums alone."""
+    root = presence(v, "1 day")
+    tables = PR.PresenceTables(v.spark, root)
+    tables.fold(None, tables.floor(None, "1 day", 60), 1)
+    return PR.current_slice(v.spark, root).withColumn("bucket", T.minute_label(F.col("bucket")))
 
 
 _GROWTH = f"""

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog.views import Views, raw_lines
+from viewpulse import model
 from viewpulse.model import D2, D5
 from viewpulse.operators import series as S
 from viewpulse.operators.cube import exact_distinct_cube
@@ -15,6 +16,7 @@ from viewpulse.sinks.keyed import BucketTable
 from viewpulse.sources import hadoop, streams
 from viewpulse.streaming import jobs as J
 from viewpulse.streaming import merging as M
+from viewpulse.streaming import presence as PR
 
 
 def write_slices(lines, path, slices=3):
@@ -156,21 +158,84 @@ def test_lag_stream_drops_repeats(spark, views):
     assert total.agg(F.sum("lag_count")).first()[0] == once.count()
 
 
-def test_state_stream_equals_batch(spark, views):
+def presence_by_hand(records, terminals, minutes=5):
+    """(bucket, province) -> (online, stay_on) of all cities, by walking through the records of each box."""
+    area, boxes, steps = {r["probe_id"]: r["province_id"] for r in terminals}, {}, {}
+    for r in records:
+        if r["probe_id"] in area:
+            start = r["event_time"] - timedelta(minutes=r["event_time"].minute % minutes, seconds=r["event_time"].second,
+                                                microseconds=r["event_time"].microsecond)
+            boxes.setdefault(r["probe_id"], {}).setdefault(start, []).append((r["event_time"], r["has_id"], r["state"]))
+    for box, windows in boxes.items():
+        on = False
+        for start in sorted(windows):
+            seen, now = any(s != "0" for _, _, s in windows[start]), max(windows[start])[2] != "0"
+            step = steps.setdefault((area[box], start), [0, 0, 0])
+            step[0] += seen and not on
+            step[1] += now - on
+            step[2] += (seen and not on) or now != on
+            on = now
+    out, held = {}, {}
+    for province, start in sorted(steps):
+        newly, net, touched = steps[province, start]
+        if touched:
+            before = held.get(province, 0)
+            held[province] = before + net
+            out[start, province] = (before + newly, before + net)
+    return out
+
+
+@pytest.mark.parametrize("retention", [None, model.RESOLUTIONS])
+def test_state_stream_equals_a_walk_through_the_records(spark, views, retention, monkeypatch):
+    """Two slices; with retention and folding at every micro-batch the windows that are kept have the same counts."""
+    monkeypatch.setattr(PR, "FOLD", 1)
     root = shared_path(spark, "state")
     lines = ordered_lines(views, "state")
-    write_slices(lines, f"{root}/in", 2)
-    J.run_available(spark, "state", streams.text_lines(spark, f"{root}/in", 1), root, terminals=views.terminal_info)
-    cells = J.realtime_table(spark, root, "online", ("bucket", *D2))
-    counts = J.online_counts(cells).where("province_id = 'ALL' and city_id = 'ALL'")
-    rows = parse_valid(lines, "state")
-    newest = rows.agg(F.max("event_time")).first()[0] - timedelta(hours=2)
-    held = {r["bucket"]: r["stay_on"] for r in counts.collect()}
-    last = max(b for b in held if b <= newest)
-    truth = (rows.where(F.col("event_time") < F.lit(last + timedelta(minutes=5)))
-             .groupBy("probe_id").agg(F.max_by("state", F.struct("event_time", "has_id")).alias("s")))
-    known = truth.join(views.terminal_info.select("probe_id"), "probe_id")
-    assert held[last] == known.where("s <> '0'").count()
+    write_slices(lines, f"{root}/in", 3)
+    J.run_available(spark, "state", streams.text_lines(spark, f"{root}/in", 1), root, terminals=views.terminal_info, retention=retention)
+    want = presence_by_hand(parse_valid(lines, "state").collect(), views.terminal_info.collect())
+    counts = PR.current_online(spark, root).where("province_id <> 'ALL' and city_id = 'ALL'")
+    got = {(r["bucket"], r["province_id"]): (r["online_users"], r["stay_on"]) for r in counts.collect()}
+    if retention:
+        windows = parse_valid(lines, "state").select("probe_id", M.window_start(F.col("event_time"), 5)).distinct().count()
+        assert PR.PresenceTables(spark, root).cells.read().count() < windows
+        assert 0 < len(got) < len(want) and got.items() <= want.items()
+        assert spark.read.parquet(f"{root}/state_expired").count() == 0
+    else:
+        assert got == want
+
+
+def test_late_states_move_later_counts(spark):
+    """A late record turns the box off before a window that had found it on; a replay changes nothing."""
+    root = shared_path(spark, "late_state")
+    base = datetime(2024, 1, 1)
+    terminals = spark.createDataFrame([("a", "1", "10"), ("b", "1", "11")], "probe_id string, province_id string, city_id string")
+    ddl = "event_time timestamp, probe_id string, has_id string, state string"
+    batches = [[(0, "a", "1"), (10, "a", "1"), (10, "b", "1")], [(5, "a", "0"), (20, "b", "0"), (20, "unknown", "1")], [(20, "b", "2")]]
+
+    def run():
+        PR.presence_query(spark, streams.table_rows(spark, f"{root}/in", max_files=1), root, J.Trigger().options(), terminals).awaitTermination()
+        counts = PR.current_online(spark, root).where("province_id = '1' and city_id = 'ALL'")
+        return {(r["bucket"] - base).seconds // 60: (r["online_users"], r["stay_on"]) for r in counts.collect()}
+
+    seen = []
+    for rows in batches:
+        spark.createDataFrame([(base + timedelta(minutes=m), box, "h", state) for m, box, state in rows], ddl) \
+            .coalesce(1).write.mode("append").parquet(f"{root}/in")
+        seen.append(run())
+    assert seen == [{0: (1, 1), 10: (2, 2)}, {0: (1, 1), 5: (1, 0), 10: (2, 2), 20: (2, 1)}, {0: (1, 1), 5: (1, 0), 10: (2, 2)}]
+    tables = PR.PresenceTables(spark, root)
+    before = sorted(map(tuple, tables.changes.written(1).collect()))
+    assert before == sorted(map(tuple, tables.differences(1).collect()))
+
+
+def test_moved_boxes_leave_their_area(spark):
+    base = datetime(2024, 1, 1)
+    ddl = "bucket timestamp, probe_id string, seen_on int, last struct<event_time: timestamp, state: string>, province_id string"
+    cells = spark.createDataFrame([(base, "a", 1, (base, "1"), "x"), (base + timedelta(hours=1), "a", 1, (base, "1"), "y"),
+                                   (base + timedelta(hours=2), "a", 0, (base, "0"), "y")], ddl)
+    got = {(r["bucket"].hour, r["province_id"]): (r["newly_on"], r["net"]) for r in PR.changes_of(cells, ("province_id",)).collect()}
+    assert got == {(0, "x"): (1, 1), (1, "y"): (1, 1), (1, "x"): (0, -1), (2, "y"): (0, -1)}
 
 
 def test_play_request_stream(spark, views):

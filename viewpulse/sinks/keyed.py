@@ -15,6 +15,9 @@ from pyspark.sql import Window
 
 from viewpulse.sources.hadoop import matching, remove
 
+#: a condition, or what becomes of the rows
+Keep = Column | Callable[[DataFrame], DataFrame]
+
 
 class KeyedTable:
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str]):
@@ -70,9 +73,11 @@ class KeyedTable:
         """The rows of one batch alone."""
         return self.spark.read.parquet(self._folder("delta", batch))
 
-    def compact(self, before: int | None = None, keep: Column | None = None) -> int | None:
+    def compact(self, before: int | None = None, keep: Keep | None = None) -> int | None:
         """Fold complete batches (below ``before``) into a new base of the rows that ``keep`` accepts; returns its number.
 
+        A function may be given as ``keep``; it makes the rows of the base from the current ones.
+
         Bases older than the new one and the deltas in the base before it go; the deltas just folded stay until the next
         time, for readers that have listed them already.
         """
@@ -82,13 +87,15 @@ class KeyedTable:
         number = parts[-1][1]
         if ("base", number) not in parts:
             rows = self.read(before)
-            (rows if keep is None else rows.where(keep)).write.mode("overwrite").parquet(self._folder("base", number))
+            if keep is not None:
+                rows = rows.where(keep) if isinstance(keep, Column) else keep(rows)
+            rows.write.mode("overwrite").parquet(self._folder("base", number))
             old = [b for b in self._complete("base") if b < number]
             gone = [("base", b) for b in old[:-1]] + [("delta", b) for b in self._complete("delta") if old and b <= old[-1]]
             remove(self.spark, [self._folder(*g) for g in gone])
         return number
 
-    def compact_every(self, batches: int, batch: int, keep: Column | None = None) -> None:
+    def compact_every(self, batches: int, batch: int | None, keep: Keep | None = None) -> None:
         """Fold what stands before ``batch`` once ``batches`` deltas have come together."""
         if sum(level == "delta" for level, _ in self._parts(batch)) >= batches:
             self.compact(batch, keep)

@@ -1,8 +1,8 @@
 """Streaming jobs, one per log.
 
 Logs whose results come from sums, maxima, first or latest records run as :mod:`merging` jobs: the log is read once for all
-resolutions, late rows are merged into their bucket, and every micro-batch publishes what it has touched.  On/off states
-need the order of windows and run behind a watermark.
+resolutions, late rows are merged into their bucket, and every micro-batch publishes what it has touched.  On/off states of
+boxes run as the job of :mod:`presence`.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from viewpulse.sinks.keyed import BucketTable, KeyedTable
 from viewpulse.streaming import merging as M
 from viewpulse.streaming import state as ST
 from viewpulse.streaming import windows as W
+from viewpulse.streaming.presence import presence_query
 
 Publish = Callable[[DataFrame], Mapping[str, DataFrame]]
 BUCKET = ("bucket",)
@@ -238,22 +239,6 @@ def merged_table(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 # ---- boxes ----------------------------------------------------------------------------------------------------------
-def online_cells(changes: DataFrame, terminals: DataFrame, dims: tuple[str, ...] = D2) -> DataFrame:
-    placed = enrich_terminal(changes, terminals, dims)
-    return cube_all(placed, dims, {"newly_on": ("sum", F.col("newly_on")), "net": ("sum", F.col("net"))}, BUCKET)
-
-
-def online_counts(cells: DataFrame, dims: tuple[str, ...] = D2) -> DataFrame:
-    """Boxes on at any time of a window: those on before it plus those seen on anew.
-
-    Windows without a change in a cell have no row; their count is the ``stay_on`` of the row before.
-    """
-    before = Window.partitionBy(*dims).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    held = F.coalesce(F.sum("net").over(before), F.lit(0))
-    return cells.select(*BUCKET, *dims, (held + F.col("newly_on")).alias("online_users"),
-                        (held + F.col("net")).alias("stay_on"))
-
-
 def changed_terminals(batch: DataFrame, table: KeyedTable, number: int | None = None) -> DataFrame:
     """Last report per box of a micro-batch where it differs from the one stored before micro-batch ``number``."""
     columns = [c for c in TERMINAL_INFO_COLUMNS if c != "probe_id"]
@@ -307,7 +292,7 @@ STREAM_JOBS = ("play_request", "lag", "play_fail", "epg", "image", "event", "htt
 def start(spark: SparkSession, job: str, lines: DataFrame, root: str, terminals: DataFrame | None = None,
           trigger: Trigger = Trigger(), watermark: str = W.WATERMARK, resolutions: Iterable[int] | None = None,
           retention: Mapping[int, str] | None = None) -> list[StreamingQuery]:
-    """Start the queries of a job; ``retention`` bounds the tables of merging jobs, for example with ``model.RESOLUTIONS``."""
+    """Start the queries of a job; ``retention`` bounds the tables of merging jobs and of the state job, for example with ``model.RESOLUTIONS``."""
     if job not in STREAM_JOBS:
         raise ValueError(f"job {job!r} is not one of {', '.join(STREAM_JOBS)}")
     if job == "terminal_info":
@@ -316,9 +301,8 @@ def start(spark: SparkSession, job: str, lines: DataFrame, root: str, terminals:
     if job == "state":
         if terminals is None:
             raise ValueError("the state job needs the terminal table")
-        changes = ST.online_changes_stream(rows, 5, ("event_time", "has_id"))
-        return [publish_rows(changes, root, "state", lambda batch: {"online": online_cells(batch, terminals)}, trigger),
-                late_query(spark, rows, root, watermark, trigger, "state_late")]
+        return [presence_query(spark, rows, root, trigger.options(), terminals,
+                               retention=M.interval_for(retention, 5) if retention else None)]
     return [M.merging_query(spark, merge, rows, root, name, trigger.options(),
                             resolutions if len(merge.resolutions) > 1 else None, retention)
             for name, merge in merge_jobs(job).items()]

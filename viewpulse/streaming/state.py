@@ -1,6 +1,6 @@
-"""Keyed state that SQL cannot express: previous-period values and on/off boxes.
+"""Keyed state that SQL cannot express: previous-period values.
 
-Both processors sit behind a windowed aggregate, so a key hands over one small row per window however busy it is.
+The processor sits behind a windowed aggregate, so a key hands over one small row per window however busy it is.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from viewpulse.streaming.windows import window_cells
 
 COUNTERS = ("down_bytes", "play_seconds")
 
-# the processors travel with the query, so executors need not have this package installed
+# the processor travels with the query, so executors need not have this package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
@@ -86,40 +86,3 @@ def increments_stream(plays: DataFrame, minutes: int = 5, dims: Sequence[str] =
         f"{c}_delta bigint" for c in COUNTERS)
     return cells.groupBy("has_id", "has_type").transformWithStateInPandas(
         PreviousValue(ttl_s, dims), outputStructType=schema, outputMode="Append", timeMode="EventTime")
-
-
-class OnlineBox(StatefulProcessor):
-    """On/off state of a box; tells when it is seen on anew and when its state at the window end changed."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.on = handle.getValueState("on", "since timestamp")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        was_on = self.on.exists()
-        out = []
-        for row in _batch(rows).to_dict("records"):
-            now_on = row["last_state"] != "0"
-            newly = int(bool(row["seen_on"]) and not was_on)
-            net = int(now_on) - int(was_on)
-            if newly or net:
-                out.append({"bucket": row["bucket"], "probe_id": key[0], "newly_on": newly, "net": net})
-            if now_on and not was_on:
-                self.on.update((row["bucket"].to_pydatetime(),))
-            was_on = now_on
-        if not was_on:
-            self.on.clear()
-        yield pd.DataFrame(out, columns=["bucket", "probe_id", "newly_on", "net"])
-
-    def close(self) -> None:
-        pass
-
-
-def online_changes_stream(states: DataFrame, minutes: int = 5, order: Sequence[str] = ("event_time",)) -> DataFrame:
-    """Per window and box: seen on anew (0/1) and change of the state kept (-1/0/1); unchanged boxes stay silent."""
-    use_keyed_state(states.sparkSession)
-    cells = window_cells(states, minutes, ("probe_id",), [
-        F.max(F.when(F.col("state") != "0", 1).otherwise(0)).alias("seen_on"),
-        F.max_by("state", F.struct(*order)).alias("last_state")])
-    return cells.groupBy("probe_id").transformWithStateInPandas(
-        OnlineBox(), outputStructType="bucket timestamp, probe_id string, newly_on bigint, net bigint",
-        outputMode="Append", timeMode="None")
