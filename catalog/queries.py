@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,10 @@ from viewpulse.operators import enrich as E
 from viewpulse.operators import parse as P
 from viewpulse.operators import series as S
 from viewpulse.plans import network, page, play, stall, terminal
+from viewpulse.plans.jobs import run_terminal_count
+from viewpulse.plans.snapshots import CounterSnapshots
+from viewpulse.session import shared_path
+from viewpulse.sinks.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -467,18 +472,18 @@ def stall_user_rate(v: Views) -> DataFrame:
 _COUNTERS = ("down_bytes", "play_seconds", "freeze_time", "freeze_count")
 
 
-def _grown(dims) -> str:
+def _grown(dims, period: str = "month", days: int = 31) -> str:
     cols = ", ".join(dims)
     maxima = ", ".join(f"max({c}) as {c}" for c in _COUNTERS)
     before = ", ".join(
         f"{c} - coalesce((select max(b.{c}) from cells b where b.has_id = a.has_id and b.has_type = a.has_type "
         f"and b.p = a.before_p), 0) as {c}_delta" for c in _COUNTERS)
     return f"""cells as (
-  select date_trunc('month', event_time) as p, {cols}, has_id, has_type, {maxima} from fx_play_request
+  select date_trunc('{period}', event_time) as p, {cols}, has_id, has_type, {maxima} from fx_play_request
   group by all),
 prior as (select distinct has_id, has_type, p from cells),
 linked as (select *, lag(p) over (partition by has_id, has_type order by p) as q from prior),
-dated as (select a.*, case when epoch(a.p) - epoch(l.q) < 2 * 31 * 86400 then l.q end as before_p
+dated as (select a.*, case when epoch(a.p) - epoch(l.q) < 2 * {days} * 86400 then l.q end as before_p
   from cells a join linked l on l.has_id = a.has_id and l.has_type = a.has_type and l.p = a.p),
 grown as (select a.*, strftime(a.p, '%Y%m%d%H%M') as parse_time, {before} from dated a)"""
 
@@ -521,6 +526,27 @@ def service_online_time_d2(v: Views) -> DataFrame:
     return play.service_online_time(_increments(v, D2), D2, ("parse_time",))
 
 
+@register("traffic_incremental", Q.with_views(
+    Q.cube("grown", D5, Q.isum("down_bytes_delta", "down_bytes"), ("parse_time",)), _grown(D5, "quarter", 93)))
+def traffic_incremental(v: Views) -> DataFrame:
+    """One run per quarter, each from its own rows and the snapshots of runs before it; every fifth run is done twice."""
+    rows = v.play_request
+    quarter = F.date_trunc("quarter", F.col("event_time")).cast("timestamp_ntz")
+    starts = [r["q"] for r in rows.select(quarter.alias("q")).distinct().sort("q").collect()]
+    snapshots = CounterSnapshots(v.spark, shared_path(v.spark, "snapshots"), "QUARTER")
+
+    def rows_of(start: datetime) -> DataFrame:
+        return rows.where(quarter == F.lit(start).cast("timestamp_ntz"))
+
+    grown = None
+    for run, start in enumerate(starts):
+        own = snapshots.increments(rows_of, start)
+        if run % 5 == 4:
+            own = snapshots.increments(rows_of, start)
+        grown = own if grown is None else grown.unionByName(own)
+    return play.traffic(grown.withColumn("parse_time", T.minute_label(F.col("period_start"))), D5, ("parse_time",))
+
+
 @register("business_quality", Q.with_views(Q.cube(
     "grown", D5, "cast(trunc(cast(sum(freeze_time_delta) as decimal(38,0)) / 1000000) as bigint) as freeze_seconds, "
     f"{Q.isum('freeze_count_delta', 'freeze_count')}, {Q.isum('play_seconds_delta', 'play_seconds')}, "
@@ -728,6 +754,22 @@ def terminal_count(v: Views) -> DataFrame:
     return terminal.terminal_count(v.terminal_report)
 
 
+_REPORTS_97 = """current_reports as (select * from fx_terminal_report where event_time < timestamp '1998-01-01'
+  qualify row_number() over (partition by probe_id order by event_time desc, seq desc) = 1)"""
+_LEVELS_97 = _additive("current_reports", {"terminals": "device_id"})
+
+
+@register("terminal_count_job", Q.with_views(
+    f"select province_id as provinceID, city_id as cityID, platform, device_provider as deviceProvider, fw_version as fwVersion, "
+    f"terminals as userCount, '199700000000' as parseTime, 'YEAR' as period from ({_LEVELS_97})", _REPORTS_97))
+def terminal_count_job(v: Views) -> DataFrame:
+    """T_TERMINAL_COUNT as its job writes it for a year, twice."""
+    out = shared_path(v.spark, "terminal_count")
+    for _ in range(2):
+        run_terminal_count(v.terminal_report, "YEAR", "1997", out)
+    return read_table(v.spark, out, "T_TERMINAL_COUNT")
+
+
 @register("login_success", Q.with_views(f"select {DIMS5}, {Q.rate4('s', 'r')} as succ_rate from (" + Q.cube(
     "fx_login", D5, "sum(suc_pages) as s, sum(pages) as r") + ") where r <> 0"))
 def login_success(v: Views) -> DataFrame:

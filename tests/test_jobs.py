@@ -9,6 +9,7 @@ from catalog.views import Views, raw_lines, write_sequence_files
 from viewpulse.model import D5, TABLES
 from viewpulse.operators.parse import parse_valid
 from viewpulse.plans import jobs, network
+from viewpulse.plans.snapshots import CounterSnapshots
 from viewpulse.session import shared_path
 from viewpulse.sinks.tables import read_table, to_contract, write_table
 from viewpulse.sources import logs
@@ -61,6 +62,39 @@ def test_other_labels_survive_a_rerun(spark, tables):
     assert labels == {"202401100000", "202401110000"}
 
 
+def test_snapshots_give_the_increments_of_the_log(spark, tables):
+    """Runs in any order, first without the snapshots they look back at, and again with all."""
+    root, terminals = tables
+    plain, kept, snapshots = (shared_path(spark, n) for n in ("plain", "kept", "snapshots"))
+
+    def traffic(out, at):
+        rows = read_table(spark, out, "T_DOWN_BYTES_INDEX").where(F.col("parseTime") == f"{at}000000")
+        return sorted(map(tuple, rows.collect()))
+
+    for at in ("199804", "199803", "199804"):
+        for out, kept_in in ((plain, None), (kept, snapshots)):
+            jobs.run_batch(spark, "play_request", "MONTH", at, root, terminals, out, "306", snapshot_root=kept_in)
+        assert traffic(plain, at) == traffic(kept, at) != []
+    store = CounterSnapshots(spark, snapshots, "MONTH")
+    assert store.kept() == {datetime(1998, m, 1) for m in (1, 2, 3, 4)}
+    store.expire(datetime(1998, 4, 1))
+    assert min(store.kept()) == min(store.looked_back_at(datetime(1998, 4, 1)))
+
+
+def test_days_look_back_one_day(spark):
+    store = CounterSnapshots(spark, shared_path(spark, "none"), "DAY")
+    assert store.looked_back_at(datetime(2024, 3, 1)) == [datetime(2024, 2, 29)] and store.kept() == set()
+
+
+def test_terminal_counts_of_reports_without_a_time(spark):
+    ddl = "probe_id string, device_id string, province_id string, city_id string, platform string, device_provider string, fw_version string"
+    boxes = spark.createDataFrame([("a", "d1", "1", "10", "p", "x", "f"), ("b", None, "1", "10", "p", "x", None)], ddl)
+    out = shared_path(spark, "terminals")
+    assert jobs.run_terminal_count(boxes, "DAY", "20240101", out) == "T_TERMINAL_COUNT"
+    found = read_table(spark, out, "T_TERMINAL_COUNT")
+    assert found.count() == 32 and {r["userCount"] for r in found.collect()} == {1}
+
+
 def test_task_numbers():
     assert jobs.tables_of("lag", "403") == ("T_PLAYUSER_CAUSE",)
     assert jobs.tables_of("state", "201") == ()

@@ -102,11 +102,16 @@ def period_increments(df: DataFrame, period: str, dims: Sequence[str], counters:
     The maximum combines map-side, so a window partition holds one row per session, period and area, however many log
     rows the session wrote.
     """
+    return cell_increments(period_cells(df, period, dims, counters, key, time), dims, counters, PERIOD_TTL_S[period], key, reset)
+
+
+def period_cells(df: DataFrame, period: str, dims: Sequence[str], counters: Sequence[str],
+                 key: Sequence[str] = ("has_id", "has_type"), time: str = "event_time") -> DataFrame:
+    """Greatest counters per ``_period`` (its start in seconds), session and area."""
     start = period_start(F.col(time), period)
-    cells = (df.withColumn("_period", F.unix_seconds(start.cast("timestamp")))
-             .groupBy("_period", *dims, *key)
-             .agg(*[F.max(c).alias(c) for c in counters]))
-    return cell_increments(cells, dims, counters, PERIOD_TTL_S[period], key, reset)
+    return (df.withColumn("_period", F.unix_seconds(start.cast("timestamp")))
+            .groupBy("_period", *dims, *key)
+            .agg(*[F.max(c).alias(c) for c in counters]))
 
 
 def cell_increments(cells: DataFrame, dims: Sequence[str], counters: Sequence[str], ttl: int,

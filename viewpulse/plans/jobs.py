@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from viewpulse.model import D5
 from viewpulse.operators.enrich import latest_per_session, repair_area
 from viewpulse.plans import network, page, play, stall, terminal
+from viewpulse.plans.snapshots import CounterSnapshots
 from viewpulse.sinks.tables import to_contract, write_table
 from viewpulse.sources import periods
 from viewpulse.sources.logs import read_log_table
@@ -32,6 +33,8 @@ class Inputs:
     terminals: DataFrame
     period: str
     start: datetime
+    rows_of: Callable[[datetime], DataFrame] | None = None
+    snapshots: CounterSnapshots | None = None
     dims: tuple[str, ...] = D5
     share: bool = False
     held: dict[str, DataFrame] = field(default_factory=dict)
@@ -46,7 +49,9 @@ class Inputs:
         return self._once("latest", lambda: latest_per_session(self.rows(), distinct=False))
 
     def grown(self) -> DataFrame:
-        """Increments of this period; earlier periods are only read for the value before."""
+        """Increments of this period; earlier periods are only read for the value before, as log or as snapshots."""
+        if self.snapshots is not None:
+            return self._once("grown", lambda: self.snapshots.increments(self.rows_of, self.start))
         start = F.lit(self.start).cast("timestamp_ntz")
         return self._once("grown", lambda: play.increments(self.history(), self.period, self.dims).where(
             F.col("period_start").cast("timestamp_ntz") == start))
@@ -112,11 +117,11 @@ def tables_of(job: str, task: str | None = None) -> tuple[str, ...]:
 
 
 def inputs_of(spark: SparkSession, job: str, period: str, at: datetime, log_root: str, terminals: DataFrame,
-              share: bool = False, num_partitions: int | None = None) -> Inputs:
+              share: bool = False, num_partitions: int | None = None, snapshot_root: str | None = None) -> Inputs:
     """Readers of one run over the log tables below ``log_root`` (one per log name), areas repaired."""
     name = periods.check_period(period)
 
-    def table(log: str, since: datetime | None = None) -> DataFrame:
+    def table(log: str, since: datetime | None = None, at: datetime = at) -> DataFrame:
         rows = read_log_table(spark, f"{log_root}/{log}", name, at, since)
         if num_partitions:
             rows = rows.repartition(num_partitions)
@@ -124,7 +129,8 @@ def inputs_of(spark: SparkSession, job: str, period: str, at: datetime, log_root
 
     return Inputs(rows=lambda: table(job), history=lambda: table(job, periods.lookback(name, at)),
                   plays=lambda: table("play_request"), terminals=terminals, period=name,
-                  start=periods.period_bounds(name, at)[0], share=share)
+                  start=periods.period_bounds(name, at)[0], rows_of=lambda start: table(job, at=start),
+                  snapshots=CounterSnapshots(spark, snapshot_root, name) if snapshot_root else None, share=share)
 
 
 def plan_batch(inputs: Inputs, tables: Iterable[str], at: datetime) -> dict[str, DataFrame]:
@@ -135,15 +141,16 @@ def plan_batch(inputs: Inputs, tables: Iterable[str], at: datetime) -> dict[str,
 
 def run_batch(spark: SparkSession, job: str, period: str, at: datetime | str | None, log_root: str,
               terminals: DataFrame, out_root: str, task: str | None = None,
-              num_partitions: int | None = None) -> Iterable[str]:
+              num_partitions: int | None = None, snapshot_root: str | None = None) -> Iterable[str]:
     """Write the result tables of one run and return their names.
 
     ``at`` may be text (``yyyy[MM[dd[HH]]]``); without it the period before now is reported.  ``num_partitions``
-    overrides the partition count of the input; by default the scan and adaptive execution decide.
+    overrides the partition count of the input; by default the scan and adaptive execution decide.  With ``snapshot_root``
+    the counters of sessions are kept there between runs, and the log of earlier periods is not read again.
     """
     when = periods.appointed(at) if isinstance(at, str) else at or periods.previous_time(period, datetime.now())
     tables = tables_of(job, task)
-    inputs = inputs_of(spark, job, period, when, log_root, terminals, len(tables) > 1, num_partitions)
+    inputs = inputs_of(spark, job, period, when, log_root, terminals, len(tables) > 1, num_partitions, snapshot_root)
     try:
         for table, result in plan_batch(inputs, tables, when).items():
             write_table(result, out_root, table)
@@ -152,6 +159,20 @@ def run_batch(spark: SparkSession, job: str, period: str, at: datetime | str | N
     return tables
 
 
+def run_terminal_count(reports: DataFrame, period: str, at: datetime | str | None, out_root: str) -> str:
+    """Write T_TERMINAL_COUNT of a period from the reports of boxes until its end (the current terminal table has one each).
+
+    Reports without a time count as the oldest of their box.
+    """
+    when = periods.appointed(at) if isinstance(at, str) else at or periods.previous_time(period, datetime.now())
+    timed = reports if "event_time" in reports.columns else reports.withColumn("event_time", F.lit(None).cast("timestamp_ntz"))
+    ordered = timed if "seq" in timed.columns else timed.withColumn("seq", F.lit(0))
+    end = F.lit(periods.period_bounds(period, when)[1]).cast("timestamp_ntz")
+    known = ordered.where(F.col("event_time").isNull() | (F.col("event_time") < end))
+    write_table(terminal_table(known, period, when), out_root, "T_TERMINAL_COUNT")
+    return "T_TERMINAL_COUNT"
+
+
 def terminal_table(reports: DataFrame, period: str, at: datetime) -> DataFrame:
     """T_TERMINAL_COUNT rows for a label."""
     return to_contract(terminal.terminal_count(reports), "T_TERMINAL_COUNT", period, periods.label(period, at))

@@ -14,6 +14,9 @@ from viewpulse.operators.cube import (
 )
 from viewpulse.operators.series import period_increments
 
+#: counters of a session that only grow
+COUNTERS = ("down_bytes", "play_seconds", "freeze_time", "freeze_count")
+
 
 def _one() -> Column:
     return F.lit(1).cast("bigint")
@@ -87,8 +90,7 @@ def stall_user_rate(distribution: DataFrame) -> DataFrame:
 
 def increments(plays: DataFrame, period: str, dims: Sequence[str] = D5, reset: str = "raw") -> DataFrame:
     """Per session, type and period: growth of the cumulative counters."""
-    counters = ("down_bytes", "play_seconds", "freeze_time", "freeze_count")
-    return period_increments(no_null_dims(plays, dims), period, dims, counters, reset=reset)
+    return period_increments(no_null_dims(plays, dims), period, dims, COUNTERS, reset=reset)
 
 
 def traffic(grown: DataFrame, dims: Sequence[str] = D5, fixed: Sequence[str] = ()) -> DataFrame:
