@@ -100,11 +100,13 @@ def test_thresholds_by_trying_all_cuts():
 
 
 def test_held_out_rows_of_sample(spark, sf):
-    larger = f"{sf}/../sf0.01"
+    """The largest sample: smaller ones have too few labelled toxic rows to learn from or to judge by."""
+    larger = f"{sf}/../sf0.1"
     truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{larger}/labels.parquet").where("toxic is not null").collect()}
     judged = [(r.predicted, truth[r.doc_id]) for r in QUERIES["op9_toxicity"](spark, larger).where("held_out").collect()
               if r.doc_id in truth]
-    assert np.mean([a == b for a, b in judged]) > 0.9
+    found = {y: np.mean([p for p, t in judged if t == y]) for y in (0, 1)}
+    assert found[1] > 0.8 and found[0] < 0.02
 
 
 def test_calibration_with_few_rows_of_a_class():
