@@ -130,3 +130,38 @@ def test_levels_expand_cells_once(spark, sf):
 
 def test_d5_dims():
     assert len(C.subsets(D5)) == 32
+
+
+@pytest.mark.parametrize("name", ["image_rates_minute", "event_trend_minute", "epg_bands_minute", "multires_event"])
+def test_labels_shuffle_no_levels(spark, sf, name):
+    """No shuffle carries more than the two halves of the cells, with the first dimension and without it."""
+    lines = lines_of(QUERIES[name](spark, sf))
+    placed = [line for _, line in lines if "Exchange" in line and "REPARTITION_BY_NUM" in line]
+    assert placed and all("_half" in line for line in placed)
+    for i in [i for i, (_, line) in enumerate(lines) if "Exchange" in line]:
+        assert not any("Generate explode" in line for line in below(lines, i)), lines[i][1]
+    for i in [i for i, (_, line) in enumerate(lines) if "Expand" in line]:
+        assert lines[i][1].count("], [") == 2, "two halves and the names of the columns"
+
+
+@slow
+@given(records=data)
+def test_label_cubes_tell_all_apart(spark, records):
+    """Time labels take the form in place, for any number of dimensions; a value that reads ALL is not a rolled-up one."""
+    records = [(t, "ALL" if a == "x" else a, b, c, i, v) for t, a, b, c, i, v in records]
+    frame = spark.createDataFrame(records, DDL).withColumnRenamed("t", "minute")
+    for dims in (DIMS, DIMS[:2], DIMS[:1]):
+        want = sorted(map(tuple, C.grouped_cube(C.no_null_dims(frame, dims), dims, ("minute",), [F.sum("v").alias("v")]).collect()))
+        got_rows = C.cube_all(frame, dims, {"v": ("sum", F.col("v"))}, ("minute",))
+        assert sorted(map(tuple, got_rows.collect())) == want
+        assert got_rows.columns == ["minute", *dims, "v"]
+    distinct = brute(records, lambda rows: len({i for i, _ in rows if i}) or None)
+    if not any(r[1] == "ALL" for r in records):
+        assert got(C.exact_distinct_cube(frame, DIMS, "n", "id", ("minute",))) == distinct
+
+
+def test_partitions_grow_with_what_is_read(spark, sf):
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    assert C.read_bytes(events) > 0
+    assert C.read_bytes(events.unionByName(events)) == 2 * C.read_bytes(events)
+    assert C.place_partitions(events) >= spark.sparkContext.defaultParallelism

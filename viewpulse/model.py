@@ -11,6 +11,9 @@ D5 = ("province_id", "city_id", "platform", "device_provider", "fw_version")
 D2 = ("province_id", "city_id")
 ALL = "ALL"
 
+#: grouping columns that hold a time: their values grow in number with the log
+TIME_LABELS = ("minute", "bucket", "index_time", "event_second", "day", "parse_time")
+
 #: Province code that stands for "area unknown".
 UNKNOWN_PROVINCE = "2"
 
