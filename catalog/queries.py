@@ -530,13 +530,17 @@ def service_online_time_d2(v: Views) -> DataFrame:
     Q.cube("grown", D5, Q.isum("down_bytes_delta", "down_bytes"), ("parse_time",)), _grown(D5, "quarter", 93)))
 def traffic_incremental(v: Views) -> DataFrame:
     """One run per quarter, each from its own rows and the snapshots of runs before it; every fifth run is done twice."""
-    rows = v.play_request
+    log = shared_path(v.spark, "play_log")  # the log by quarter, as runs find it: one join for all of them
+    label = F.date_format(F.date_trunc("quarter", F.col("event_time")), "yyyyMM")
+    v.play_request.withColumn("_quarter", label).write.partitionBy("_quarter").parquet(log)
+    rows = v.spark.read.schema(v.play_request.schema.add("_quarter", "string")).parquet(log)
     quarter = F.date_trunc("quarter", F.col("event_time")).cast("timestamp_ntz")
     starts = [r["q"] for r in rows.select(quarter.alias("q")).distinct().sort("q").collect()]
     snapshots = CounterSnapshots(v.spark, shared_path(v.spark, "snapshots"), "QUARTER")
 
     def rows_of(start: datetime) -> DataFrame:
-        return rows.where(quarter == F.lit(start).cast("timestamp_ntz"))
+        own = F.col("_quarter") == f"{start:%Y%m}"
+        return rows.where(own & (quarter == F.lit(start).cast("timestamp_ntz"))).drop("_quarter")
 
     grown = None
     for run, start in enumerate(starts):
