@@ -81,21 +81,26 @@ def read_bytes(df: DataFrame) -> int:
 
 
 def place_partitions(cells: DataFrame) -> int:
-    """Partitions for cells that are expanded where they lie; their number grows with what is read."""
-    return max(cells.sparkSession.sparkContext.defaultParallelism, -(-read_bytes(cells) // PLACE_BYTES))
+    """Partitions for cells that are expanded where they lie; their number grows with what is read, where that is known."""
+    known, spark = read_bytes(cells), cells.sparkSession
+    if not known:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(spark.sparkContext.defaultParallelism, -(-known // PLACE_BYTES))
 
 
 def cube_in_place(cells: DataFrame, dims: Sequence[str], fixed: Sequence[str], aggregates: Sequence[Column],
-                  known: str | None = None) -> DataFrame:
+                  known: str | None = None, together: Sequence[str] = ()) -> DataFrame:
     """All levels of cells, which come together by the fixed keys: one shuffle of the cells, none of their levels.
 
-    A task holds the cells of some labels, each bounded by the combinations of dimension values.
+    A task holds the cells of some labels, each bounded by the combinations of dimension values.  Cells that differ in the
+    fixed keys ``together`` alone come to one task, so the levels can be grouped without these keys where they lie.
     """
-    placed = cells.repartition(place_partitions(cells), *fixed)
+    placed = cells.repartition(place_partitions(cells), *[c for c in fixed if c not in together])
     return numbered_levels(placed, dims, known).groupBy(*fixed, *dims, "_level").agg(*aggregates).drop("_level")
 
 
-def cube_by_label(cells: DataFrame, dims: Sequence[str], fixed: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
+def cube_by_label(cells: DataFrame, dims: Sequence[str], fixed: Sequence[str], aggregates: Sequence[Column],
+                  together: Sequence[str] = ()) -> DataFrame:
     """All levels of the cells of time labels; what is shuffled does not grow with the number of levels.
 
     The first dimension is expanded (kept and rolled up) and combined before its shuffle.  The cells then come together by
@@ -103,12 +108,12 @@ def cube_by_label(cells: DataFrame, dims: Sequence[str], fixed: Sequence[str], a
     are summed where they lie.  Two dimensions have few cells a label and need no such spread.
     """
     if len(dims) <= 2:
-        return cube_in_place(cells, dims, fixed, aggregates)
+        return cube_in_place(cells, dims, fixed, aggregates, None, together)
     first, *others = dims
     levels = [[F.col(c) for c in (*fixed, *kept)] for kept in (dims, others)]
     halves = cells.groupingSets(levels, *[F.col(c) for c in (*fixed, *dims)]).agg(*aggregates, F.grouping(first).alias("_half"))
     named = halves.withColumn(first, F.when(F.col("_half") == 1, ALL).otherwise(F.col(first)))
-    return cube_in_place(named, others, (*fixed, first, "_half"), aggregates).select(
+    return cube_in_place(named, others, (*fixed, first, "_half"), aggregates, None, ("_half", *together)).select(
         *fixed, *dims, *[c for c in halves.columns if c not in (*fixed, *dims, "_half")])
 
 
@@ -118,13 +123,13 @@ def _finest(df: DataFrame, keys: Sequence[str], measures: Measures) -> DataFrame
 
 
 def cube_all(df: DataFrame, dims: Sequence[str], measures: Measures, fixed: Sequence[str] = (),
-             pre_aggregate: bool = True, lattice: bool = False) -> DataFrame:
+             pre_aggregate: bool = True, lattice: bool = False, together: Sequence[str] = ()) -> DataFrame:
     """Cube of mergeable measures (``sum``, ``max``, ``min``) with ``fixed`` keys always grouped.
 
     With a time label among the fixed keys the finest cells are shuffled by label and expanded in place, see
     :func:`cube_by_label`.  Without one they merge well: they are expanded to all levels, combined map-side and shuffled.
-    ``lattice`` asks for :func:`lattice_cube`, which spreads a label by its dimensions.  An empty input gives an empty
-    result, also for the grand total.
+    ``lattice`` asks for :func:`lattice_cube`, which spreads a label by its dimensions.  ``together`` names fixed keys that the
+    result will be grouped without.  An empty input gives an empty result, also for the grand total.
     """
     df = no_null_dims(df, dims)
     keys = (*fixed, *dims)
@@ -137,7 +142,7 @@ def cube_all(df: DataFrame, dims: Sequence[str], measures: Measures, fixed: Sequ
     if pre_aggregate and lattice and dims:
         return lattice_cube(cells, dims, fixed, aggregates)
     if dims and set(fixed) & set(TIME_LABELS):
-        return cube_by_label(cells, dims, fixed, aggregates)
+        return cube_by_label(cells, dims, fixed, aggregates, together)
     rows = F.count(F.lit(1)).alias("_rows")
     return grouped_cube(cells, dims, fixed, [*aggregates, rows]).where("_rows > 0").drop("_rows")
 
@@ -245,8 +250,8 @@ def dense_counts(df: DataFrame, dims: Sequence[str], category: str, categories:
     """
     one = F.lit(1).cast("bigint") if weight is None else weight
     known = df.withColumn(category, F.coalesce(F.col(category), F.lit("")))
-    sparse = cube_all(known, dims, {name: ("sum", one)}, (*fixed, category))
-    # one entry per category of a key
+    sparse = cube_all(known, dims, {name: ("sum", one)}, (*fixed, category), together=(category,))
+    # one entry per category of a key; with a time label these lie together already
     points = sparse.groupBy(*fixed, *dims).agg(F.collect_list(F.struct(category, name)).alias("_seen"))
     listed = F.array(*[F.lit(c) for c in categories])
     missing = F.transform(F.array_except(listed, F.transform("_seen", lambda e: e[category])), lambda c: F.struct(
