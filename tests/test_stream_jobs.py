@@ -331,3 +331,20 @@ def test_additive_streams_equal_batch(spark, views, log, table, keys, measure):
     columns = ("bucket", *dims, *keys, measure)
     want = as_set(expected, columns)
     assert as_set(J.merged_table(spark, root, table), columns) == want and want
+
+
+def test_arrivals_have_files_for_many_tasks(spark, tmp_path, monkeypatch):
+    """A micro-batch is written and read as several files, their number grows with the input; every row arrives once."""
+    import catalog.stream_queries as S
+    from catalog.views import Views
+
+    spark.range(3000).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    assert S.files_of(rows, 3) == 1
+    monkeypatch.setattr(S, "ARRIVAL_BYTES", S.C.read_bytes(rows) // 6)
+    assert S.files_of(rows, 3) in (2, 3)
+    seen = []
+    query = S.arrivals(Views(spark, str(tmp_path)), rows).writeStream.foreachBatch(
+        lambda batch, number: seen.append((batch.count(), batch.rdd.getNumPartitions()))).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert len(seen) == 3 and sum(n for n, _ in seen) == 3000
