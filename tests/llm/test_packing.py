@@ -1,3 +1,4 @@
+import pickle
 import zlib
 from collections import Counter, defaultdict
 
@@ -91,3 +92,23 @@ def test_sample_documents(spark, sf, tokenizer):
     texts = {r.doc_id: r.text for r in docs.collect()}
     for i, crc in list(ids.items())[:20]:
         assert crc == zlib.crc32(np.array([*tokenizer.encode(texts[i], add_special_tokens=False).ids, 2], "<u4").tobytes())
+
+
+def test_a_process_keeps_the_memory_of_one_operator():
+    """A worker that scored texts before must not hold their words besides those of the tokenizer."""
+    from viewpulse.llm import common, toxicity
+
+    model = toxicity.new_model(np.zeros(0, np.int64))
+    first = toxicity.loaded(pickle.dumps(model))
+    assert toxicity.loaded(pickle.dumps(model)) is first
+    known = packing.word_ids(tokenizer_path())
+    assert packing.word_ids(tokenizer_path()) is known
+    assert list(common._REMEMBERED.values()) == [known]
+
+
+def test_words_remembered_stay_within_their_bound(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 10)
+    known = packing.WordIds(tokenizer_path())
+    words = [f"word{i}" for i in range(40)]
+    got = known.of_text(" ".join(words).encode())
+    assert got == known.encode(" ".join(words)) and len(known) <= 10 + 1

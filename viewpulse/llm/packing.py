@@ -12,10 +12,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewpulse.llm.common import ship
+from viewpulse.llm.common import remembered, ship
 
-#: Words a process remembers the ids of, and the longest word it remembers.
-REMEMBERED, LONGEST = 1_000_000, 64
+#: Words a process remembers the ids of (about 200 bytes each), and the longest word it remembers.
+REMEMBERED, LONGEST = 250_000, 64
 _TAIL = ".,;:!?"
 #: Letters from here on go through the tokenizer's own normalizer.
 _PLAIN = "\u02b0"
@@ -64,14 +64,9 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, text.lower().split()))
 
 
-_KNOWN: dict[str, WordIds] = {}
-
-
 def word_ids(path: str) -> WordIds:
     """One memory of words per process."""
-    if path not in _KNOWN:
-        _KNOWN[path] = WordIds(path)
-    return _KNOWN[path]
+    return remembered(("word ids", path), lambda: WordIds(path))
 
 
 def differencing(sizes: np.ndarray, k: int) -> np.ndarray:

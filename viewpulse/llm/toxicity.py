@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from viewpulse.llm.common import ship
+from viewpulse.llm.common import remembered, ship
 
 #: Width of an embedding, filter widths, filters of a width.
 DIM, WIDTHS, FILTERS = 16, (1, 2, 3), 8
@@ -21,8 +21,8 @@ DIM, WIDTHS, FILTERS = 16, (1, 2, 3), 8
 LEAST = 4
 #: Labelled documents of each class the model is fitted on at most.
 SAMPLE = 3000
-#: Words a process remembers, words convolved at a time.
-REMEMBERED, STEP = 400_000, 32_768
+#: Words a process remembers (about 250 bytes each), words convolved at a time, texts taken out of a batch at a time.
+REMEMBERED, STEP, TEXTS = 150_000, 32_768, 512
 #: Positions behind a text at which filters still meet its last words or nothing; as many zero vectors more keep the next text out.
 GAP = max(WIDTHS) - 1
 _TRIM = b".,;:!?\"'()[]*#$%&<>|"
@@ -294,17 +294,13 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE, **columns)
     return model
 
 
-_LOADED: dict[int, tuple[Model, Words]] = {}
-
-
 def loaded(pickled: bytes) -> tuple[Model, Words]:
     """The model and its memory of words, kept by the process from task to task."""
-    key = zlib.crc32(pickled)
-    if key not in _LOADED:
-        _LOADED.clear()
+    def load() -> tuple[Model, Words]:
         model = pickle.loads(pickled)
-        _LOADED[key] = model, Words(model)
-    return _LOADED[key]
+        return model, Words(model)
+
+    return remembered(("toxicity", zlib.crc32(pickled), len(pickled)), load)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -321,8 +317,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         own, words = loaded(shared.value)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text_col))
-            texts = [None if t is None else t.encode() for t in column.to_pylist()]
-            p = probability(own, raw_scores(own, words, texts))
+            pieces = (column.slice(k, TEXTS).to_pylist() for k in range(0, len(column), TEXTS))
+            raw = [raw_scores(own, words, [None if t is None else t.encode() for t in piece]) for piece in pieces]
+            p = probability(own, np.concatenate(raw or [np.zeros(0, np.float32)]))
             langs = batch.column(batch.schema.get_field_index(lang_col)).to_pylist()
             cut = np.array([own.thresholds.get(x, own.threshold) for x in langs], np.float64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p, pa.float64()), pa.array(p >= cut, pa.bool_())],
