@@ -72,3 +72,32 @@ def test_gradient():
     model = toxicity.train(texts, labels, steps=60, batch=8)
     raw = toxicity.raw_scores(model, toxicity.Words(model), texts)
     assert raw[labels == 1].min() > raw[labels == 0].max()
+
+
+def learnt_from(i):
+    return zlib.crc32(str(i).encode()) % 5 != 0 and zlib.crc32(b"apart%d" % i) % 4 != 0
+
+
+def test_all_labelled_rows_are_counted(spark):
+    """Words of five labelled documents each: a sample of 3,000 rows of a class misses some of them."""
+    own = [i for i in range(9000) if i % 40 and learnt_from(i)][:200 * 5 * 5:5]
+    rare = {i: f"rareword{k % 200:03d}" for k, i in enumerate(own)}
+    docs = [(i, f"{'vile' if i % 40 == 0 else 'good'} day {rare.get(i, '')}", "en") for i in range(9000)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 40 == 0)) for i in range(9000)], "doc_id long, toxic int")
+    model = toxicity.fit(frame, labels)
+    words = [f"rareword{k:03d}".encode() for k in range(200)]
+    assert Counter(rare.values()) == {w.decode(): 5 for w in words}
+    whole = np.array([toxicity.parts(w)[0] for w in words])
+    assert (model.rows(whole) < len(model.keys)).all()
+    raw = toxicity.raw_scores(model, toxicity.Words(model), [b"vile day", b"good day"])
+    assert raw[0] > raw[1]
+
+
+def test_shards_give_one_model(corpus, monkeypatch):
+    docs, labels, truth = corpus
+    monkeypatch.setattr(toxicity, "SHARD", 50)  # more shards than one task adds up
+    monkeypatch.setattr(toxicity, "ROUNDS", 12)
+    model = toxicity.fit(docs, labels)
+    got = [r for r in toxicity.score(docs, model).collect() if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    assert np.mean([(r.score >= 0.5) == truth[r.doc_id] for r in got]) > 0.9

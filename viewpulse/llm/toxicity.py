@@ -13,13 +13,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from viewpulse.llm.common import remembered, ship
+from viewpulse.llm.common import remembered, ship, stored
+from viewpulse.llm.substring import only_among
 
 #: Width of an embedding, filter widths, filters of a width.
 DIM, WIDTHS, FILTERS = 16, (1, 2, 3), 8
-#: Parts in fewer labelled documents of the sample have no embedding of their own: they count as nothing.
-LEAST = 4
-#: Labelled documents of each class the model is fitted on at most.
+#: Parts in fewer labelled documents have no embedding of their own: they count as nothing.  In a larger table they also have
+#: to be in this share of the documents of a class, so the vocabulary does not grow with the table.
+LEAST, LEAST_SHARE = 4, 1 / 1500
+#: Labelled documents of a shard, which one task trains on; rounds of training and averaging of several shards.
+SHARD, ROUNDS = 16_384, 2
+#: Batches of training in all at least, and their documents.
+STEPS, BATCH = 700, 32
+#: Sums of parameters that one task adds up.
+FAN = 8
+#: Raw scores for calibration that differ by less than 1 / CELLS are counted as their mean.
+CELLS = 4096
+#: Documents of each class in :func:`labelled_sample`.
 SAMPLE = 3000
 #: Words a process remembers (about 250 bytes each), words convolved at a time, texts taken out of a batch at a time.
 REMEMBERED, STEP, TEXTS = 150_000, 32_768, 512
@@ -141,33 +151,61 @@ def pooled(model: Model, words: Words, texts: list[bytes | None]) -> np.ndarray:
 
 
 def raw_scores(model: Model, words: Words, texts: list[bytes | None]) -> np.ndarray:
-    return pooled(model, words, texts) @ model.out + model.out_bias
+    # summed in double precision: what a row gets does not hang on how many rows are multiplied at a time
+    return pooled(model, words, texts).astype(np.float64) @ model.out.astype(np.float64) + model.out_bias
 
 
 def probability(model: Model, raw: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(model.scale * raw.astype(np.float64) + model.shift, -30, 30)))
 
 
-def train(texts: list[bytes], labels: np.ndarray, steps: int = 700, batch: int = 32, rate: float = 0.05, seed: int = 7) -> Model:
-    """Fit by Adagrad on the log loss, in about ``steps`` batches; gradients pass only through each filter's maximum."""
-    gap, width_of, rng = 2 * GAP, np.repeat(WIDTHS, FILTERS), np.random.default_rng(seed)
-    numbers: dict[bytes, int] = {}
-    words = [np.array([numbers.setdefault(w, len(numbers)) for w in t.lower().split()] + [-1] * gap) for t in texts]
-    hashes = np.array([*map(parts, numbers), [0] * (1 + len(_PARTS))])
-    found, n = np.unique(np.concatenate([np.unique(hashes[w[:-gap]]) for w in words]), return_counts=True)
-    model = new_model(found[n >= LEAST], seed)
-    buckets = model.rows(hashes)
-    params = {"table": model.table, "filters": model.filters, "bias": model.bias, "out": model.out}
-    seen = {k: np.full_like(v, 1e-6) for k, v in params.items()}
+def least_documents(counts: dict[int, int]) -> dict[int, float]:
+    """Documents of a class that a part has to be in; one class that has them is enough."""
+    return {y: n * LEAST_SHARE for y, n in counts.items()}
+
+
+def new_state(keys: np.ndarray, seed: int = 7) -> dict[str, np.ndarray]:
+    """Parameters of a new model and, as ``seen_*``, the sums of squared gradients of Adagrad."""
+    model = new_model(keys, seed)
+    state = {"table": model.table, "filters": model.filters, "bias": model.bias, "out": model.out, "out_bias": np.zeros(1)}
+    return state | {f"seen_{k}": np.full_like(v, 1e-6) for k, v in state.items()}
+
+
+def as_model(keys: np.ndarray, state: dict[str, np.ndarray]) -> Model:
+    return Model(keys, state["table"], state["filters"], state["bias"], state["out"], float(state["out_bias"][0]))
+
+
+class Texts:
+    """Texts as numbers of their distinct words, with :data:`GAP` times two empty places behind each."""
+
+    def __init__(self, texts: list[bytes]):
+        numbers: dict[bytes, int] = {}
+        gap = [-1] * (2 * GAP)
+        self.words = [np.array([*(numbers.setdefault(w, len(numbers)) for w in t.lower().split()), *gap], np.int32) for t in texts]
+        self.hashes = np.array([*map(parts, numbers), [0] * (1 + len(_PARTS))])
+
+    def documents(self, chosen: np.ndarray | slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of parts and how many of the chosen texts have them."""
+        words = [self.words[i] for i in np.arange(len(self.words))[chosen]]
+        found = [np.unique(self.hashes[w[:-2 * GAP]]) for w in words]
+        return np.unique(np.concatenate(found or [np.zeros(0, np.int64)]), return_counts=True)
+
+
+def descend(state: dict[str, np.ndarray], keys: np.ndarray, texts: Texts, labels: np.ndarray, passes: int, batch: int = BATCH,
+            rate: float = 0.05, seed: int = 7) -> None:
+    """Adagrad on the log loss in ``passes`` over the texts; gradients pass only through each filter's maximum."""
+    width_of, rng, words = np.repeat(WIDTHS, FILTERS), np.random.default_rng(seed), texts.words
+    model = as_model(keys, state)
+    buckets = model.rows(texts.hashes)
     column = {(w, o): np.arange(FILTERS) + j * FILTERS for j, (w, o) in enumerate(_SLOTS)}
-    out_bias, out_seen = 0.0, 1e-6
+    out_bias = state["out_bias"]
 
     def step(name: str, grad: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:
-        seen[name][rows] += grad * grad
-        params[name][rows] -= rate * grad / np.sqrt(seen[name][rows])
+        state[f"seen_{name}"][rows] += grad * grad
+        state[name][rows] -= rate * grad / np.sqrt(state[f"seen_{name}"][rows])
 
-    for _ in range(max(2, -(-steps * batch // len(texts)))):
-        order = rng.permutation(len(texts))
+    for _ in range(passes):
+        order = rng.permutation(len(words))
         for k in range(0, len(order), batch):
             ids = order[k:k + batch]
             line = np.concatenate([words[i] for i in ids])
@@ -179,12 +217,11 @@ def train(texts: list[bytes], labels: np.ndarray, steps: int = 700, batch: int =
             z = responses(model, x)
             peak = np.array([lo + z[lo:hi - GAP].argmax(0) for lo, hi in zip(starts, starts[1:])])
             pool = np.maximum(np.take_along_axis(z, peak, 0), 0)
-            p = 1 / (1 + np.exp(-np.clip(pool @ model.out + out_bias, -30, 30)))
+            p = 1 / (1 + np.exp(-np.clip(pool @ model.out + out_bias[0], -30, 30)))
             error = ((p - labels[ids]) / len(ids)).astype(np.float32)
             back_pool = error[:, None] * model.out * (pool > 0)
             step("out", pool.T @ error)
-            out_seen += float(error.sum()) ** 2
-            out_bias -= rate * float(error.sum()) / out_seen ** 0.5
+            step("out_bias", np.array([float(error.sum())]))
             grad_filters, grad_x = np.zeros_like(model.filters), np.zeros_like(x)
             for w, o in _SLOTS:
                 f = np.flatnonzero(width_of == w)
@@ -202,15 +239,30 @@ def train(texts: list[bytes], labels: np.ndarray, steps: int = 700, batch: int =
             np.add.at(total, place.reshape(rows.shape), grad_x[moved][:, None, :])
             total[hit == len(model.keys)] = 0
             step("table", total, hit)
-    model.out_bias = out_bias
-    return model
 
 
-def calibrate(model: Model, raw: np.ndarray, labels: np.ndarray, weight: np.ndarray, langs: list[str | None]) -> None:
+def passes_over(n: int, steps: int = STEPS, batch: int = BATCH) -> int:
+    return max(2, -(-steps * batch // n))
+
+
+def train(texts: list[bytes], labels: np.ndarray, steps: int = STEPS, batch: int = BATCH, rate: float = 0.05, seed: int = 7) -> Model:
+    """Fit one shard here, in about ``steps`` batches; :func:`fit` does the same in tasks."""
+    known = Texts(texts)
+    found, n = known.documents()
+    keys = found[n >= LEAST]
+    state = new_state(keys, seed)
+    descend(state, keys, known, labels, passes_over(len(texts), steps, batch), batch, rate, seed)
+    return as_model(keys, state)
+
+
+def calibrate(model: Model, raw: np.ndarray, labels: np.ndarray, weight: np.ndarray, langs: list[str | None],
+              rows: np.ndarray | None = None) -> None:
     """Fit ``scale`` and ``shift`` by weighted logistic regression, then the threshold of least weighted error per language.
 
-    A language with fewer than 20 rows of either class keeps the common threshold of 0.5.
+    An entry stands for as many ``rows`` (one by default), whose weights are summed in ``weight``.  A language with fewer
+    than 20 rows of either class keeps the common threshold of 0.5.
     """
+    rows = np.ones(len(raw), np.int64) if rows is None else rows
     # a little of the opposite label keeps the fit finite where the classes part cleanly
     target = labels * 0.98 + 0.01
 
@@ -233,26 +285,37 @@ def calibrate(model: Model, raw: np.ndarray, labels: np.ndarray, weight: np.ndar
     a, b = at
     model.scale, model.shift = float(max(a, 1e-3)), float(b)
     p = probability(model, raw)
-    for lang in set(langs):
-        own = np.array([x == lang for x in langs])
-        if lang is None or min(own[labels == 1].sum(), own[labels == 0].sum()) < 20:
+    names = np.array([x or "" for x in langs], object)
+    for lang in {x for x in langs if x is not None}:
+        own = np.flatnonzero((names == lang) & np.array([x is not None for x in langs]))
+        if min(rows[own][labels[own] == 1].sum(), rows[own][labels[own] == 0].sum()) < 20:
             continue
+        own = own[np.argsort(p[own], kind="stable")]
         cuts = np.unique(np.append(p[own], 0.5))
         middle = np.append((cuts[1:] + cuts[:-1]) / 2, 0.5)
-        loss = [(weight[own] * ((p[own] >= c) != labels[own])).sum() for c in middle]
-        best = np.flatnonzero(loss <= min(loss) + 1e-12)
+        # of label 1 what lies below a cut is wrong, of label 0 what lies above
+        below = np.searchsorted(p[own], middle)
+        missed = np.append(0, np.cumsum(weight[own] * (labels[own] == 1)))
+        spared = np.append(0, np.cumsum(weight[own] * (labels[own] == 0)))
+        wrong = missed[below] + spared[-1] - spared[below]
+        best = np.flatnonzero(wrong <= wrong.min() + 1e-9 * weight[own].sum())
         model.thresholds[lang] = float(middle[best[np.abs(middle[best] - 0.5).argmin()]])
 
 
+def _labels(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """(``_id``, ``_y``) of the labels that may be learnt from: never those whose crc32 of the id as text is divisible by 5."""
+    return labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).where(
+        F.crc32(F.col("_id").cast("string").cast("binary")) % 5 != 0).distinct()
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text",
                     lang_col: str = "lang", label_col: str = "toxic") -> tuple[list[tuple], dict[int, int]]:
     """At most ``per_class`` (text, lang, label) rows of each label, chosen by hash, and how many rows have each label.
 
-    Rows whose crc32 of the id as text is divisible by 5 are never taken.
+    For a look at the data; :func:`fit` learns from all labelled rows.
     """
-    own = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).where(
-        F.crc32(F.col("_id").cast("string").cast("binary")) % 5 != 0).distinct()
+    own = _labels(labels, id_col, label_col)
     counts = {r["_y"]: r["count"] for r in own.groupBy("_y").count().collect()}  # two rows
     rate = F.lit(0.0)
     for y, n in counts.items():  # by hash first, so that only about the sample is sorted; the sort makes the bound exact
@@ -269,31 +332,140 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE,
     return sorted((r["_id"], bytes(r["text"] or b""), r["lang"], r["_y"]) for r in rows.toLocalIterator()), counts
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE, **columns) -> Model:
-    """Train on a bounded labelled sample and calibrate on a quarter of it, weighted to the true share of the labels.
+def labelled(docs: DataFrame, own: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """(``_id``, ``body`` compressed text, ``lang``, ``_y``, ``apart``) of all labelled rows; other texts are not moved."""
+    texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).cast("binary").alias("body"), F.col(lang_col).alias("lang"))
+    near = only_among(texts, F.col("_doc").cast("string"), own.select(F.col("_id").cast("string").alias("key")))
 
-    Without labelled rows of both classes every text gets the score 0.
+    def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            body = [zlib.compress(t.as_py() or b"", 1) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(body, pa.binary()), batch.column(2)], batch.schema.names)
+
+    # a quarter is kept apart for calibration
+    apart = F.crc32(F.concat(F.lit("apart"), F.col("_id").cast("string")).cast("binary")) % 4 == 0
+    return near.mapInArrow(small, near.schema).join(own, F.col("_doc") == F.col("_id")).select(
+        "_id", "body", "lang", "_y", apart.alias("apart"))
+
+
+def vocabulary(rows: DataFrame) -> np.ndarray:
+    """Sorted hashes of the parts that have an embedding, counted over all ``rows``."""
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            y = batch.column(1).to_numpy()
+            for k in range(0, batch.num_rows, TEXTS):
+                texts = Texts([zlib.decompress(t.as_py()) for t in batch.column(0).slice(k, TEXTS)])
+                for label in (0, 1):
+                    found, n = texts.documents(y[k:k + TEXTS] == label)
+                    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n), pa.array(np.full(len(n), label, np.int32))],
+                                                     ["part", "n", "y"])
+
+    least = least_documents({r["_y"]: r["count"] for r in rows.groupBy("_y").count().collect()})
+    each = rows.select("body", "_y").mapInArrow(counted, "part long, n long, y int").groupBy("part").agg(
+        F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("n0"),
+        F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("n1"))
+    common = each.where((F.col("n0") + F.col("n1") >= LEAST) & (
+        (F.col("n0") >= max(1.0, least.get(0, 0))) | (F.col("n1") >= max(1.0, least.get(1, 0)))))
+    return np.sort(common.select("part").toArrow().column(0).to_numpy().astype(np.int64))
+
+
+def _added(groups: Iterator[bytes]) -> bytes:
+    """Sums of parameters and of their counts."""
+    total: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    for group in groups:
+        for name, (value, n) in pickle.loads(group).items():
+            total[name] = (total[name][0] + value, total[name][1] + n) if name in total else (value, n)
+    return pickle.dumps(total)
+
+
+def one_round(rows: DataFrame, shards: int, keys: np.ndarray, state: dict[str, np.ndarray], passes: int, number: int,
+              seed: int = 7) -> dict[str, np.ndarray]:
+    """Every shard trains from ``state`` on; parameters become the mean of the shards that moved them.
+
+    The embedding of a part that few shards have is thus not held back by the others.
     """
-    rows, counts = labelled_sample(docs, labels, per_class, **columns)
-    y = np.array([r[3] for r in rows], np.float64)
-    if len(set(y.tolist())) < 2:
+    context = rows.sparkSession.sparkContext
+    shared = context.broadcast(pickle.dumps((keys, state)))  # bounded by the vocabulary
+
+    def trained(key: tuple, group: pa.Table) -> pa.Table:
+        known, old = pickle.loads(shared.value)
+        shard = key[0].as_py()
+        order = sorted(zip(*(group.column(c).to_pylist() for c in ("_id", "_y", "lang", "body"))),
+                       key=lambda r: (r[0], zlib.crc32(r[3]), r[2] or "", r[1]))
+        texts = Texts([zlib.decompress(r[3]) for r in order])
+        new = {k: v.copy() for k, v in old.items()}
+        descend(new, known, texts, np.array([r[1] for r in order], np.float32), passes, seed=seed + 7919 * number + shard)
+        moved = (new["seen_table"] != old["seen_table"]).any(1, keepdims=True)
+        found = {k: (v * moved, moved.astype(np.int32)) if k.endswith("table") else (v, np.ones(1, np.int32)) for k, v in new.items()}
+        return pa.table({"at": pa.array([shard // FAN], pa.int32()), "sums": pa.array([pickle.dumps(found)], pa.binary())})
+
+    def added(key: tuple, group: pa.Table) -> pa.Table:
+        return pa.table({"at": pa.array([key[0].as_py() // FAN], pa.int32()),
+                         "sums": pa.array([_added(x.as_py() for x in group.column("sums"))], pa.binary())})
+
+    schema, left = "at int, sums binary", shards
+    sums = rows.groupBy("shard").applyInArrow(trained, schema)
+    while left > 1:
+        sums, left = sums.groupBy("at").applyInArrow(added, schema), -(-left // FAN)
+    (whole,) = sums.collect()
+    shared.unpersist()
+    mean = {k: np.where(n > 0, v / np.maximum(n, 1), state[k]).astype(state[k].dtype) for k, (v, n) in pickle.loads(whole["sums"]).items()}
+    return mean
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+        label_col: str = "toxic") -> Model:
+    """Train on all labelled rows but a quarter, calibrate on that, weighted to the true share of the labels.
+
+    Rows are dealt to shards by hash.  Tasks train one shard each, :data:`ROUNDS` times from the mean of all; a table of one
+    shard is trained at once.  The vocabulary is counted over all rows.  What the driver holds is one model and the counts of
+    calibration, per language, label and cell of raw scores.  Rows equal in id and text share a shard.  Without labelled
+    rows of both classes every text gets the score 0.
+    """
+    ship(docs.sparkSession)
+    own = _labels(labels, id_col, label_col)
+    counts = {r["_y"]: r["count"] for r in own.groupBy("_y").count().collect()}
+    known = stored(labelled(docs, own, id_col, text_col, lang_col), "labelled") if len(counts) == 2 else None
+    sizes = {(r["apart"], r["_y"]): r["count"] for r in known.groupBy("apart", "_y").count().collect()} if known else {}
+    if len({y for _, y in sizes}) < 2:
         model = new_model(np.zeros(0, np.int64))
         model.scale, model.shift = 0.0, -30.0
         return model
-    texts, langs = [r[1] for r in rows], [r[2] for r in rows]
-    apart = np.array([zlib.crc32(b"apart%d" % r[0]) % 4 == 0 for r in rows])
-    if len(set(y[apart])) < 2 or len(set(y[~apart])) < 2:
-        apart = np.zeros(len(rows), bool)
-    fitted = np.flatnonzero(~apart)
-    model = train([texts[i] for i in fitted], y[fitted].astype(np.float32))
-    judged = np.flatnonzero(apart) if apart.any() else fitted
-    raw = raw_scores(model, Words(model), [texts[i] for i in judged]).astype(np.float64)
-    sampled = {v: max(1, int((y[judged] == v).sum())) for v in (0.0, 1.0)}
-    weight = np.array([counts[int(v)] / sampled[v] for v in y[judged]])
-    calibrate(model, raw, y[judged], weight / weight.mean(), [langs[i] for i in judged])
+    split = all((part, y) in sizes for part in (False, True) for y in (0, 1))
+    fitted, judged = (known.where("not apart"), known.where("apart")) if split else (known, known)
+    n = sum(c for (part, _), c in sizes.items() if not (split and part))
+    shards = -(-n // SHARD)
+    keys = vocabulary(fitted)
+    state = new_state(keys)
+    dealt = fitted.withColumn("shard", F.pmod(F.xxhash64(F.lit("shard"), "_id", "body"), F.lit(shards)).cast("int"))
+    for number in range(1 if shards == 1 else ROUNDS):
+        state = one_round(dealt, shards, keys, state, passes_over(n) if shards == 1 else 1, number)
+    model = as_model(keys, state)
+    cells = raw_cells(judged, model)
+    y, rows = cells["_y"].to_numpy().astype(np.float64), cells["n"].to_numpy()
+    each = np.where(y == 1, counts[1] / max(1, rows[y == 1].sum()), counts[0] / max(1, rows[y == 0].sum()))
+    weight = each * rows / (np.sum(each * rows) / rows.sum())
+    calibrate(model, cells["raw"].to_numpy(), y, weight, cells["lang"].to_pylist(), rows)
     return model
 
 
+def raw_cells(rows: DataFrame, model: Model) -> pa.Table:
+    """Mean raw score ``raw`` and number ``n`` of ``rows`` per language, label and cell, in a fixed order."""
+    shared = rows.sparkSession.sparkContext.broadcast(pickle.dumps(model))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, words = loaded(shared.value)
+        for batch in batches:
+            body = batch.column(0)
+            raw = [raw_scores(own, words, [zlib.decompress(t.as_py()) for t in body.slice(k, TEXTS)]) for k in range(0, len(body), TEXTS)]
+            raw = np.concatenate(raw or [np.zeros(0)]).astype(np.float64).clip(-64, 64)
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(raw)], ["lang", "_y", "raw"])
+
+    scored = rows.select("body", "lang", "_y").mapInArrow(judge, "lang string, _y int, raw double")
+    return scored.groupBy("lang", "_y", F.floor(F.col("raw") * CELLS).alias("cell")).agg(
+        F.avg("raw").alias("raw"), F.count("*").alias("n")).orderBy("lang", "_y", "cell").toArrow()
+
+
 def loaded(pickled: bytes) -> tuple[Model, Words]:
     """The model and its memory of words, kept by the process from task to task."""
     def load() -> tuple[Model, Words]:
@@ -310,7 +482,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     the common threshold.  Columns of ``docs`` with these names are replaced; all others, clashing names or not, stay.
     """
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))  # a few MB: bounded by the sample
+    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))  # a few MB: bounded by the vocabulary
     docs = docs.drop("score", "toxic")
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,6 +501,6 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return docs.mapInArrow(scored, StructType([*docs.schema.fields, *results]))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE) -> DataFrame:
-    """Fit on labelled rows and score every row of ``docs``, see :func:`fit` and :func:`score`."""
-    return score(docs, fit(docs, labels, per_class))
+def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Fit on all labelled rows and score every row of ``docs``, see :func:`fit` and :func:`score`."""
+    return score(docs, fit(docs, labels))
