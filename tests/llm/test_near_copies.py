@@ -9,7 +9,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from viewpulse.llm import components, simhash, substring
+from viewpulse.llm import components, near_copies, simhash, substring
 
 
 def brute_fingerprint(text):
@@ -145,3 +145,26 @@ def test_matching_statistics(passages, words):
     spans = substring.Automaton(passages).spans(words, 4)
     assert {i for a, b in spans for i in range(a, b)} == covered
     assert all(b < c for (_, b), (c, _) in zip(spans, spans[1:]))
+
+
+def test_pipeline_links_by_fingerprints(spark, monkeypatch):
+    """Without any MinHash bucket, copies whose fingerprints are close are still found, and the shingles still decide."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 400)) for _ in range(6)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(10 + i, t + " more") for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [near_copies.shingles(t.encode()) for _, t in rows]
+    fps = [near_copies.fingerprint(s) for s in sets]
+    for own, fp in zip(sets, fps, strict=True):
+        want = sum(1 << b for b in range(64) if 2 * sum(int(h) >> b & 1 for h in own) > len(own))
+        assert fp % (1 << 64) == want
+    near = [a for a in range(6) if ((fps[a] ^ fps[6 + a]) % (1 << 64)).bit_count() <= 3]
+    assert len(near) >= 4
+    nodes = spark.createDataFrame([(i, fp, len(s), [k * 100 + i]) for k, (i, fp, s) in enumerate(zip(range(12), fps, sets))],
+                                  "node long, fp long, n long, bands array<long>").withColumn("sketch", simhash.F.lit(b""))
+    plain = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "node long, text string").withColumn(
+        "text", simhash.F.col("text").cast("binary"))
+    got = {(r.a, r.b) for r in near_copies.near_links(nodes, lambda ends: plain.join(ends, "node")).collect()}
+    assert got == {(a, 6 + a) for a in near}
+    kept = {r.doc_id for r in near_copies.first_of_each(frame).collect()}
+    assert kept == set(range(6))

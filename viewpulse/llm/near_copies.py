@@ -1,4 +1,8 @@
-"""Near copies by the Jaccard similarity of word shingles: MinHash bands find the pairs, the shingles themselves decide."""
+"""Near copies by the Jaccard similarity of word shingles.
+
+SimHash fingerprints are compared as :mod:`simhash` does it, MinHash bands find the pairs that differ in more bits, and of both
+the shingles themselves decide.
+"""
 
 from __future__ import annotations
 
@@ -15,6 +19,7 @@ from pyspark.sql.window import Window
 
 from viewpulse.llm.common import LAST_ID, fresh, same, ship, stored
 from viewpulse.llm.components import components
+from viewpulse.llm.simhash import BITS, links
 
 #: Words of a shingle, least similarity of a link.
 SHINGLE, SIMILAR = 5, Fraction(4, 5)
@@ -50,6 +55,15 @@ def least_values(hashes: np.ndarray) -> np.ndarray:
     return least
 
 
+def fingerprint(hashes: np.ndarray) -> int:
+    """SimHash of a set: a bit is 1 if set in over half the hashes."""
+    counts = np.zeros(BITS, np.int64)
+    for k in range(0, len(hashes), 65536):
+        bits = np.unpackbits(hashes[k:k + 65536].astype("<u8").view(np.uint8), bitorder="little")
+        counts += bits.reshape(-1, BITS).sum(0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<i8")[0])
+
+
 def alike(x: np.ndarray, y: np.ndarray) -> bool:
     """Whether two sets of shingles reach :data:`SIMILAR`."""
     both = len(np.intersect1d(x, y, assume_unique=True))
@@ -58,13 +72,14 @@ def alike(x: np.ndarray, y: np.ndarray) -> bool:
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        n, h1, h2, bands, sketch = [], [], [], [], []
+        n, h1, h2, fp, bands, sketch = [], [], [], [], [], []
         for text in batch.column("text"):
             own = shingles(text.as_py())
             whole = xxhash.xxh3_128_digest(own.tobytes())
             n.append(len(own))
             h1.append(int.from_bytes(whole[:8], "little", signed=True))
             h2.append(int.from_bytes(whole[8:], "little", signed=True))
+            fp.append(fingerprint(own))
             least = least_values(own) if len(own) else np.zeros(0, np.uint64)
             keys = np.zeros(len(least) // VALUES, np.uint64)
             for k in range(VALUES):
@@ -74,8 +89,8 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sketch.append((least >> np.uint64(16)).astype(np.uint8).tobytes())
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
-             pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
-            ["id", "th", "n", "h1", "h2", "bands", "sketch"])
+             pa.array(fp, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
+            ["id", "th", "n", "h1", "h2", "fp", "bands", "sketch"])
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,11 +138,20 @@ def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
 
+def close_fingerprints(nodes: DataFrame) -> DataFrame:
+    """Edges (``a``, ``b``) between ``nodes`` whose fingerprints are close; one node stands for those of one fingerprint."""
+    each = stored(nodes.groupBy("fp").agg(F.min("node").alias("lead")), "fingerprint-leads")
+    equal = nodes.select("node", "fp").join(each, "fp").where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))
+    end = lambda name: each.select(F.col("fp").alias(name), F.col("lead").alias(f"_{name}"))
+    near = links(each.select("fp")).join(end("a"), "a").join(end("b"), "b").select("_a", "_b")
+    return equal.unionByName(near.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")))
+
+
 def near_links(nodes: DataFrame, texts_of, cell: int = CELL) -> DataFrame:
     """Edges (``a``, ``b``) between ``nodes`` with the components that all pairs of :data:`SIMILAR` give.
 
-    Rows of a bucket are first compared with one neighbour each, in another order for every band: that joins large groups
-    of near copies by few comparisons.  Every pair of a bucket that is not in one component by then is compared.
+    Fingerprints that differ in few bits are linked first.  Rows of a bucket are compared with one neighbour each, in another
+    order for every band: that joins large groups of near copies by few comparisons.  Every pair of a bucket that is not in one component by then is compared.
     """
     keyed = nodes.select("node", "n", F.posexplode("bands").alias("table", "key"))
     crowds = keyed.groupBy("table", "key").agg(F.count("*").alias("rows")).where("rows > 1")
@@ -138,8 +162,9 @@ def near_links(nodes: DataFrame, texts_of, cell: int = CELL) -> DataFrame:
     beside = met.withColumn("own", own).select("node", "n", F.lead("node").over(order).alias("next"),
                                                F.lead("n").over(order).alias("next_n"))
     fits = F.least("n", "next_n") * SIMILAR.denominator >= F.greatest("n", "next_n") * SIMILAR.numerator
-    chained = beside.where(fits).select(F.least("node", "next").alias("a"), F.greatest("node", "next").alias("b")).distinct()
-    sure = stored(decided(stored(chained, "beside"), texts_of), "beside-links")
+    chained = beside.where(fits).select(F.least("node", "next").alias("a"), F.greatest("node", "next").alias("b"))
+    first = chained.unionByName(close_fingerprints(nodes)).distinct()
+    sure = stored(decided(stored(first, "beside"), texts_of), "beside-links")
     star = stored(components(sure), "beside-roots")
     rooted = stored(met.join(star, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted-bands")
     mixed = rooted.groupBy("table", "key").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low <> _high")
@@ -174,10 +199,10 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"),
                         F.col(text_col).cast("binary").alias("text"))
     known = stored(plain.mapInArrow(
-        _sketches, "id long, th long, n long, h1 long, h2 long, bands array<long>, sketch binary"), "sketches")
+        _sketches, "id long, th long, n long, h1 long, h2 long, fp long, bands array<long>, sketch binary"), "sketches")
     nodes = stored(known.groupBy("h1", "h2").agg(
         F.min(F.struct(F.coalesce("id", F.lit(LAST_ID)).alias("id"), "th")).alias("least"), F.first("n").alias("n"),
-        F.first("bands").alias("bands"), F.first("sketch").alias("sketch")).withColumn(
+        F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")).withColumn(
         "node", F.monotonically_increasing_id()), "distinct-sketches")
 
     def texts_of(ends: DataFrame) -> DataFrame:
