@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import pickle
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ DIM, WIDTHS, FILTERS = 16, (1, 2, 3), 8
 #: to be in this share of the documents of a class, so the vocabulary does not grow with the table.
 LEAST, LEAST_SHARE = 4, 1 / 1500
 #: Labelled documents of a shard, which one task trains on; rounds of training and averaging of several shards.
-SHARD, ROUNDS = 16_384, 2
+SHARD, ROUNDS = 8192, 2
 #: Batches of training in all at least, and their documents.
 STEPS, BATCH = 700, 32
 #: Sums of parameters that one task adds up.
@@ -178,11 +179,12 @@ def as_model(keys: np.ndarray, state: dict[str, np.ndarray]) -> Model:
 class Texts:
     """Texts as numbers of their distinct words, with :data:`GAP` times two empty places behind each."""
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: Iterable[bytes]):
         numbers: dict[bytes, int] = {}
         gap = [-1] * (2 * GAP)
         self.words = [np.array([*(numbers.setdefault(w, len(numbers)) for w in t.lower().split()), *gap], np.int32) for t in texts]
-        self.hashes = np.array([*map(parts, numbers), [0] * (1 + len(_PARTS))])
+        each = chain(chain.from_iterable(map(parts, numbers)), [0] * (1 + len(_PARTS)))
+        self.hashes = np.fromiter(each, np.int64).reshape(-1, 1 + len(_PARTS))
 
     def documents(self, chosen: np.ndarray | slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of parts and how many of the chosen texts have them."""
@@ -392,9 +394,10 @@ def one_round(rows: DataFrame, shards: int, keys: np.ndarray, state: dict[str, n
         shard = key[0].as_py()
         order = sorted(zip(*(group.column(c).to_pylist() for c in ("_id", "_y", "lang", "body"))),
                        key=lambda r: (r[0], zlib.crc32(r[3]), r[2] or "", r[1]))
-        texts = Texts([zlib.decompress(r[3]) for r in order])
+        texts, y = Texts(zlib.decompress(r[3]) for r in order), np.array([r[1] for r in order], np.float32)
+        del order
         new = {k: v.copy() for k, v in old.items()}
-        descend(new, known, texts, np.array([r[1] for r in order], np.float32), passes, seed=seed + 7919 * number + shard)
+        descend(new, known, texts, y, passes, seed=seed + 7919 * number + shard)
         moved = (new["seen_table"] != old["seen_table"]).any(1, keepdims=True)
         found = {k: (v * moved, moved.astype(np.int32)) if k.endswith("table") else (v, np.ones(1, np.int32)) for k, v in new.items()}
         return pa.table({"at": pa.array([shard // FAN], pa.int32()), "sums": pa.array([pickle.dumps(found)], pa.binary())})
