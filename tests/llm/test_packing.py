@@ -106,6 +106,30 @@ def test_a_process_keeps_the_memory_of_one_operator():
     assert list(common._REMEMBERED.values()) == [known]
 
 
+@pytest.mark.parametrize("text", ["ein.*** et### rarrbo$$$ x<y>", "x=\u0338 a>\u0338 a~ é|é É}", "it's' don't'. l'- a-'s a-s (b)[c]", "ΑΣ~ Σ@ e\u0301* 1$ ½%"])
+def test_punctuation_behind_a_letter_is_a_run_of_its_own(tokenizer, text):
+    ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert packing.WordIds(tokenizer_path()).of_text(text.encode()) == ids
+
+
+def test_common_words_are_not_forgotten_among_rare_ones(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 10)
+    known, looked_up = packing.WordIds(tokenizer_path()), Counter()
+    model = known.model
+
+    class Counted:
+        def tokenize(self, run):
+            looked_up[run] += 1
+            return model.tokenize(run)
+
+    known.model = Counted()
+    rare = [f"rare{'abcdefghij'[i // 10]}{'abcdefghij'[i % 10]}" for i in range(60)]
+    text = " ".join(f"the {w}" for w in rare)
+    assert known.of_text(text.encode()) == known.encode(text)
+    assert looked_up["the"] == 1 and len(looked_up) == 61
+    assert len(known) + len(known.older) <= 2 * 10 + 1
+
+
 def test_words_remembered_stay_within_their_bound(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 10)
     known = packing.WordIds(tokenizer_path())

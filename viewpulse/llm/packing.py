@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import heapq
+import sys
+from array import array
 from collections.abc import Iterator
 from unicodedata import is_normalized, normalize
 
@@ -14,9 +16,10 @@ from pyspark.sql import functions as F
 
 from viewpulse.llm.common import remembered, ship
 
-#: Words a process remembers the ids of (about 200 bytes each), and the longest word it remembers.
+#: Words a process remembers the ids of (about 200 bytes each), as many as it met before these, and the longest of them.
 REMEMBERED, LONGEST = 250_000, 64
-_TAIL = ".,;:!?"
+#: ASCII punctuation that never joins a letter before it in a token run; an apostrophe may.
+_TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Letters from here on go through the tokenizer's own normalizer.
 _PLAIN = "\u02b0"
 #: The byte alphabet of byte-level vocabularies: printable bytes stand for themselves, the others for U+0100 onwards.
@@ -29,6 +32,9 @@ class WordIds(dict):
 
     The tokenizer never joins text across ASCII white space and lower-cases, so the ids of a text are those of its words
     one after the other.  Closing punctuation after a letter is always a token run of its own and is looked up apart.
+
+    When :data:`REMEMBERED` words are known they become ``older``, in place of those that were; a word met again is taken
+    from there.  Common words are thus never forgotten, however many rare ones pass.
     """
 
     def __init__(self, path: str):
@@ -37,22 +43,36 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.older: dict[bytes, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, word: bytes) -> bytes:
+    def run(self, run: str) -> bytes:
+        """One token run that the normalizer leaves alone goes straight to the merges, in the byte alphabet."""
+        found = array("I", [t.id for t in self.model.tokenize(run)])
+        if sys.byteorder == "big":
+            found.byteswap()
+        return found.tobytes()
+
+    def ids(self, word: bytes) -> bytes:
         text = word.decode()
+        if word.isalpha() and word.islower():  # of bytes: ASCII letters, which stand for themselves
+            return self.run(text)
         body = text.rstrip(_TAIL)
         if body and len(body) < len(text) and normalize("NFC", body[-1]).lower().isalpha():
-            found = self[body.encode()] + self[text[len(body):].encode()]
-        elif text.isalpha() and text == text.lower() and max(text) < _PLAIN and is_normalized("NFC", text):
-            # one token run that the normalizer leaves alone goes straight to the merges, in the byte alphabet
-            found = np.array([t.id for t in self.model.tokenize(word.decode("latin-1").translate(_BYTES))], "<u4").tobytes()
-        else:
-            found = self.encode(text)
+            return self[body.encode()] + self[text[len(body):].encode()]
+        if text.isalpha() and text == text.lower() and max(text) < _PLAIN and is_normalized("NFC", text):
+            return self.run(word.decode("latin-1").translate(_BYTES))
+        return self.encode(text)
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            found = self.ids(word)
         if len(word) <= LONGEST:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[word] = found
         return found
