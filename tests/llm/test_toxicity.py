@@ -1,5 +1,7 @@
+import pickle
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -101,3 +103,50 @@ def test_shards_give_one_model(corpus, monkeypatch):
     model = toxicity.fit(docs, labels)
     got = [r for r in toxicity.score(docs, model).collect() if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
     assert np.mean([(r.score >= 0.5) == truth[r.doc_id] for r in got]) > 0.9
+
+
+def test_parameters_come_in_blocks(spark, monkeypatch):
+    """What the driver or a sum takes in as one value does not grow with the vocabulary."""
+    words = [f"{a}{b}{c}zz{c}{a}{b}" for a in "abcdefghij" for b in "abcdefghij" for c in "abcdefghij"]
+    docs = [(i, " ".join(words[(i * 37) % 1000:][:200]) + (" vile" if i % 3 == 0 else ""), "en") for i in range(240)]
+    rows = spark.createDataFrame([(i, zlib.compress(t.encode()), "en", int(i % 3 == 0), i % 20) for i, t, _ in docs],
+                                 "_id long, body binary, lang string, _y int, shard int")
+    known = toxicity.Texts(t.encode() for _, t, _ in docs)
+    keys = known.documents()[0]
+    state, taken = toxicity.new_state(keys), []
+
+    def loads(value):
+        taken.append(len(value))
+        return pickle.loads(value)
+
+    monkeypatch.setattr(toxicity, "pickle", SimpleNamespace(dumps=pickle.dumps, loads=loads))
+    got = toxicity.one_round(rows, 20, keys, state, 1, 0)
+    assert len(keys) > 2048 and max(taken) < 2048 * (2 * 4 * toxicity.DIM + 8) + 10_000 < state["table"].nbytes * 2
+    # the mean of the shards that moved a row, and what no shard moved as it was
+    each = []
+    for shard in range(20):
+        own = [(i, t) for i, t, _ in docs if i % 20 == shard]
+        new = {k: v.copy() for k, v in state.items()}
+        toxicity.descend(new, keys, toxicity.Texts(t.encode() for _, t in own), np.array([i % 3 == 0 for i, _ in own], np.float32), 1,
+                         seed=7 + shard)
+        each.append(new)
+    moved = np.array([(new["seen_table"] != state["seen_table"]).any(1) for new in each])
+    want = (np.array([new["table"] for new in each]) * moved[:, :, None]).sum(0) / np.maximum(moved.sum(0), 1)[:, None]
+    assert np.allclose(got["table"], np.where(moved.any(0)[:, None], want, state["table"]), atol=1e-5)
+    assert np.allclose(got["filters"], np.mean([new["filters"] for new in each], 0), atol=1e-5)
+    last = toxicity.one_round(rows, 20, keys, state, 1, 0, last=True)
+    assert np.array_equal(last["table"], got["table"]) and np.array_equal(last["out"], got["out"])
+
+
+def test_common_words_are_not_forgotten_among_rare_ones(monkeypatch):
+    monkeypatch.setattr(toxicity, "REMEMBERED", 8)
+    keys = np.unique([h for w in (b"the", b"rare") for h in toxicity.parts(w)])
+    model, looked_up = toxicity.new_model(keys), Counter()
+    parts = toxicity.parts
+    monkeypatch.setattr(toxicity, "parts", lambda word: looked_up.update([word]) or parts(word))
+    words = toxicity.Words(model)
+    for i in range(60):
+        line = [b"the", b"rare%d" % i, b"rarest%d" % i]
+        got = words.look_up(line)
+        assert np.array_equal(got, np.array([model.table[model.rows(np.array(parts(w)))].sum(0) for w in line]))
+    assert looked_up[b"the"] == 1 and len(words.numbers) + len(words.older) <= 2 * (8 + 3)
