@@ -118,6 +118,15 @@ def test_lattice_shuffles_cells_only(spark, sf):
         assert not any("Generate inline" in line or "Expand" in line for line in own), lines[i][1]
 
 
+def test_lattice_deals_cells_to_few_partitions(spark, monkeypatch):
+    """Cells are dealt out once a dimension, from as many partitions to as many: their number is kept lower than elsewhere."""
+    monkeypatch.setattr(C, "read_bytes", lambda df: 512 << 20)
+    frame = spark.createDataFrame([("t1", "x", "p", "m", "i1", 1)], DDL)
+    lines = lines_of(C.cube_all(frame, DIMS, {"v": ("sum", F.col("v"))}, ("t",), lattice=True))
+    dealt = [int(line.split("), REPARTITION_BY_NUM")[0].rsplit(" ", 1)[1]) for _, line in lines if "REPARTITION_BY_NUM" in line]
+    assert len(dealt) >= 4 and set(dealt) == {256}
+
+
 def test_levels_expand_cells_once(spark, sf):
     """Minute labels: one expansion, above the finest cells; the expanded rows are combined before they are shuffled."""
     lines = lines_of(QUERIES["image_rates_minute"](spark, sf))

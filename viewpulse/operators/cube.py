@@ -26,6 +26,8 @@ _MERGE = {"sum": F.sum, "max": F.max, "min": F.min}
 
 #: bytes read per partition of cells that are expanded in place; a partition's levels have to fit in the memory of a task
 PLACE_BYTES = 512 * 1024
+#: as many times these bytes where partitions are dealt out again and again: the blocks of such a shuffle are their number squared
+LATTICE_TIMES = 4
 #: planned sizes from here on are placeholders of relations that know none
 _UNKNOWN_BYTES = 1 << 50
 
@@ -80,12 +82,12 @@ def read_bytes(df: DataFrame) -> int:
     return sum(n for n in sizes if n < _UNKNOWN_BYTES)
 
 
-def place_partitions(cells: DataFrame) -> int:
-    """Partitions for cells that are expanded where they lie; their number grows with what is read, where that is known."""
+def place_partitions(cells: DataFrame, times: int = 1) -> int:
+    """Partitions for cells that are expanded where they lie; one for ``times`` :data:`PLACE_BYTES` read, where that is known."""
     known, spark = read_bytes(cells), cells.sparkSession
     if not known:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(spark.sparkContext.defaultParallelism, -(-known // PLACE_BYTES))
+    return max(spark.sparkContext.defaultParallelism, -(-known // (times * PLACE_BYTES)))
 
 
 def cube_in_place(cells: DataFrame, dims: Sequence[str], fixed: Sequence[str], aggregates: Sequence[Column],
@@ -156,7 +158,7 @@ def lattice_cube(cells: DataFrame, dims: Sequence[str], fixed: Sequence[str], ag
     values, and so on down the dimensions.
     """
     first, *others = dims
-    n, keys = place_partitions(cells), (*fixed, *dims)
+    n, keys = place_partitions(cells, LATTICE_TIMES), (*fixed, *dims)
     if others:
         own = numbered_levels(cells.repartition(n, *fixed, first), others).groupBy(*keys, "_level").agg(*aggregates).drop("_level")
         met = cells.drop(first).repartition(n, *fixed, others[0])
