@@ -90,6 +90,37 @@ def test_components_of_a_long_path(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_take_few_rounds(spark, monkeypatch):
+    """Tasks tie what they read to stars first, so that the driver runs few jobs, long paths or not."""
+    kept, labels = components.stored, []
+    monkeypatch.setattr(components, "stored", lambda df, label: labels.append(label) or kept(df, label))
+    edges = spark.createDataFrame([(i, i + 1) for i in range(400)] + [(i, i + 1) for i in range(0, 400, 7)], "a long, b long")
+    got = components.components(edges.repartition(4)).collect()
+    assert sorted((r.node, r.root) for r in got) == [(i, 0) for i in range(1, 401)]
+    assert len(labels) <= 8
+
+
+@pytest.mark.parametrize("block", [3, 1 << 18])
+def test_tied_edges_keep_components(monkeypatch, block):
+    monkeypatch.setattr(components, "BLOCK", block)
+    rng = np.random.default_rng(4)
+    ends = rng.integers(0, 300, (250, 2))
+
+    def classes(edges):
+        root = np.arange(300)
+        for _ in range(300):
+            for a, b in edges:
+                root[a] = root[b] = min(root[a], root[b])
+        return root.tolist()
+
+    batches = [components.pa.RecordBatch.from_arrays([components.pa.array(x) for x in part.T], ["a", "b"])
+               for part in np.array_split(ends, 60)]
+    found = [(a, b) for batch in components._tied(iter(batches)) for a, b in zip(*(c.to_pylist() for c in batch.columns))]
+    assert all(a > b for a, b in found) and classes(found) == classes(ends.tolist())
+    if block > 250:
+        assert len({a for a, _ in found}) == len(found) and not {a for a, _ in found} & {b for _, b in found}
+
+
 def brute_passages(rows, window):
     """Per row: words kept, words removed.  rows: (order, words)."""
     seen = {}

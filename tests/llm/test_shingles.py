@@ -72,6 +72,23 @@ def test_large_group_in_small_cells(rows, monkeypatch):
     assert {r.doc_id for r in got.collect()} == brute_kept(texts)
 
 
+def test_large_group_below_the_limit(rows, monkeypatch):
+    """Copies of one text that are a little less alike than the limit: rows of their buckets are stored, never their pairs."""
+    rng, kept, sizes = np.random.default_rng(6), near_copies.stored, []
+
+    def counted(df, label):
+        found = kept(df, label)
+        sizes.append((label, found.count()))
+        return found
+
+    monkeypatch.setattr(near_copies, "stored", counted)
+    words = [f"w{x}" for x in rng.integers(0, 5000, 400)]
+    texts = [" ".join(edited(rng, words, 12)) for _ in range(220)]
+    frame = rows("doc_id long, text string", list(enumerate(texts)))
+    assert {r.doc_id for r in near_copies.first_of_each(frame).collect()} == set(brute_kept(texts))
+    assert all(n <= near_copies.BANDS * len(texts) for _, n in sizes), sizes
+
+
 def test_odd_rows(odd, none):
     got = near_copies.first_of_each(odd)
     assert got.columns == odd.columns

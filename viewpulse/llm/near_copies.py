@@ -93,42 +93,68 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["id", "th", "n", "h1", "h2", "fp", "bands", "sketch"])
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by cell; a cell may go on in the next batch and is held back until it is whole."""
-    names = ["table", "key", "low", "high", "own", "node", "root", "n"]
-    held, marks = np.zeros((0, len(names)), np.int64), np.zeros((0, BANDS * VALUES), np.uint8)
-
-    def compared(rows: np.ndarray, marks: np.ndarray) -> Iterator[pa.RecordBatch]:
-        cuts = np.flatnonzero((rows[1:, :4] != rows[:-1, :4]).any(1)) + 1
-        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(rows)]):
-            _, _, first, second, _, *_ = rows[low]
-            cell, mark = rows[low:high], marks[low:high]
-            own, node, root, n = cell[:, 4], cell[:, 5], cell[:, 6], cell[:, 7]
-            for i in range(len(cell)):
-                # two pieces meet in a cell of their own; a piece is compared with itself where it is both
-                other = np.flatnonzero((node > node[i]) if first == second else (own != own[i]) & (own[i] == first))
-                other = other[root[other] != root[i]]
-                small, large = np.minimum(n[other], n[i]), np.maximum(n[other], n[i])
-                other = other[small * SIMILAR.denominator >= large * SIMILAR.numerator]
-                other = other[(mark[other] == mark[i]).sum(1) >= AGREE]
-                if len(other):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[other], node[i])),
-                                                      pa.array(np.maximum(node[other], node[i]))], ["a", "b"])
+_CELL = ["table", "key", "low", "high"]
 
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Cells one by one.  Rows come sorted by cell; a cell may go on in the next batch and is held back until it is whole."""
+    held = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        new = np.column_stack([batch.column(name).to_numpy().astype(np.int64) for name in names])
-        held = np.concatenate([held, new])
-        marks = np.concatenate([marks, np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(
-            -1, BANDS * VALUES)])
-        other = np.flatnonzero((held[:, :4] != held[-1, :4]).any(1))
-        last = int(other[-1]) + 1 if len(other) else 0
-        if last:
-            yield from compared(held[:last], marks[:last])
-        held, marks = held[last:], marks[last:]
-    if len(held):
-        yield from compared(held, marks)
+        held = pa.concat_tables([*([held] if held else []), pa.Table.from_batches([batch])])
+        at = np.column_stack([held[name].to_numpy().astype(np.int64) for name in _CELL])
+        cuts = np.flatnonzero((at[1:] != at[:-1]).any(1)) + 1
+        for low, high in zip([0, *cuts.tolist()], cuts.tolist()):
+            yield held.slice(low, high - low)
+        if len(cuts):
+            held = held.slice(int(cuts[-1]))
+    if held:
+        yield held
+
+
+def _fitting(cell: pa.Table, root: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """For rows of a cell the others to compare them with: of another ``root``, and alike by size and MinHash values.  Two that
+    share the bucket of an earlier table meet there."""
+    own, node, n = (cell[name].to_numpy() for name in ("own", "node", "n"))
+    table, _, first, second = (cell[name][0].as_py() for name in _CELL)
+    mark = np.frombuffer(b"".join(cell["sketch"].to_pylist()), np.uint8).reshape(len(cell), -1)
+    keys = cell["bands"].combine_chunks().flatten().to_numpy().reshape(len(cell), -1)[:, :table]
+    for i in range(len(cell)):
+        # two pieces meet in a cell of their own; a piece is compared with itself where it is both
+        other = np.flatnonzero((node > node[i]) if first == second else (own != own[i]) & (own[i] == first))
+        other = other[root[other] != root[i]]
+        small, large = np.minimum(n[other], n[i]), np.maximum(n[other], n[i])
+        other = other[small * SIMILAR.denominator >= large * SIMILAR.numerator]
+        other = other[(mark[other] == mark[i]).sum(1) >= AGREE]
+        other = other[~(keys[other] == keys[i]).any(1)]
+        if len(other):
+            yield i, other
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of cells that are compared with another one."""
+    for cell in _whole(batches):
+        wanted = np.zeros(len(cell), bool)
+        for i, other in _fitting(cell, cell["root"].to_numpy()):
+            wanted[i] = wanted[other] = True
+        yield from cell.filter(pa.array(wanted)).to_batches()
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges between rows of a cell whose shingles are alike; what an edge joins is not compared again in its cell."""
+    known = lru_cache(4096)(lambda text: shingles(text))
+    for cell in _whole(batches):
+        node, root, text = cell["node"].to_numpy(), cell["root"].to_numpy().copy(), cell["text"]
+        found = []
+        for i, other in _fitting(cell, root):
+            own = known(text[i].as_py())
+            for j in other.tolist():
+                if root[i] != root[j] and alike(own, known(text[j].as_py())):
+                    root[root == root[j]] = root[i]
+                    found.append((min(node[i], node[j]), max(node[i], node[j])))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(ends, pa.int64()) for ends in zip(*found, strict=True)], ["a", "b"])
 
 
 def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +177,8 @@ def near_links(nodes: DataFrame, texts_of, cell: int = CELL) -> DataFrame:
     """Edges (``a``, ``b``) between ``nodes`` with the components that all pairs of :data:`SIMILAR` give.
 
     Fingerprints that differ in few bits are linked first.  Rows of a bucket are compared with one neighbour each, in another
-    order for every band: that joins large groups of near copies by few comparisons.  Every pair of a bucket that is not in one component by then is compared.
+    order for every band: that joins large groups of near copies by few comparisons.  Every pair of a bucket that is not in
+    one component by then is compared where its bucket lies: the rows of a large group move, never its pairs.
     """
     keyed = nodes.select("node", "n", F.posexplode("bands").alias("table", "key"))
     crowds = keyed.groupBy("table", "key").agg(F.count("*").alias("rows")).where("rows > 1")
@@ -168,13 +195,15 @@ def near_links(nodes: DataFrame, texts_of, cell: int = CELL) -> DataFrame:
     star = stored(components(sure), "beside-roots")
     rooted = stored(met.join(star, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted-bands")
     mixed = rooted.groupBy("table", "key").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low <> _high")
-    apart = rooted.join(mixed, ["table", "key"]).join(nodes.select("node", "sketch"), "node").withColumn("own", own)
+    apart = rooted.join(mixed, ["table", "key"]).join(nodes.select("node", "sketch", "bands"), "node").withColumn("own", own)
     apart = apart.withColumn("other", F.explode(F.sequence(F.lit(0), pieces - 1)))
     cells = apart.select("table", "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-                         "own", "node", "root", "n", "sketch")
-    names = ["table", "key", "low", "high"]
-    rest = cells.repartition(*names).sortWithinPartitions(*names).mapInArrow(_pairs, "a long, b long").distinct()
-    return sure.unionByName(decided(stored(rest, "apart"), texts_of))
+                         "own", "node", "root", "n", "sketch", "bands")
+    met_in = lambda rows: rows.repartition(*_CELL).sortWithinPartitions(*_CELL)
+    compared = stored(met_in(cells).mapInArrow(_compared, cells.schema), "apart")
+    texts = stored(texts_of(compared.select("node").distinct()), "compared-texts")
+    rest = met_in(compared.join(texts.select("node", "text"), "node")).mapInArrow(_linked, "a long, b long")
+    return sure.unionByName(rest)
 
 
 def decided(pairs: DataFrame, texts_of) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewpulse.llm.common import LAST_ID, fresh, same, ship, stored
-from viewpulse.llm.components import components
+from viewpulse.llm.components import components, merge
 
 #: Bits of a fingerprint, words of a shingle, seed of its hash, most differing bits of a link.
 BITS, SHINGLE, SEED, RADIUS = 64, 3, 42, 3
@@ -122,19 +122,6 @@ def close_lanes(fps: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return root
 
 
-def merge(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Join the classes of the pairs (a, b); ``root`` points at the first row of a class before and after."""
-    while True:
-        x, y = root[a], root[b]
-        apart = x != y
-        if not apart.any():
-            return
-        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
-        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
-        while (root[root] != root).any():
-            root[:] = root[root]
-
-
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by cell; a cell may go on in the next batch and is held back until it is whole."""
     held = np.zeros((0, 5), np.int64)
