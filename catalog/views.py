@@ -27,16 +27,25 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def _boxes(self) -> DataFrame:
-        """One row per box, with the numeric key its id is made of."""
+    def _customers(self) -> DataFrame:
+        return self.table("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+
+    @staticmethod
+    def _named(customers: DataFrame) -> DataFrame:
+        """The box of each row, with the numeric key its id is made of; other columns stay."""
         key, nation = F.col("c_custkey"), F.col("c_nationkey")
-        return self.table("customer").select(
-            key.alias("_key"), F.concat(F.lit("p"), _text(key)).alias("probe_id"),
+        others = [c for c in customers.columns if c not in ("c_custkey", "c_nationkey", "c_mktsegment")]
+        return customers.select(
+            *others, key.alias("_key"), F.concat(F.lit("p"), _text(key)).alias("probe_id"),
             F.concat(F.lit("d"), _text(key)).alias("device_id"), _text(nation).alias("province_id"),
             _text(nation * 10 + key % 10).alias("city_id"), F.col("c_mktsegment").alias("platform"),
             F.concat(F.lit("dev"), _text(key % 7)).alias("device_provider"),
             F.concat(F.lit("fw"), _text(key % 3)).alias("fw_version"))
 
+    def _boxes(self) -> DataFrame:
+        """One row per box, with the numeric key its id is made of."""
+        return self._named(self._customers())
+
     @cached_property
     def terminal_info(self) -> DataFrame:
         return self._boxes().drop("_key")
@@ -46,10 +55,11 @@ class Views:
         return orders.join(self._boxes(), F.col("o_custkey") == F.col("_key"))
 
     def _of_lines(self, *columns: str) -> DataFrame:
+        """Lines meet orders that have their customer already, so lines move once; texts are made after that."""
         lines = self.table("lineitem").select("l_orderkey", *columns)
         orders = self.table("orders").select("o_orderkey", "o_custkey")
-        return (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-                .join(self._boxes(), F.col("o_custkey") == F.col("_key")))
+        owned = orders.join(self._customers(), F.col("o_custkey") == F.col("c_custkey"))
+        return self._named(lines.join(owned, F.col("l_orderkey") == F.col("o_orderkey")))
 
     def _of_events(self) -> DataFrame:
         return self.table("events").join(self._boxes(), F.col("user_id") == F.col("_key"))

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from viewpulse.functions.timecols import bucket_start, period_start
-from viewpulse.model import PERIOD_TTL_S, RESOLUTIONS, SERIES_POINTS
-from viewpulse.operators.cube import Measures, cube_all
+from viewpulse.model import ALL, PERIOD_TTL_S, RESOLUTIONS, SERIES_POINTS
+from viewpulse.operators.cube import LATTICE_TIMES, Measures, no_null_dims, numbered_levels, place_partitions
 
 
 def last_points(points: DataFrame, key: Sequence[str], time: str = "index_time",
@@ -46,23 +46,50 @@ def multi_resolution(df: DataFrame, dims: Sequence[str], measures: Measures, fix
                      resolutions: Mapping[int, str] = RESOLUTIONS) -> DataFrame:
     """Sums per 1-, 15- and 60-minute bucket, long form with a ``resolution`` column.
 
-    Each log row is read and shuffled once, at one-minute cells.  Coarser buckets are summed from the cells of the coarsest
-    finer resolution that divides them, so each step moves fewer cells than the one before.  Rates belong after this step.
+    Each log row is read and shuffled once, at one-minute cells, and only those are shuffled on: the cells of a bucket of the
+    coarsest resolution come together, so that coarser cells and all levels are summed where they lie.  Rates belong after
+    this step.
     """
-    sums = [F.sum(name).alias(name) for name in measures]
+    df, chosen = no_null_dims(df, dims), sorted(resolutions)
+    coarsest = chosen[-1] if all(chosen[-1] % m == 0 for m in chosen) else 60
     finest = (df.withColumn("bucket", bucket_start(F.col("event_time"), 1))
               .groupBy("bucket", *fixed, *dims)
               .agg(*[_sum(how, value).alias(name) for name, (how, value) in measures.items()]))
-    cells, out = {1: finest}, None
-    for minutes in sorted(resolutions):
-        if minutes not in cells:
-            parent = cells[max(m for m in cells if minutes % m == 0)]
-            cells[minutes] = parent.withColumn("bucket", bucket_start(F.col("bucket"), minutes)).groupBy(
-                "bucket", *fixed, *dims).agg(*sums)
-        own = cells[minutes].select(F.lit(minutes).alias("resolution"), "bucket", *fixed, *dims, *measures)
+    labelled = finest.withColumn("_label", bucket_start(F.col("bucket"), coarsest))
+    out = None
+    for own in _resolution_levels(labelled, dims, fixed, measures, chosen):
         out = own if out is None else out.unionByName(own)
-    merged = {name: ("sum", name) for name in measures}
-    return cube_all(out, dims, merged, ("resolution", "bucket", *fixed), pre_aggregate=False)
+    return out.select("resolution", "bucket", *fixed, *dims, *measures)
+
+
+def _resolution_levels(cells: DataFrame, dims: Sequence[str], fixed: Sequence[str], names: Iterable[str],
+                       resolutions: Sequence[int]) -> Iterator[DataFrame]:
+    """All levels of one-minute cells at each resolution, in parts.
+
+    Cells come together by their ``_label`` and the first dimension, so that a label spreads over as many tasks as that has
+    values; the levels with this dimension are summed there.  For those without it the cells go on without it, and so on
+    down to three dimensions, which have few cells a label and need no such spread.
+    """
+    sums = [F.sum(name).alias(name) for name in names]
+    left, times, met = list(dims), 1, cells
+    while True:
+        spread = left[:1] if len(left) > 3 else []
+        placed = met.repartition(place_partitions(met, times), "_label", *spread)
+        # the label stays a key: by it Spark knows that equal cells lie together
+        here = placed if left == list(dims) else placed.groupBy("_label", "bucket", *fixed, *left).agg(*sums)
+        rolled = [F.lit(ALL).alias(d) for d in dims if d not in left]
+        for minutes in resolutions:
+            own = here if minutes == 1 else (here.withColumn("bucket", bucket_start(F.col("bucket"), minutes))
+                                             .groupBy("_label", "bucket", *fixed, *left).agg(*sums))
+            expanded = [d for d in left if d not in spread]
+            if expanded:
+                own = (numbered_levels(own, expanded).groupBy("_label", "bucket", *fixed, *left, "_level").agg(*sums))
+            yield own.select(F.lit(minutes).alias("resolution"), "bucket", *fixed, *left, *rolled, *names)
+        if not spread:
+            return
+        # all cells differ before a dimension is gone: the second round reads what the first has read
+        met = (met if left == list(dims) else here).drop(*spread)
+        left, times = left[1:], times * LATTICE_TIMES
 
 
 def _sum(how: str, value: Column | str) -> Column:
