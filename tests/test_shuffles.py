@@ -48,3 +48,12 @@ def test_resolutions_equal_one_cube_each(spark, n, resolutions):
         cube = C.grouped_cube(rows, dims, ("bucket", "k"), [F.sum("v").alias("v")])
         want += [(m, *r) for r in cube.select("bucket", "k", *dims, "v").collect()]
     assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_sessions_move_twice_before_they_are_counted(spark, sf):
+    """To their cells and to their session; no part of the roll-up moves ids again or is read twice."""
+    found = exchanges(QUERIES["business_quality"](spark, sf))
+    ids = [k for k in found if re.search(r"\b(has_id|_id)\b", k)]
+    assert len(ids) == 2 and re.fullmatch(r"has_id, \d+", ids[1] if ids[0].startswith("_period") else ids[0])
+    cells = [k for k in found if "_lone" in k or k.startswith("parse_time")]
+    assert len(cells) == 2

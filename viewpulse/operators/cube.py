@@ -205,23 +205,27 @@ def exact_distinct_cube(df: DataFrame, dims: Sequence[str], name: str, column: s
     df = no_null_dims(df, dims)
     measures = dict(measures or {})
     keys = (*fixed, *dims)
-    known = df.where(F.col(column).isNotNull()).withColumn("_id", F.col(column))
+    known = df.withColumn("_id", F.col(column))
+    if plain:
+        known = known.where(F.col("_id").isNotNull())
     if measures:
         pairs = _finest(known, (*keys, "_id"), measures)
     else:
         pairs = known.select(*keys, "_id").distinct()
     if plain:
         return cube_of_distinct(pairs, dims, name, fixed, [F.sum(m).alias(m) for m in measures])
-    cells = pairs.withColumn("_cells", F.count(F.lit(1)).over(Window.partitionBy(*fixed, "_id")))
+    # missing ids have no cells; they go after the window, so that cubes of several ids read one shuffle of the rows
+    cells = pairs.withColumn("_cells", F.count("_id").over(Window.partitionBy(*fixed, "_id"))).where("_cells > 0")
     sums = [F.sum(m).alias(m) for m in measures]
     counted = [F.sum(c).alias(c) for c in (name, *measures)]
-    # the same columns in both parts, so that both read one shuffle
-    lone = cells.where("_cells = 1").groupBy(*keys).agg(F.count(F.lit(1)).alias(name), *sums)
     if dims and set(fixed) & set(TIME_LABELS):
-        several = cells.where("_cells > 1").select(*fixed, *dims, "_id", *measures)
-        levels = numbered_levels(several, dims).groupBy(*keys, "_level").agg(F.count_distinct("_id").alias(name), *sums)
-        parts = lone.withColumn("_known", F.lit(None).cast("int")).unionByName(levels.withColumnRenamed("_level", "_known"))
+        # one pass over the ids: those of one cell stay in it, the others are expanded to all levels
+        marked = cells.withColumn("_lone", F.col("_cells") == 1).withColumn("_known", F.when(F.col("_lone"), 0)).drop("_cells")
+        levels = numbered_levels(marked, dims, "_known").groupBy(*keys, "_level", "_lone").agg(F.count_distinct("_id").alias(name), *sums)
+        parts = levels.withColumn("_known", F.when(~F.col("_lone"), F.col("_level"))).drop("_level", "_lone")
         return cube_in_place(parts, dims, fixed, counted, "_known")
+    # the same columns in both parts, so that both read one shuffle
+    lone = cells.where("_cells = 1").groupBy(*keys).agg(F.count(F.lit(1)).alias(name), *sums)
     several = cube_of_distinct(cells.where("_cells > 1"), dims, name, fixed, sums)
     return all_levels(lone, dims).unionByName(several).groupBy(*fixed, *dims).agg(*counted)
 

@@ -127,9 +127,10 @@ def period_increments(df: DataFrame, period: str, dims: Sequence[str], counters:
     whole value as well when a counter went down; ``raw`` keeps the negative difference.
 
     The maximum combines map-side, so a window partition holds one row per session, period and area, however many log
-    rows the session wrote.
+    rows the session wrote.  Rows lie by the first key alone, so that what is counted per session later needs no further shuffle.
     """
-    return cell_increments(period_cells(df, period, dims, counters, key, time), dims, counters, PERIOD_TTL_S[period], key, reset)
+    cells = period_cells(df, period, dims, counters, key, time).repartition(key[0])
+    return cell_increments(cells, dims, counters, PERIOD_TTL_S[period], key, reset)
 
 
 def period_cells(df: DataFrame, period: str, dims: Sequence[str], counters: Sequence[str],
